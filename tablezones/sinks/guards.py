@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlsplit
+
 from pyspark.sql import DataFrame
 
 from tablezones.errors import UnsafeOverwriteError
@@ -9,12 +11,17 @@ from tablezones.errors import UnsafeOverwriteError
 
 def _qualified(df: DataFrame, path: str) -> tuple[str, bool]:
     spark = df.sparkSession
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.makeQualified(hpath).toString(), fs.exists(hpath)
 
 
+def _key(uri: str) -> tuple[str, str, str]:
+    # 'file:/a' and 'file:///a' name the same file.
+    parts = urlsplit(uri)
+    return parts.scheme, parts.netloc, parts.path.rstrip("/")
+
+
 def refuse_self_overwrite(df: DataFrame, target: str) -> None:
     """Raise if overwriting ``target`` would delete a file ``df`` still reads.
 
@@ -24,7 +31,9 @@ def refuse_self_overwrite(df: DataFrame, target: str) -> None:
     qualified, exists = _qualified(df, target)
     if not exists:
         return
-    prefix = qualified.rstrip("/") + "/"
+    scheme, netloc, root = _key(qualified)
+    prefix = root + "/"
     for f in df.inputFiles():
-        if f == qualified or f.startswith(prefix):
+        s, n, p = _key(f)
+        if s == scheme and n == netloc and (p == root or p.startswith(prefix)):
             raise UnsafeOverwriteError(f"refusing to overwrite {target}: it is also an input ({f})")

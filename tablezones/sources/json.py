@@ -28,7 +28,9 @@ def _reader(spark: SparkSession, schema, on_corrupt: str, sampling_ratio, option
         raise ValueError(f"on_corrupt must be one of {sorted(_MODES)}")
     reader = spark.read.option("mode", _MODES[on_corrupt]).option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     if schema is not None:
-        if isinstance(schema, StructType) and on_corrupt == "keep" and CORRUPT_COLUMN not in schema.fieldNames():
+        if isinstance(schema, str):
+            schema = StructType.fromDDL(schema)
+        if on_corrupt == "keep" and CORRUPT_COLUMN not in schema.fieldNames():
             # Keep malformed input visible (and countable) instead of all-NULL rows.
             schema = StructType(list(schema.fields) + [StructField(CORRUPT_COLUMN, StringType(), True)])
         reader = reader.schema(schema)
