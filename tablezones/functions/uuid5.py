@@ -19,24 +19,36 @@ from pyspark.sql.types import StringType
 KEY_NAMESPACE = "9a5963f8-5a5c-4b8c-aa46-1068af074546"
 
 
-def uuid5(name: Column, namespace: str = KEY_NAMESPACE) -> Column:
-    """UUIDv5 text of ``name``; NULL for a NULL or empty name."""
-    ns_hex = uuid.UUID(namespace).hex
-    digest = F.sha1(F.concat(F.unhex(F.lit(ns_hex)), F.encode(name, "UTF-8")))
-    # 4 bits of version 5 replace hex digit 13; digit 17 keeps its low 2 bits
-    # under the RFC variant bits 10xx.
-    variant = F.lower(F.hex(F.conv(F.substring(digest, 17, 1), 16, 10).cast("int").bitwiseAND(3).bitwiseOR(8)))
+def uuid5_digest(name: Column, namespace: str = KEY_NAMESPACE) -> Column:
+    """Hex SHA-1 of namespace bytes + UTF-8 name (the hash behind UUIDv5)."""
+    return F.sha1(F.concat(F.unhex(F.lit(uuid.UUID(namespace).hex)), F.encode(name, "UTF-8")))
+
+
+def uuid5_from_digest(digest: Column, name: Column) -> Column:
+    """UUIDv5 text from a :func:`uuid5_digest` column; NULL for a NULL or empty name.
+
+    Hex digit 13 becomes the version 5; digit 17 keeps its low two bits under
+    the RFC variant bits 10, i.e. maps to 8, 9, a or b."""
     text = F.concat_ws(
         "-",
         F.substring(digest, 1, 8),
         F.substring(digest, 9, 4),
         F.concat(F.lit("5"), F.substring(digest, 14, 3)),
-        F.concat(variant, F.substring(digest, 18, 3)),
+        F.concat(F.translate(F.substring(digest, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab"), F.substring(digest, 18, 3)),
         F.substring(digest, 21, 12),
     )
     return F.when(F.length(name) > 0, text)
 
 
+def uuid5(name: Column, namespace: str = KEY_NAMESPACE) -> Column:
+    """UUIDv5 text of ``name`` as one expression; NULL for a NULL or empty name.
+
+    Convenient for ad-hoc use, but the digest sits inside a conditional, where
+    subexpression elimination does not reach, so it is hashed once per
+    use. ``operators.with_uuid5_key`` hashes once per row."""
+    return uuid5_from_digest(uuid5_digest(name, namespace), name)
+
+
 def _python_uuid5(name, namespace: uuid.UUID) -> str | None:
     if not name:
         return None

@@ -16,9 +16,10 @@ from pyspark.sql.types import StructType
 from tablezones.errors import MissingColumnError
 from tablezones.functions.fields import column, field_or_null, lookup_type
 from tablezones.functions.strings import join_strings
-from tablezones.functions.uuid5 import KEY_NAMESPACE, uuid5, uuid5_python_udf, uuid5_udf
+from tablezones.functions.uuid5 import KEY_NAMESPACE, uuid5_digest, uuid5_from_digest, uuid5_python_udf, uuid5_udf
 
-_METHODS = {"native": uuid5, "udf": uuid5_udf, "python": uuid5_python_udf}
+_UDFS = {"udf": uuid5_udf, "python": uuid5_python_udf}
+_NAME, _DIGEST = "__uuid5_name", "__uuid5_digest"
 
 
 def key_name(
@@ -48,8 +49,18 @@ def with_uuid5_key(
     method: str = "native",
 ) -> DataFrame:
     """Append (or replace) ``out`` = UUIDv5 of ``source``; NULL for empty names.
-    ``method`` picks the native expression (default) or a UDF form."""
-    return df.withColumn(out, _METHODS[method](source, namespace))
+
+    ``method='native'`` (default) stays in whole-stage codegen: name and
+    digest are computed in one projection and formatted in the next, which
+    Catalyst keeps apart (it does not inline a non-cheap expression used
+    several times), so each row is hashed once. ``'udf'`` (Arrow-batched) and
+    ``'python'`` (row at a time) run the same function in a Python worker."""
+    if method in _UDFS:
+        return df.withColumn(out, _UDFS[method](source, namespace))
+    if method != "native":
+        raise ValueError(f"unknown key method {method!r}")
+    hashed = df.withColumn(_NAME, source).withColumn(_DIGEST, uuid5_digest(F.col(_NAME), namespace))
+    return hashed.withColumn(out, uuid5_from_digest(F.col(_DIGEST), F.col(_NAME))).drop(_NAME, _DIGEST)
 
 
 def join_attach_key(df: DataFrame, keys: DataFrame, on: str, key_columns: Sequence[str]) -> DataFrame:
