@@ -13,7 +13,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType
 
 from tablezones.functions.fields import array_item, column, field_or_null, has_key, lookup_type
 from tablezones.functions.strings import join_array
@@ -88,7 +88,8 @@ def derive_columns(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
     if "languages" in df.columns:
         exprs["su_dung_tieng_anh"] = has_key(df, "languages", "eng")
     df = with_columns(df, exprs)
-    if isinstance(lookup_type(df, "translations"), StructType):
+    # A struct emits the codes it has; a map (explicit open-key schema) all codes.
+    if isinstance(lookup_type(df, "translations"), (StructType, MapType)):
         df = extract_variants(df, "translations", rules.translation_codes, prefix="translation_", encode_whole=False)
     tail = {}
     if "maps" in df.columns:

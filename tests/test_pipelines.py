@@ -149,3 +149,77 @@ def test_incremental_stream_reads_new_files_only(spark, tmp_path, zones):
         '{"common":"Japan","official":"Japan"}',
     }
     assert out.filter(F.col("country_id").isNull()).count() == 0
+
+
+def test_map_typed_translations_emit_every_code(spark):
+    df = spark.createDataFrame(
+        [({"eng": {"common": "E"}, "fra": {"common": "F"}},), (None,)],
+        "translations map<string,struct<common:string>>",
+    )
+    out = transform_countries(df)
+    assert [c for c in out.columns if c.startswith("translation_")] == [
+        f"translation_{k}" for k in ("eng", "fra", "spa", "deu", "ita", "por", "rus", "ara", "zho", "jpn")
+    ]
+    rows = out.collect()
+    assert rows[0].translation_eng == '{"common":"E"}' and rows[0].translation_spa is None
+    assert json.loads(rows[0].translations) == {"eng": {"common": "E"}, "fra": {"common": "F"}}
+    assert rows[1].translations is None
+
+
+def test_map_typed_languages_flag(spark):
+    df = spark.createDataFrame([({"eng": "English"},), ({"vie": "V"},), (None,)], "languages map<string,string>")
+    assert [r.su_dung_tieng_anh for r in transform_countries(df).collect()] == [True, False, False]
+
+
+def test_edge_rows_keep_row_count(spark):
+    schema = (
+        "name struct<common:string,official:string>, latlng array<double>, capital array<string>, "
+        "altSpellings array<string>, languages struct<eng:string>, maps struct<googleMaps:string>, "
+        "timezones array<string>, flags struct<svg:string>, region string"
+    )
+    rows = [
+        (None, None, None, None, None, None, None, None, None),
+        ({"common": "Ñandú", "official": None}, [], [], [None, "x"], {"eng": None}, {"googleMaps": None}, [], {"svg": None}, "Á"),
+        ({"common": "dup", "official": "dup"}, [1.0], ["a", None], ["b"], {"eng": "E"}, {"googleMaps": "g"}, [None], None, None),
+        ({"common": "dup", "official": "dup"}, [1.0, 2.0, 3.0], ["a"], [], {"eng": "E"}, None, ["t"], {"svg": "s"}, "r"),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    out = transform_countries(df)
+    got = out.collect()
+    assert len(got) == 4 and complex_columns(out) == []
+    assert (got[0].Dat_nuoc, got[0].Thu_do, got[0].Ten_thay_the, got[0].lat, got[0].country_id) == (None, "", "", None, None)
+    assert got[1].Dat_nuoc == '{"common":"Ñandú"}' and got[1].Ten_thay_the == "x" and got[1].su_dung_tieng_anh is False
+    assert got[1].country_id == str(__import__("uuid").uuid5(__import__("uuid").UUID(COUNTRIES.key_namespace), "Ñandú"))
+    assert (got[2].lat, got[2].lng, got[2].Thu_do, got[2].timezone_1) == (1.0, None, "a", None)
+    assert got[2].country_id == got[3].country_id  # duplicate names share a key, rows are not merged
+    assert got[3].Mui_gio == '["t"]' and got[3].svg_flags == "s" and got[3].Google_Maps is None
+
+
+def test_empty_table_transforms_to_empty(spark):
+    df = spark.createDataFrame([], "name struct<common:string,official:string>, capital array<string>")
+    out = transform_countries(df)
+    assert out.count() == 0 and complex_columns(out) == []
+
+
+def test_cli_arguments():
+    from tablezones import cli
+
+    assert cli._parser().parse_args(["structure", "a", "b"]).job == "structure"
+    assert cli._parser().parse_args(["save", "a", "t", "--url", "jdbc:x"]).url == "jdbc:x"
+
+
+def test_cli_runs_structure_then_transform(zones):
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=repo, PYSPARK_SUBMIT_ARGS="--master local[2] --conf spark.ui.enabled=false pyspark-shell")
+    for args in (["structure", zones.raw, zones.foundation], ["transform", zones.foundation, zones.trusted]):
+        done = subprocess.run([sys.executable, "-m", "tablezones.cli", *args], env=env, capture_output=True, text=True, timeout=300)
+        assert done.returncode == 0, done.stderr[-2000:]
+        assert json.loads(done.stdout.strip().splitlines()[-1])["rows"] == 1
+    bad = subprocess.run(
+        [sys.executable, "-m", "tablezones.cli", "transform", zones.raw + "/missing", zones.trusted + "2"],
+        env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert bad.returncode != 0 and "MissingInputError" in bad.stderr
