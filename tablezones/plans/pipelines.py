@@ -47,7 +47,7 @@ def structure(
     extra = []
     if CORRUPT_COLUMN in df.columns:
         extra.append(F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))
-    report = write_parquet(df, foundation_path, extra_metrics=extra)
+    report = write_parquet(df, foundation_path, extra_metrics=extra, inputs=[raw_path])
     if report.rows == 0:
         raise EmptyInputError(f"no records in {raw_path}; stopping before later stages")
     return report
@@ -62,7 +62,7 @@ def transform(
     spark: SparkSession, foundation_path: str, trusted_path: str, rules: CountryRules = COUNTRIES
 ) -> WriteReport:
     """Foundation Parquet -> flat, keyed trusted Parquet."""
-    report = write_parquet(transformed(spark, foundation_path, rules), trusted_path)
+    report = write_parquet(transformed(spark, foundation_path, rules), trusted_path, inputs=[foundation_path])
     if report.rows == 0:
         raise EmptyInputError(f"no rows in {foundation_path}; stopping before later stages")
     return report

@@ -2,18 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tablezones.errors import UnsafeOverwriteError
 
 
-def _qualified(df: DataFrame, path: str) -> tuple[str, bool]:
-    spark = df.sparkSession
+def _filesystem(spark: SparkSession, path: str):
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(hpath).toString(), fs.exists(hpath)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` resolved against ``fs.defaultFS`` and the working directory."""
+    hpath, fs = _filesystem(spark, path)
+    return fs.makeQualified(hpath).toString()
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _filesystem(spark, path)
+    return bool(fs.exists(hpath))
 
 
 def _key(uri: str) -> tuple[str, str, str]:
@@ -22,18 +32,28 @@ def _key(uri: str) -> tuple[str, str, str]:
     return parts.scheme, parts.netloc, parts.path.rstrip("/")
 
 
-def refuse_self_overwrite(df: DataFrame, target: str) -> None:
-    """Raise if overwriting ``target`` would delete a file ``df`` still reads.
+def _under(child: tuple[str, str, str], parent: tuple[str, str, str]) -> bool:
+    return child[:2] == parent[:2] and (child[2] == parent[2] or child[2].startswith(parent[2] + "/"))
+
+
+def refuse_self_overwrite(df: DataFrame, target: str, inputs: Iterable[str] | None = None) -> None:
+    """Raise if overwriting ``target`` would delete data ``df`` still reads.
 
     An overwrite removes the target before the job reads its input, so writing
-    over one's own input destroys it. Only when the target exists is the
-    plan's file list (already held by the driver's file index) consulted."""
-    qualified, exists = _qualified(df, target)
-    if not exists:
+    over one's own input destroys it. When the caller names the ``inputs``
+    (root paths it read), the check compares those paths only: constant cost
+    at any table size. Otherwise, and only when the target exists, the plan's
+    file list is consulted (one entry per input file)."""
+    spark = df.sparkSession
+    if not path_exists(spark, target):
+        return
+    root = _key(qualified(spark, target))
+    if inputs is not None:
+        for path in inputs:
+            src = _key(qualified(spark, path))
+            if _under(src, root) or _under(root, src):
+                raise UnsafeOverwriteError(f"refusing to overwrite {target}: it overlaps input {path}")
         return
-    scheme, netloc, root = _key(qualified)
-    prefix = root + "/"
     for f in df.inputFiles():
-        s, n, p = _key(f)
-        if s == scheme and n == netloc and (p == root or p.startswith(prefix)):
+        if _under(_key(f), root):
             raise UnsafeOverwriteError(f"refusing to overwrite {target}: it is also an input ({f})")

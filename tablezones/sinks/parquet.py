@@ -27,11 +27,13 @@ def write_parquet(
     require_rows: bool = False,
     extra_metrics: Sequence[Column] = (),
     options: dict | None = None,
+    inputs: Sequence[str] | None = None,
 ) -> WriteReport:
-    """Write ``df`` as Parquet. Overwrite refuses to destroy its own input;
+    """Write ``df`` as Parquet. Overwrite refuses to destroy its own input
+    (``inputs``, the root paths ``df`` reads, make that check path-only);
     ``require_rows`` keeps the old target when ``df`` is empty."""
     if mode == "overwrite":
-        refuse_self_overwrite(df, path)
+        refuse_self_overwrite(df, path, inputs)
     if require_rows and not has_rows(df):
         return WriteReport(target=path, written=False, metrics={"rows": 0})
     frame, obs = observed(df, "parquet_write", extra_metrics)

@@ -29,11 +29,17 @@ def start_incremental_transform(
     rules: CountryRules = COUNTRIES,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
-    """Start the stream; call ``awaitTermination()`` on the result to wait."""
+    """Start the stream; call ``awaitTermination()`` on the result to wait.
+
+    ``archive_dir`` moves each processed raw file there once its batch is
+    committed, so the raw zone (and its listing per trigger) stays small."""
     reader = spark.readStream.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     out = transform_countries(reader.json(raw_dir), rules)
     writer = (
         out.writeStream.format("parquet")
