@@ -1,8 +1,8 @@
 """spark-submit entry points, one per zone job.
 
-    spark-submit -m tablezones.cli structure <raw_path> <foundation_path> [--schema DDL]
-    spark-submit -m tablezones.cli transform <foundation_path> <trusted_path>
-    spark-submit -m tablezones.cli save <trusted_path> <table> --url JDBC_URL [--user U] [--password-file F]
+    spark-submit --py-files tablezones.zip tablezones/cli.py structure <raw_path> <foundation_path> [--schema DDL]
+    spark-submit --py-files tablezones.zip tablezones/cli.py transform <foundation_path> <trusted_path>
+    spark-submit --py-files tablezones.zip tablezones/cli.py save <trusted_path> <table> --url JDBC_URL [--user U] [--password-file F]
 
 The master, memory and executors come from spark-submit, never from here.
 Any failure raises, so the process exits non-zero and a scheduler stops the

@@ -1,15 +1,20 @@
 """Raw landing zone writers.
 
-``land_json_documents`` writes each partition as one JSON array document
-(``[`` first element ``,`` next ... ``]``), the layout a document feed
-arrives in. Records are JSON-encoded by ``to_json`` in the JVM; a tiny
-per-partition Arrow step only adds the brackets and commas, streaming batch by
-batch, so memory stays bounded and nothing is grouped or shuffled. File size
-follows partition size.
+``land_json_documents`` writes JSON array documents (``[`` rec ``,`` rec ...
+``]``), the layout a document feed arrives in, with at most
+``records_per_document`` records each. Records are JSON-encoded by
+``to_json`` in the JVM; a small per-partition Arrow step only adds the
+brackets and commas, streaming batch by batch, so memory stays bounded and
+nothing is grouped or shuffled. Every document is exactly
+``records_per_document`` lines (the last one of a partition may be shorter),
+and the writer rolls to a new file after that many lines, so each file holds
+exactly one document however large or skewed a partition is. That matters
+because a multi-line JSON file is read by one task, as a whole.
 """
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -18,18 +23,36 @@ from pyspark.sql import functions as F
 from tablezones.functions.fields import column
 from tablezones.sinks.report import WriteReport
 
+DEFAULT_RECORDS_PER_DOCUMENT = 50_000
 
-def _as_array_document(batches):
-    opened = False
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
-            continue
-        seps = pa.array(([","] if opened else ["["]) + [","] * (n - 1), pa.string())
-        opened = True
-        yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(seps, batch.column(0), "")], ["value"])
-    if opened:
-        yield pa.RecordBatch.from_arrays([pa.array(["]"], pa.string())], ["value"])
+
+def _framed(batch: pa.RecordBatch, start: int, per_doc: int, closes_partition: bool) -> pa.RecordBatch:
+    pos = start + np.arange(batch.num_rows)
+    opens = pos % per_doc == 0
+    closes = pos % per_doc == per_doc - 1
+    if closes_partition:
+        closes[-1] = True
+    prefix = pa.array(np.where(opens, "[", ","), pa.string())
+    suffix = pa.array(np.where(closes, "]", ""), pa.string())
+    text = pc.binary_join_element_wise(prefix, batch.column(0), suffix, "")
+    return pa.RecordBatch.from_arrays([text], ["value"])
+
+
+def _as_documents(per_doc: int):
+    def frame(batches):
+        seen = 0
+        pending = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            if pending is not None:
+                yield _framed(pending, seen, per_doc, closes_partition=False)
+                seen += pending.num_rows
+            pending = batch  # held back: only the partition's last batch closes early
+        if pending is not None:
+            yield _framed(pending, seen, per_doc, closes_partition=True)
+
+    return frame
 
 
 def json_records(df: DataFrame) -> DataFrame:
@@ -37,10 +60,18 @@ def json_records(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*[column(c) for c in df.columns])).alias("value"))
 
 
-def land_json_documents(df: DataFrame, path: str, mode: str = "overwrite") -> WriteReport:
-    """Write ``df`` as JSON array documents, one file per partition."""
-    docs = json_records(df).mapInArrow(_as_array_document, "value string")
-    docs.write.mode(mode).option("maxRecordsPerFile", 0).text(path)
+def land_json_documents(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    records_per_document: int = DEFAULT_RECORDS_PER_DOCUMENT,
+) -> WriteReport:
+    """Write ``df`` as JSON array documents, one per file, each of at most
+    ``records_per_document`` records."""
+    if records_per_document < 1:
+        raise ValueError("records_per_document must be positive")
+    docs = json_records(df).mapInArrow(_as_documents(records_per_document), "value string")
+    docs.write.mode(mode).option("maxRecordsPerFile", records_per_document).text(path)
     return WriteReport(target=path, written=True)
 
 

@@ -157,3 +157,19 @@ def test_jdbc_writer_wiring(spark, monkeypatch):
     from tablezones.sinks import prepare_for_jdbc
 
     assert dict(prepare_for_jdbc(df).dtypes) == {"id": "int", "arr": "string", "m": "string"}
+
+
+@pytest.mark.parametrize("per_doc", [1, 7, 1000])
+def test_land_documents_bounded_size(spark, tmp_path, per_doc):
+    df = spark.range(0, 200, numPartitions=3).select("id", F.lit("x").alias("t"))
+    out = str(tmp_path / f"raw{per_doc}")
+    land_json_documents(df, out, records_per_document=per_doc)
+    total = 0
+    for f in part_files(out):
+        with open(f, encoding="utf-8") as fh:
+            doc = json.load(fh)
+        assert isinstance(doc, list) and 1 <= len(doc) <= per_doc
+        total += len(doc)
+    assert total == 200
+    back = read_json_documents(spark, out, schema="id long, t string")
+    assert sorted(r.id for r in back.collect()) == list(range(200))
