@@ -14,17 +14,27 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session, creating one only if unset."""
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            configured = tempfile.mkdtemp(prefix="tablezones-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tablezones-ckpt-"))
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tablezones-ckpt-"))
     return sc.getCheckpointDir()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable
 from urllib.parse import urlsplit
 
@@ -11,18 +12,29 @@ from tablezones.errors import UnsafeOverwriteError
 
 
 def _filesystem(spark: SparkSession, path: str):
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    """Hadoop path and file system, or None without a JVM handle (Spark Connect)."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:
+        return None
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
     return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` resolved against ``fs.defaultFS`` and the working directory."""
-    hpath, fs = _filesystem(spark, path)
+    handle = _filesystem(spark, path)
+    if handle is None:
+        return path if urlsplit(path).scheme else "file:" + os.path.abspath(path)
+    hpath, fs = handle
     return fs.makeQualified(hpath).toString()
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hpath, fs = _filesystem(spark, path)
+    """Whether ``path`` exists; assumed to when it cannot be checked, so the guard still runs."""
+    handle = _filesystem(spark, path)
+    if handle is None:
+        return True
+    hpath, fs = handle
     return bool(fs.exists(hpath))
 
 
