@@ -173,3 +173,17 @@ def test_land_documents_bounded_size(spark, tmp_path, per_doc):
     assert total == 200
     back = read_json_documents(spark, out, schema="id long, t string")
     assert sorted(r.id for r in back.collect()) == list(range(200))
+
+
+def test_inference_rules_are_sparks(spark, tmp_path):
+    # The reader adds nothing to JSON inference: sorted fields, widening, strings for dates.
+    path = tmp_path / "doc.json"
+    path.write_text(
+        '[{"z": 1, "a": 1, "m": 1, "big": 99999999999999999999, "d": "2024-01-01", "e": [], "s": {"y": 1, "b": 2}},'
+        ' {"z": 2, "a": 2.5, "m": "x", "big": 1, "d": "2024-01-02", "e": [], "s": null}]'
+    )
+    df = read_json_documents(spark, str(path))
+    assert df.columns == ["a", "big", "d", "e", "m", "s", "z"]
+    types = dict(df.dtypes)
+    assert types["a"] == "double" and types["m"] == "string" and types["big"] == "decimal(20,0)"
+    assert types["d"] == "string" and types["e"] == "array<string>" and types["s"] == "struct<b:bigint,y:bigint>"
