@@ -49,19 +49,16 @@ def uuid5(name: Column, namespace: str = KEY_NAMESPACE) -> Column:
     return uuid5_from_digest(uuid5_digest(name, namespace), name)
 
 
-def _python_uuid5(name, namespace: uuid.UUID) -> str | None:
-    if not name:
-        return None
-    return str(uuid.uuid5(namespace, str(name)))
-
-
 def uuid5_udf(name: Column, namespace: str = KEY_NAMESPACE) -> Column:
-    """Arrow-batched pandas UDF with the same result as :func:`uuid5`."""
+    """Arrow-batched pandas UDF with the same result as :func:`uuid5`.
+
+    Worker-side code is a closure over the namespace only, shipped by value,
+    so executors need the standard library and pandas, not this package."""
     ns = uuid.UUID(namespace)
 
     @F.pandas_udf(StringType())
     def _uuid5_batch(names: pd.Series) -> pd.Series:
-        return names.map(lambda n: _python_uuid5(n, ns))
+        return names.map(lambda n: str(uuid.uuid5(ns, str(n))) if n else None)
 
     return _uuid5_batch(name)
 
@@ -69,4 +66,4 @@ def uuid5_udf(name: Column, namespace: str = KEY_NAMESPACE) -> Column:
 def uuid5_python_udf(name: Column, namespace: str = KEY_NAMESPACE) -> Column:
     """Row-at-a-time Python UDF (the slowest form), kept for comparison only."""
     ns = uuid.UUID(namespace)
-    return F.udf(lambda n: _python_uuid5(n, ns), StringType())(name)
+    return F.udf(lambda n: str(uuid.uuid5(ns, str(n))) if n else None, StringType())(name)

@@ -26,19 +26,21 @@ from tablezones.sinks.report import WriteReport
 DEFAULT_RECORDS_PER_DOCUMENT = 50_000
 
 
-def _framed(batch: pa.RecordBatch, start: int, per_doc: int, closes_partition: bool) -> pa.RecordBatch:
-    pos = start + np.arange(batch.num_rows)
-    opens = pos % per_doc == 0
-    closes = pos % per_doc == per_doc - 1
-    if closes_partition:
-        closes[-1] = True
-    prefix = pa.array(np.where(opens, "[", ","), pa.string())
-    suffix = pa.array(np.where(closes, "]", ""), pa.string())
-    text = pc.binary_join_element_wise(prefix, batch.column(0), suffix, "")
-    return pa.RecordBatch.from_arrays([text], ["value"])
-
-
 def _as_documents(per_doc: int):
+    """The per-partition framing step. Built as a closure so it is shipped to
+    workers by value: they need pyarrow and numpy, not this package."""
+
+    def framed(batch, start, closes_partition):
+        pos = start + np.arange(batch.num_rows)
+        opens = pos % per_doc == 0
+        closes = pos % per_doc == per_doc - 1
+        if closes_partition:
+            closes[-1] = True
+        prefix = pa.array(np.where(opens, "[", ","), pa.string())
+        suffix = pa.array(np.where(closes, "]", ""), pa.string())
+        text = pc.binary_join_element_wise(prefix, batch.column(0), suffix, "")
+        return pa.RecordBatch.from_arrays([text], ["value"])
+
     def frame(batches):
         seen = 0
         pending = None
@@ -46,11 +48,11 @@ def _as_documents(per_doc: int):
             if batch.num_rows == 0:
                 continue
             if pending is not None:
-                yield _framed(pending, seen, per_doc, closes_partition=False)
+                yield framed(pending, seen, closes_partition=False)
                 seen += pending.num_rows
             pending = batch  # held back: only the partition's last batch closes early
         if pending is not None:
-            yield _framed(pending, seen, per_doc, closes_partition=True)
+            yield framed(pending, seen, closes_partition=True)
 
     return frame
 

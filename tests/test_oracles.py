@@ -38,3 +38,25 @@ def test_flagship_at_sf001(spark):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "country_id" in df.columns
+
+
+def test_workers_do_not_need_the_package_installed(tmp_path):
+    """Load the entry file by path from another directory: Python-side code
+    running in workers (Arrow landing step, UDF keys) must ship by value."""
+    import subprocess
+    import sys
+
+    script = tmp_path / "sim.py"
+    script.write_text(
+        "import importlib.util\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        f"spec = importlib.util.spec_from_file_location('__spark_entry__', {os.path.abspath(entry.__file__)!r})\n"
+        "mod = importlib.util.module_from_spec(spec); spec.loader.exec_module(mod)\n"
+        "for k in ('key_uuid5_udf', 'src_json_multiline'):\n"
+        "    print(k, len(mod.queries()[k](spark, '/root/testdata/sf0.001').collect()))\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "key_uuid5_udf 150" in done.stdout and "src_json_multiline 150" in done.stdout
