@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
+from pyspark.sql.types import DataType, MapType, StringType, StructType
 
 
 def column(name: str) -> Column:
@@ -55,7 +55,3 @@ def array_item(arr: Column, index: int) -> Column:
     ``F.get`` keeps the non-ANSI ``getItem`` semantics under ANSI mode, where
     ``getItem`` on a short array raises INVALID_ARRAY_INDEX."""
     return F.get(arr, index)
-
-
-def is_array(df: DataFrame, name: str) -> bool:
-    return isinstance(lookup_type(df, name), ArrayType)

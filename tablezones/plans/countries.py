@@ -13,8 +13,9 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
+from tablezones.errors import ColumnTypeError
 from tablezones.functions.fields import array_item, column, field_or_null, has_key, lookup_type
 from tablezones.functions.strings import join_array
 from tablezones.functions.uuid5 import KEY_NAMESPACE
@@ -73,6 +74,27 @@ class CountryRules:
 COUNTRIES = CountryRules()
 
 
+def _joinable(df: DataFrame, name: str):
+    """``name`` as something ``concat_ws`` accepts: a string, or an array whose
+    elements are cast to string."""
+    dtype = lookup_type(df, name)
+    if isinstance(dtype, StringType):
+        return column(name)
+    if isinstance(dtype, ArrayType):
+        if isinstance(dtype.elementType, StringType):
+            return column(name)
+        if not isinstance(dtype.elementType, (StructType, ArrayType, MapType)):
+            return column(name).cast("array<string>")
+    raise ColumnTypeError(f"column {name!r} of type {dtype.simpleString()} cannot be joined into a string")
+
+
+def _array(df: DataFrame, name: str):
+    dtype = lookup_type(df, name)
+    if not isinstance(dtype, ArrayType):
+        raise ColumnTypeError(f"column {name!r} must be an array, found {dtype.simpleString()}")
+    return column(name)
+
+
 def derive_columns(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
     """Per-column rules on the still-nested record, one projection.
 
@@ -81,10 +103,10 @@ def derive_columns(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
     ``latlng``, ``su_dung_tieng_anh`` from ``languages``, ``Google_Maps`` from
     ``maps``, ``timezone_1`` from ``timezones``, ``svg_flags`` from ``flags``.
     Missing inputs give typed NULLs, never an analysis error."""
-    exprs = {c: join_array(column(c), rules.join_separator) for c in rules.pipe_joined if c in df.columns}
+    exprs = {c: join_array(_joinable(df, c), rules.join_separator) for c in rules.pipe_joined if c in df.columns}
     if "latlng" in df.columns:
-        exprs["lat"] = array_item(column("latlng"), 0).cast("double")
-        exprs["lng"] = array_item(column("latlng"), 1).cast("double")
+        exprs["lat"] = array_item(_array(df, "latlng"), 0).cast("double")
+        exprs["lng"] = array_item(_array(df, "latlng"), 1).cast("double")
     if "languages" in df.columns:
         exprs["su_dung_tieng_anh"] = has_key(df, "languages", "eng")
     df = with_columns(df, exprs)
@@ -95,7 +117,7 @@ def derive_columns(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
     if "maps" in df.columns:
         tail["Google_Maps"] = field_or_null(df, "maps", "googleMaps")
     if "timezones" in df.columns:
-        tail["timezone_1"] = array_item(column("timezones"), 0)
+        tail["timezone_1"] = array_item(_array(df, "timezones"), 0)
     if "flags" in df.columns:
         tail["svg_flags"] = field_or_null(df, "flags", "svg")
     return with_columns(df, tail)

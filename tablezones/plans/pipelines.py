@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tablezones.errors import EmptyInputError
+from tablezones.errors import CorruptInputError, EmptyInputError
 from tablezones.functions.fields import column
 from tablezones.plans.countries import COUNTRIES, CountryRules, transform_countries
 from tablezones.sinks.jdbc import prepare_for_jdbc, write_jdbc
@@ -47,7 +47,12 @@ def structure(
     extra = []
     if CORRUPT_COLUMN in df.columns:
         extra.append(F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))
-    report = write_parquet(df, foundation_path, extra_metrics=extra, inputs=[raw_path])
+    try:
+        report = write_parquet(df, foundation_path, extra_metrics=extra, inputs=[raw_path])
+    except Exception as exc:
+        if "MALFORMED_RECORD" in str(exc) or "Malformed records are detected" in str(exc):
+            raise CorruptInputError(f"malformed JSON under {raw_path}") from exc
+        raise
     if report.rows == 0:
         raise EmptyInputError(f"no records in {raw_path}; stopping before later stages")
     return report

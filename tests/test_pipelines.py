@@ -223,3 +223,28 @@ def test_cli_runs_structure_then_transform(zones):
         env=env, capture_output=True, text=True, timeout=300,
     )
     assert bad.returncode != 0 and "MissingInputError" in bad.stderr
+
+
+def test_type_rules(spark):
+    from tablezones.errors import ColumnTypeError
+
+    ok = spark.createDataFrame([([1, None, 3], "a|b")], "capital array<int>, continents string")
+    r = transform_countries(ok).first()
+    assert (r.Thu_do, r.Luc_dia) == ("1|3", "a|b")
+    with pytest.raises(ColumnTypeError):
+        transform_countries(spark.createDataFrame([("1,2",)], "latlng string"))
+    with pytest.raises(ColumnTypeError):
+        transform_countries(spark.createDataFrame([([{"a": 1}],)], "capital array<struct<a:int>>"))
+
+
+def test_structure_fail_mode_raises_typed_error(spark, tmp_path):
+    from tablezones.errors import CorruptInputError
+
+    z = Zones.under(str(tmp_path))
+    os.makedirs(z.raw)
+    with open(os.path.join(z.raw, "bad.json"), "w") as fh:
+        fh.write('[{"name": {"common": "x"}}, {"name": ')
+    with pytest.raises(CorruptInputError):
+        structure(spark, z.raw, z.foundation, schema="name struct<common:string>", on_corrupt="fail")
+    report = structure(spark, z.raw, z.foundation, schema="name struct<common:string>")
+    assert report.metrics["corrupt_rows"] == 1
