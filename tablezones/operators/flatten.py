@@ -42,9 +42,10 @@ def extract_variants(
     For a struct only the keys it has are emitted (schema decides); for a map
     the keys are not in the schema, so every allowed key is emitted and rows
     without it hold NULL. Complex values are JSON-encoded. The whole column is
-    then JSON-encoded in place unless ``encode_whole`` is false."""
+    then JSON-encoded in place unless ``encode_whole`` is false. All of it is
+    one projection over the input, so derived columns read the original value."""
     dtype = lookup_type(df, name)
-    prefix = f"{name.rstrip('s')}_" if prefix is None else prefix
+    prefix = f"{name}_" if prefix is None else prefix
     out = {}
     if isinstance(dtype, StructType):
         fields = {f.name: f.dataType for f in dtype.fields}
@@ -58,9 +59,4 @@ def extract_variants(
         return df
     if encode_whole:
         out[name] = F.to_json(column(name))
-    # Derived columns read the original value, so replace it in the same projection.
-    ordered = {k: v for k, v in out.items() if k != name}
-    exprs = [
-        (out[f.name] if f.name in out else column(f.name)).alias(f.name) for f in df.schema.fields
-    ] + [v.alias(k) for k, v in ordered.items()]
-    return df.select(*exprs)
+    return df.withColumns(out)

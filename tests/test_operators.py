@@ -114,3 +114,11 @@ def test_profile_columns(spark, nested):
 def test_profile_is_one_aggregation(spark, nested):
     plan = profile_columns(nested)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") <= 2  # partial + final, one pass
+
+
+def test_extract_variants_default_prefix_and_existing_column(spark):
+    df = spark.createDataFrame([({"eng": "E"}, "old")], "class struct<eng:string>, class_eng string")
+    out = extract_variants(df, "class", ["eng"])
+    assert out.columns == ["class", "class_eng"]  # replaced in place, not duplicated
+    r = out.first()
+    assert (r["class"], r["class_eng"]) == ('{"eng":"E"}', "E")
