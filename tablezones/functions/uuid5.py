@@ -15,8 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Fixed value: namespace of the country keys.
-KEY_NAMESPACE = "9a5963f8-5a5c-4b8c-aa46-1068af074546"
+from tablezones.fixed_values import KEY_NAMESPACE
 
 
 def uuid5_digest(name: Column, namespace: str = KEY_NAMESPACE) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablezones import fixed_values as fv
 from tablezones.errors import MissingColumnError
 from tablezones.functions.fields import column, field_or_null, lookup_type
 from tablezones.functions.strings import join_strings
@@ -24,9 +25,9 @@ _NAME, _DIGEST = "__uuid5_name", "__uuid5_digest"
 
 def key_name(
     df: DataFrame,
-    name: str = "name",
-    parts: Sequence[str] = ("common", "official"),
-    sep: str = " - ",
+    name: str = fv.KEY_SOURCE_COLUMN,
+    parts: Sequence[str] = fv.KEY_SOURCE_FIELDS,
+    sep: str = fv.KEY_SEPARATOR,
     strict: bool = False,
 ) -> Column:
     """Text that identifies a row: struct parts joined by ``sep`` (NULL parts
@@ -44,7 +45,7 @@ def key_name(
 def with_uuid5_key(
     df: DataFrame,
     source: Column,
-    out: str = "country_id",
+    out: str = fv.KEY_COLUMN,
     namespace: str = KEY_NAMESPACE,
     method: str = "native",
 ) -> DataFrame:

@@ -15,53 +15,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
+from tablezones import fixed_values as fv
 from tablezones.errors import ColumnTypeError
 from tablezones.functions.fields import array_item, column, field_or_null, has_key, lookup_type
 from tablezones.functions.strings import join_array
-from tablezones.functions.uuid5 import KEY_NAMESPACE
 from tablezones.operators.flatten import extract_variants, flatten_complex
 from tablezones.operators.keys import key_name, with_uuid5_key
 from tablezones.operators.project import rename_columns, select_present, with_columns
 
-# The feed columns kept, in output order.
-ALLOW_LIST = (
-    "name", "ccn3", "cca3", "latlng", "independent", "status", "translations",
-    "capital", "altSpellings", "languages", "region", "area", "maps", "timezones",
-    "continents", "flags", "startOfWeek",
-)
-
-# Output names of the renamed feed columns.
-RENAMES = {
-    "name": "Dat_nuoc",
-    "independent": "Doc_lap",
-    "status": "Trang_thai",
-    "capital": "Thu_do",
-    "altSpellings": "Ten_thay_the",
-    "region": "Khu_vuc",
-    "area": "dien_tich",
-    "maps": "ban_do",
-    "timezones": "Mui_gio",
-    "continents": "Luc_dia",
-    "flags": "Quoc_ky",
-    "startOfWeek": "Ngay_bat_dau_tuan",
-}
-
-# Translation codes given their own column, in this order.
-TRANSLATION_CODES = ("eng", "fra", "spa", "deu", "ita", "por", "rus", "ara", "zho", "jpn")
-
-# Array columns joined into one '|'-separated string.
-PIPE_JOINED = ("capital", "altSpellings", "continents")
+ALLOW_LIST = fv.ALLOW_LIST
+RENAMES = fv.RENAMES
+TRANSLATION_CODES = fv.TRANSLATION_CODES
+PIPE_JOINED = fv.PIPE_JOINED
 
 
 @dataclass(frozen=True)
 class CountryRules:
-    allow_list: tuple[str, ...] = ALLOW_LIST
-    renames: dict = field(default_factory=lambda: dict(RENAMES))
-    translation_codes: tuple[str, ...] = TRANSLATION_CODES
-    pipe_joined: tuple[str, ...] = PIPE_JOINED
-    join_separator: str = "|"
-    key_column: str = "country_id"
-    key_namespace: str = KEY_NAMESPACE
+    allow_list: tuple[str, ...] = fv.ALLOW_LIST
+    renames: dict = field(default_factory=lambda: dict(fv.RENAMES))
+    translation_codes: tuple[str, ...] = fv.TRANSLATION_CODES
+    pipe_joined: tuple[str, ...] = fv.PIPE_JOINED
+    join_separator: str = fv.JOIN_SEPARATOR
+    key_column: str = fv.KEY_COLUMN
+    key_namespace: str = fv.KEY_NAMESPACE
     key_method: str = "native"
     attach_key: bool = True
     keep: tuple[str, ...] = ()
@@ -95,31 +71,39 @@ def _array(df: DataFrame, name: str):
     return column(name)
 
 
+def _item(df: DataFrame, rule: tuple[str, str, int]):
+    out, source, index = rule
+    return out, array_item(_array(df, source), index)
+
+
 def derive_columns(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
-    """Per-column rules on the still-nested record, one projection.
+    """Per-column rules on the still-nested record, one projection each.
 
     Arrays in ``pipe_joined`` become delimited strings in place; the other
-    rules add columns read from the nested values: ``lat``/``lng`` from
-    ``latlng``, ``su_dung_tieng_anh`` from ``languages``, ``Google_Maps`` from
-    ``maps``, ``timezone_1`` from ``timezones``, ``svg_flags`` from ``flags``.
-    Missing inputs give typed NULLs, never an analysis error."""
+    rules add columns read from the nested values (see ``fixed_values``):
+    ``lat``/``lng`` from ``latlng``, ``su_dung_tieng_anh`` from ``languages``,
+    one ``translation_<code>`` per code, ``Google_Maps`` from ``maps``,
+    ``timezone_1`` from ``timezones``, ``svg_flags`` from ``flags``. Missing
+    inputs give typed NULLs, never an analysis error."""
     exprs = {c: join_array(_joinable(df, c), rules.join_separator) for c in rules.pipe_joined if c in df.columns}
-    if "latlng" in df.columns:
-        exprs["lat"] = array_item(_array(df, "latlng"), 0).cast("double")
-        exprs["lng"] = array_item(_array(df, "latlng"), 1).cast("double")
-    if "languages" in df.columns:
-        exprs["su_dung_tieng_anh"] = has_key(df, "languages", "eng")
+    for rule in (fv.LAT, fv.LNG):
+        if rule[1] in df.columns:
+            name, value = _item(df, rule)
+            exprs[name] = value.cast("double")
+    out, source, key = fv.ENGLISH_FLAG
+    if source in df.columns:
+        exprs[out] = has_key(df, source, key)
     df = with_columns(df, exprs)
     # A struct emits the codes it has; a map (explicit open-key schema) all codes.
     if isinstance(lookup_type(df, "translations"), (StructType, MapType)):
-        df = extract_variants(df, "translations", rules.translation_codes, prefix="translation_", encode_whole=False)
+        df = extract_variants(
+            df, "translations", rules.translation_codes, prefix=fv.TRANSLATION_PREFIX, encode_whole=False
+        )
     tail = {}
-    if "maps" in df.columns:
-        tail["Google_Maps"] = field_or_null(df, "maps", "googleMaps")
-    if "timezones" in df.columns:
-        tail["timezone_1"] = array_item(_array(df, "timezones"), 0)
-    if "flags" in df.columns:
-        tail["svg_flags"] = field_or_null(df, "flags", "svg")
+    for kind, rule in (("field", fv.GOOGLE_MAPS), ("item", fv.FIRST_TIMEZONE), ("field", fv.SVG_FLAG)):
+        out, source, key = rule
+        if source in df.columns:
+            tail[out] = field_or_null(df, source, key) if kind == "field" else _item(df, rule)[1]
     return with_columns(df, tail)
 
 
@@ -129,12 +113,14 @@ def transform_countries(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataF
     selected = select_present(df, [*rules.keep, *[c for c in rules.allow_list if c not in rules.keep]])
     out = selected.transform(derive_columns, rules)
     if rules.attach_key:
-        out = with_uuid5_key(out, key_name(selected), rules.key_column, rules.key_namespace, rules.key_method)
+        name = key_name(selected, fv.KEY_SOURCE_COLUMN, fv.KEY_SOURCE_FIELDS, fv.KEY_SEPARATOR)
+        out = with_uuid5_key(out, name, rules.key_column, rules.key_namespace, rules.key_method)
     return out.transform(flatten_complex).transform(rename_columns, rules.renames)
 
 
 def key_only(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
     """Just the key name and its UUID, e.g. to feed ``join_attach_key``."""
-    return df.select(key_name(df).alias("name1")).transform(
+    name = key_name(df, fv.KEY_SOURCE_COLUMN, fv.KEY_SOURCE_FIELDS, fv.KEY_SEPARATOR)
+    return df.select(name.alias("name1")).transform(
         with_uuid5_key, F.col("name1"), rules.key_column, rules.key_namespace, rules.key_method
     )

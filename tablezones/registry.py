@@ -30,7 +30,7 @@ from tablezones.operators import (
     with_uuid5_key,
 )
 from tablezones.plans import COUNTRIES, Zones, key_only, run_end_to_end, serving_frame, structure, transform
-from tablezones.plans.countries import TRANSLATION_CODES
+from tablezones.fixed_values import TRANSLATION_CODES, TRANSLATION_PREFIX
 from tablezones.session import scratch_path
 from tablezones.sinks import land_json_documents, land_json_lines, prepare_for_jdbc, write_parquet
 from tablezones.sources import read_json_documents, read_json_lines, read_parquet
@@ -189,7 +189,7 @@ def flatten_complex_q(spark, sf_dir):
 
 def json_extract_variants(spark, sf_dir):
     ent = testbed.entities(spark, sf_dir).select("id", "translations")
-    out = extract_variants(ent, "translations", TRANSLATION_CODES, prefix="translation_")
+    out = extract_variants(ent, "translations", TRANSLATION_CODES, prefix=TRANSLATION_PREFIX)
     return out.select("id", "translation_fra", "translation_deu", "translations")
 
 

@@ -16,11 +16,9 @@ from tablezones.sinks.gate import has_rows
 from tablezones.sinks.parquet import observed
 from tablezones.sinks.report import WriteReport
 
-# Writer settings of the serving table.
-MYSQL_DRIVER = "com.mysql.cj.jdbc.Driver"
-MYSQL_TABLE_OPTIONS = "ENGINE=InnoDB DEFAULT CHARSET=utf8mb4 COLLATE=utf8mb4_unicode_ci"
-BATCH_SIZE = 1000
-ISOLATION_LEVEL = "NONE"
+from tablezones.fixed_values import JDBC_BATCH_SIZE as BATCH_SIZE
+from tablezones.fixed_values import JDBC_ISOLATION_LEVEL as ISOLATION_LEVEL
+from tablezones.fixed_values import MYSQL_DRIVER, MYSQL_TABLE_OPTIONS
 
 
 def prepare_for_jdbc(df: DataFrame) -> DataFrame:
