@@ -18,6 +18,7 @@ from tablezones.errors import MissingColumnError
 from tablezones.functions.fields import column, field_or_null, lookup_type
 from tablezones.functions.strings import join_strings
 from tablezones.functions.uuid5 import KEY_NAMESPACE, uuid5_digest, uuid5_from_digest, uuid5_python_udf, uuid5_udf
+from tablezones.session import scratch_path
 
 _UDFS = {"udf": uuid5_udf, "python": uuid5_python_udf}
 _NAME, _DIGEST = "__uuid5_name", "__uuid5_digest"
@@ -64,13 +65,30 @@ def with_uuid5_key(
     return hashed.withColumn(out, uuid5_from_digest(F.col(_DIGEST), F.col(_NAME))).drop(_NAME, _DIGEST)
 
 
-def join_attach_key(df: DataFrame, keys: DataFrame, on: str, key_columns: Sequence[str]) -> DataFrame:
+def join_attach_key(
+    df: DataFrame,
+    keys: DataFrame,
+    on: str,
+    key_columns: Sequence[str],
+    stage: bool = True,
+    stage_path: str | None = None,
+) -> DataFrame:
     """Left-join ``key_columns`` from ``keys`` on the same-named column ``on``.
 
     The key side is first reduced to one row per ``on`` value (partial
     aggregation map-side), so a duplicated name cannot multiply left rows;
-    NULL names never match and keep a NULL key. A hot value on the left is
-    split by AQE's skew-join handling, which may replicate the one matching
-    right row."""
+    NULL names never match and keep a NULL key.
+
+    With ``stage`` (default) the reduced key table is written once under the
+    shared checkpoint folder and read back. That cuts its lineage and leaves
+    both join inputs as plain shuffles, the shape AQE needs to split a hot
+    left key (say a third of all rows) across many tasks; a de-duplicating
+    aggregate directly under the join would block that split. A small staged
+    table is broadcast instead, by its measured size."""
     right = keys.select(column(on), *[column(c) for c in key_columns]).dropDuplicates([on])
+    if stage:
+        spark = df.sparkSession
+        path = stage_path or scratch_path(spark, "attach-keys")
+        right.write.mode("overwrite").parquet(path)
+        right = spark.read.parquet(path)
     return df.join(right, on=on, how="left")

@@ -122,3 +122,39 @@ def test_extract_variants_default_prefix_and_existing_column(spark):
     assert out.columns == ["class", "class_eng"]  # replaced in place, not duplicated
     r = out.first()
     assert (r["class"], r["class_eng"]) == ('{"eng":"E"}', "E")
+
+
+def test_join_attach_key_hot_key_is_split_not_dropped(spark):
+    """One key holds a third of the rows: AQE splits its partition; every row survives once."""
+    from pyspark.sql import functions as F
+
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        n = 30_000
+        left = spark.range(n, numPartitions=8).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("name1")
+        )
+        keys = left.select("name1").withColumn("key", F.concat(F.lit("k-"), F.col("name1")))
+        out = join_attach_key(left, keys, "name1", ["key"]).select("id", "key")
+        rows = out.collect()
+        assert len(rows) == n and len({r.id for r in rows}) == n
+        assert sum(r.key == "k-hot" for r in rows) == n // 3
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan or "isSkewJoin=true" in plan, plan
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
