@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -15,7 +16,8 @@ from tablezones.sinks.report import WriteReport
 def observed(df: DataFrame, name: str, extra: Sequence[Column] = ()) -> tuple[DataFrame, Observation]:
     """Attach a row count (plus ``extra`` aggregates) that is computed by the
     next action on the returned frame, without a separate job."""
-    obs = Observation(name)
+    # Unique per call: two observations of one name in a plan are an error.
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra), obs
 
 

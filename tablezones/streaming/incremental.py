@@ -33,8 +33,9 @@ def start_incremental_transform(
 ) -> StreamingQuery:
     """Start the stream; call ``awaitTermination()`` on the result to wait.
 
-    ``archive_dir`` moves each processed raw file there once its batch is
-    committed, so the raw zone (and its listing per trigger) stays small."""
+    ``archive_dir`` moves processed raw files there (those of a batch once a
+    later batch commits, so the newest files wait for the next run), keeping
+    the raw zone and its listing per trigger small."""
     reader = spark.readStream.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -248,3 +248,19 @@ def test_structure_fail_mode_raises_typed_error(spark, tmp_path):
         structure(spark, z.raw, z.foundation, schema="name struct<common:string>", on_corrupt="fail")
     report = structure(spark, z.raw, z.foundation, schema="name struct<common:string>")
     assert report.metrics["corrupt_rows"] == 1
+
+
+def test_incremental_stream_archives_processed_files(spark, tmp_path, zones):
+    structure(spark, zones.raw, zones.foundation)
+    schema = read_parquet(spark, zones.foundation).schema
+    archive = str(tmp_path / "archive")
+    trusted = str(tmp_path / "stream_trusted_archive")
+    kw = dict(checkpoint=str(tmp_path / "ck2"), archive_dir=archive)
+    run_incremental_transform(spark, zones.raw, trusted, schema, **kw)
+    with open(os.path.join(zones.raw, "raw2.json"), "w") as fh:
+        json.dump([dict(FIXTURE, name={"common": "Japan", "official": "Japan"})], fh)
+    run_incremental_transform(spark, zones.raw, trusted, schema, **kw)
+    assert read_parquet(spark, trusted).count() == 2
+    # Files of a batch are archived once a later batch commits.
+    archived = [f for _, _, fs in os.walk(archive) for f in fs]
+    assert "raw.json" in archived and os.listdir(zones.raw) == ["raw2.json"]
