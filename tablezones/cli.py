@@ -3,6 +3,7 @@
     spark-submit --py-files tablezones.zip tablezones/cli.py structure <raw_path> <foundation_path> [--schema DDL]
     spark-submit --py-files tablezones.zip tablezones/cli.py transform <foundation_path> <trusted_path>
     spark-submit --py-files tablezones.zip tablezones/cli.py save <trusted_path> <table> --url JDBC_URL [--user U] [--password-file F]
+    spark-submit --py-files tablezones.zip tablezones/cli.py all <raw> <foundation> <trusted> [--schema DDL] [--url URL --table T]
 
 The master, memory and executors come from spark-submit, never from here.
 Any failure raises, so the process exits non-zero and a scheduler stops the
@@ -17,7 +18,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from tablezones.plans.pipelines import save, structure, transform
+from tablezones.plans.pipelines import Zones, run_end_to_end, save, structure, transform
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -35,13 +36,33 @@ def _parser() -> argparse.ArgumentParser:
     v.add_argument("input_path")
     v.add_argument("table")
     v.add_argument("--url", required=True)
-    v.add_argument("--user")
-    v.add_argument("--password-file", help="file holding the password (kept off the command line)")
-    v.add_argument("--num-partitions", type=int)
-    v.add_argument("--truncate", action="store_true")
+    _jdbc_args(v)
+    a = sub.add_parser("all", help="raw -> foundation -> trusted (-> table), stopping at the first failure")
+    a.add_argument("raw_path")
+    a.add_argument("foundation_path")
+    a.add_argument("trusted_path")
+    a.add_argument("--schema", help="DDL schema; skips the inference pass")
+    a.add_argument("--url", help="JDBC URL; with --table also runs the save stage")
+    a.add_argument("--table")
+    _jdbc_args(a)
     return p
 
 
+def _jdbc_args(p: argparse.ArgumentParser) -> None:
+    p.add_argument("--user")
+    p.add_argument("--password-file", help="file holding the password (kept off the command line)")
+    p.add_argument("--num-partitions", type=int)
+    p.add_argument("--truncate", action="store_true")
+
+
+def _jdbc_options(args) -> dict:
+    password = None
+    if args.password_file:
+        with open(args.password_file, encoding="utf-8") as fh:
+            password = fh.read().strip()
+    return {"user": args.user, "password": password, "num_partitions": args.num_partitions, "truncate": args.truncate}
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"tablezones-{args.job}").getOrCreate()
@@ -50,21 +71,17 @@ def main(argv: list[str] | None = None) -> int:
             report = structure(spark, args.input_path, args.output_path, schema=args.schema, on_corrupt=args.on_corrupt)
         elif args.job == "transform":
             report = transform(spark, args.input_path, args.output_path)
+        elif args.job == "save":
+            report = save(spark, args.input_path, args.url, args.table, **_jdbc_options(args))
         else:
-            password = None
-            if args.password_file:
-                with open(args.password_file, encoding="utf-8") as fh:
-                    password = fh.read().strip()
-            report = save(
-                spark,
-                args.input_path,
-                args.url,
-                args.table,
-                user=args.user,
-                password=password,
-                num_partitions=args.num_partitions,
-                truncate=args.truncate,
-            )
+            zones = Zones(args.raw_path, args.foundation_path, args.trusted_path)
+            jdbc = None
+            if args.url and args.table:
+                jdbc = {"url": args.url, "table": args.table, **_jdbc_options(args)}
+            reports = run_end_to_end(spark, zones, schema=args.schema, jdbc=jdbc)
+            for stage, rep in reports.items():
+                print(json.dumps({"job": stage, "target": rep.target, "written": rep.written, **rep.metrics}))
+            return 0
         print(json.dumps({"job": args.job, "target": report.target, "written": report.written, **report.metrics}))
         return 0
     finally:

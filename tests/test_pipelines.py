@@ -206,6 +206,8 @@ def test_cli_arguments():
 
     assert cli._parser().parse_args(["structure", "a", "b"]).job == "structure"
     assert cli._parser().parse_args(["save", "a", "t", "--url", "jdbc:x"]).url == "jdbc:x"
+    args = cli._parser().parse_args(["all", "r", "f", "t", "--url", "jdbc:x", "--table", "c", "--num-partitions", "4"])
+    assert (args.table, cli._jdbc_options(args)["num_partitions"]) == ("c", 4)
 
 
 def test_cli_runs_structure_then_transform(zones):
@@ -218,6 +220,13 @@ def test_cli_runs_structure_then_transform(zones):
         done = subprocess.run([sys.executable, "-m", "tablezones.cli", *args], env=env, capture_output=True, text=True, timeout=300)
         assert done.returncode == 0, done.stderr[-2000:]
         assert json.loads(done.stdout.strip().splitlines()[-1])["rows"] == 1
+    done = subprocess.run(
+        [sys.executable, "-m", "tablezones.cli", "all", zones.raw, zones.foundation + "_all", zones.trusted + "_all"],
+        env=env, capture_output=True, text=True, timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    stages = [json.loads(line)["job"] for line in done.stdout.strip().splitlines() if line.startswith("{")]
+    assert stages == ["structure", "transform"]
     bad = subprocess.run(
         [sys.executable, "-m", "tablezones.cli", "transform", zones.raw + "/missing", zones.trusted + "2"],
         env=env, capture_output=True, text=True, timeout=300,
