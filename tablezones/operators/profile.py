@@ -27,22 +27,25 @@ def preview(df: DataFrame, order_by: Sequence[str | Column], n: int = 5) -> Data
     return df.orderBy(*order_by).limit(n)
 
 
-def profile_columns(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """One row per column: name, whether it is complex, row count, NULL count.
+def profile_columns(df: DataFrame, columns: Iterable[str] | None = None, with_types: bool = False) -> DataFrame:
+    """One row per column: name, whether it is complex, row count, NULL count
+    (and the type's DDL text with ``with_types``).
 
     All counts come from a single aggregation pass; the result is unpivoted
-    from the one aggregate row."""
+    from the one aggregate row. Types come from the schema, not the data."""
     names = list(df.columns if columns is None else columns)
     aggs = [F.count(F.lit(1)).alias("n_rows")]
     aggs += [F.count_if(column(c).isNull()).alias(f"n_nulls_{i}") for i, c in enumerate(names)]
     stats = df.agg(*aggs)
-    rows = [
-        F.struct(
+    rows = []
+    for i, c in enumerate(names):
+        fields = [
             F.lit(c).alias("column_name"),
             F.lit(is_complex(lookup_type(df, c))).alias("is_complex"),
             F.col("n_rows").alias("n_rows"),
             F.col(f"n_nulls_{i}").alias("n_nulls"),
-        )
-        for i, c in enumerate(names)
-    ]
+        ]
+        if with_types:
+            fields.append(F.lit(lookup_type(df, c).simpleString()).alias("data_type"))
+        rows.append(F.struct(*fields))
     return stats.select(F.inline(F.array(*rows)))

@@ -158,3 +158,8 @@ def test_join_attach_key_hot_key_is_split_not_dropped(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_profile_with_types(spark, nested):
+    rows = {r.column_name: r for r in profile_columns(nested, ["s", "txt"], with_types=True).collect()}
+    assert rows["s"].data_type == "struct<a:string,b:int>" and rows["txt"].data_type == "string"
