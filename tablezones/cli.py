@@ -18,8 +18,11 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from tablezones.plans.countries import FEED_SCHEMA
 from tablezones.plans.pipelines import Zones, run_end_to_end, save, structure, transform
 
+NAMED_SCHEMAS = {"countries": FEED_SCHEMA}
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tablezones")
@@ -27,7 +30,7 @@ def _parser() -> argparse.ArgumentParser:
     s = sub.add_parser("structure", help="raw JSON documents -> foundation Parquet")
     s.add_argument("input_path")
     s.add_argument("output_path")
-    s.add_argument("--schema", help="DDL schema; skips the inference pass")
+    s.add_argument("--schema", help="DDL schema or 'countries'; skips the inference pass")
     s.add_argument("--on-corrupt", default="keep", choices=["keep", "fail", "drop"])
     t = sub.add_parser("transform", help="foundation Parquet -> flat trusted Parquet")
     t.add_argument("input_path")
@@ -41,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("raw_path")
     a.add_argument("foundation_path")
     a.add_argument("trusted_path")
-    a.add_argument("--schema", help="DDL schema; skips the inference pass")
+    a.add_argument("--schema", help="DDL schema or 'countries'; skips the inference pass")
     a.add_argument("--url", help="JDBC URL; with --table also runs the save stage")
     a.add_argument("--table")
     _jdbc_args(a)
@@ -65,6 +68,8 @@ def _jdbc_options(args) -> dict:
 
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
+    if getattr(args, "schema", None):
+        args.schema = NAMED_SCHEMAS.get(args.schema, args.schema)
     spark = SparkSession.builder.appName(f"tablezones-{args.job}").getOrCreate()
     try:
         if args.job == "structure":

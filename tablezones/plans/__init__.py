@@ -1,4 +1,11 @@
-from tablezones.plans.countries import COUNTRIES, CountryRules, derive_columns, key_only, transform_countries
+from tablezones.plans.countries import (
+    COUNTRIES,
+    FEED_SCHEMA,
+    CountryRules,
+    derive_columns,
+    key_only,
+    transform_countries,
+)
 from tablezones.plans.pipelines import (
     Zones,
     run_end_to_end,
@@ -12,6 +19,7 @@ from tablezones.plans.pipelines import (
 
 __all__ = [
     "COUNTRIES",
+    "FEED_SCHEMA",
     "CountryRules",
     "Zones",
     "derive_columns",

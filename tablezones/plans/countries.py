@@ -49,6 +49,20 @@ class CountryRules:
 
 COUNTRIES = CountryRules()
 
+# Explicit schema for the countries feed: reading with it skips the inference
+# pass over the raw zone, and types the open key sets (language and
+# translation codes) as maps, so the trusted table gets the same columns
+# whatever codes a run's data holds. Fields absent from the data read as NULL
+# (and vanish from JSON text); map JSON follows the source's key order.
+FEED_SCHEMA = (
+    "name struct<common:string,official:string,nativeName:map<string,struct<common:string,official:string>>>, "
+    "ccn3 string, cca3 string, latlng array<double>, independent boolean, status string, "
+    "translations map<string,struct<common:string,official:string>>, capital array<string>, "
+    "altSpellings array<string>, languages map<string,string>, region string, area double, "
+    "maps struct<googleMaps:string,openStreetMaps:string>, timezones array<string>, continents array<string>, "
+    "flags struct<alt:string,png:string,svg:string>, startOfWeek string"
+)
+
 
 def _joinable(df: DataFrame, name: str):
     """``name`` as something ``concat_ws`` accepts: a string, or an array whose

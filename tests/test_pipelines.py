@@ -273,3 +273,20 @@ def test_incremental_stream_archives_processed_files(spark, tmp_path, zones):
     # Files of a batch are archived once a later batch commits.
     archived = [f for _, _, fs in os.walk(archive) for f in fs]
     assert "raw.json" in archived and os.listdir(zones.raw) == ["raw2.json"]
+
+
+def test_explicit_feed_schema_gives_stable_columns(spark, zones):
+    from tablezones.plans import FEED_SCHEMA
+
+    reports = run_end_to_end(spark, zones, schema=FEED_SCHEMA)
+    assert reports["structure"].rows == 1
+    out = read_parquet(spark, zones.trusted)
+    codes = ("eng", "fra", "spa", "deu", "ita", "por", "rus", "ara", "zho", "jpn")
+    assert [c for c in out.columns if c.startswith("translation_")] == [f"translation_{c}" for c in codes]
+    row = out.first()
+    golden = {name: value for name, _, value in GOLDEN}
+    for name in ("Dat_nuoc", "Ten_thay_the", "Thu_do", "lat", "lng", "su_dung_tieng_anh", "Google_Maps",
+                 "svg_flags", "timezone_1", "translation_eng", "Quoc_ky", "ban_do", "country_id"):
+        assert row[name] == golden[name], name
+    assert json.loads(row.languages) == json.loads(golden["languages"])
+    assert row.translation_fra is None
