@@ -67,17 +67,26 @@ def land_json_documents(
     path: str,
     mode: str = "overwrite",
     records_per_document: int = DEFAULT_RECORDS_PER_DOCUMENT,
+    compression: str | None = None,
 ) -> WriteReport:
     """Write ``df`` as JSON array documents, one per file, each of at most
-    ``records_per_document`` records."""
+    ``records_per_document`` records; ``compression`` e.g. 'gzip' (a document
+    is read whole by one task either way)."""
     if records_per_document < 1:
         raise ValueError("records_per_document must be positive")
     docs = json_records(df).mapInArrow(_as_documents(records_per_document), "value string")
-    docs.write.mode(mode).option("maxRecordsPerFile", records_per_document).text(path)
+    writer = docs.write.mode(mode).option("maxRecordsPerFile", records_per_document)
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.text(path)
     return WriteReport(target=path, written=True)
 
 
-def land_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> WriteReport:
-    """Write ``df`` as JSON lines (splittable on read)."""
-    df.write.mode(mode).json(path)
+def land_json_lines(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> WriteReport:
+    """Write ``df`` as JSON lines (splittable on read unless compressed with a
+    non-splittable codec such as gzip)."""
+    writer = df.write.mode(mode)
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.json(path)
     return WriteReport(target=path, written=True)

@@ -187,3 +187,13 @@ def test_inference_rules_are_sparks(spark, tmp_path):
     types = dict(df.dtypes)
     assert types["a"] == "double" and types["m"] == "string" and types["big"] == "decimal(20,0)"
     assert types["d"] == "string" and types["e"] == "array<string>" and types["s"] == "struct<b:bigint,y:bigint>"
+
+
+def test_compressed_landing_round_trip(spark, tmp_path):
+    df = spark.range(0, 300, numPartitions=3).select("id", F.concat(F.lit("v"), F.col("id")).alias("t"))
+    docs, lines = str(tmp_path / "docs"), str(tmp_path / "lines")
+    land_json_documents(df, docs, records_per_document=40, compression="gzip")
+    land_json_lines(df, lines, compression="gzip")
+    assert all(f.endswith(".gz") for f in part_files(docs))
+    assert read_json_documents(spark, docs, schema="id long, t string").count() == 300
+    assert read_json_lines(spark, lines, schema="id long, t string").count() == 300
