@@ -48,6 +48,9 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str], strict: bool = Fal
     return df.withColumnsRenamed(applied)
 
 
-def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Cast columns in place (ANSI cast: invalid text raises instead of turning NULL)."""
-    return df.withColumns({c: column(c).cast(t) for c, t in types.items() if c in df.columns})
+def cast_columns(df: DataFrame, types: Mapping[str, str], safe: bool = False) -> DataFrame:
+    """Cast columns in place. Under ANSI mode an invalid value raises; with
+    ``safe`` it becomes NULL instead (``try_cast``)."""
+    return df.withColumns(
+        {c: (column(c).try_cast(t) if safe else column(c).cast(t)) for c, t in types.items() if c in df.columns}
+    )

@@ -103,7 +103,8 @@ def derive_columns(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
     for rule in (fv.LAT, fv.LNG):
         if rule[1] in df.columns:
             name, value = _item(df, rule)
-            exprs[name] = value.cast("double")
+            # try_cast: dirty text becomes NULL (non-ANSI cast result), not a failed job.
+            exprs[name] = value.try_cast("double")
     out, source, key = fv.ENGLISH_FLAG
     if source in df.columns:
         exprs[out] = has_key(df, source, key)

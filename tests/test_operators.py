@@ -163,3 +163,18 @@ def test_join_attach_key_hot_key_is_split_not_dropped(spark):
 def test_profile_with_types(spark, nested):
     rows = {r.column_name: r for r in profile_columns(nested, ["s", "txt"], with_types=True).collect()}
     assert rows["s"].data_type == "struct<a:string,b:int>" and rows["txt"].data_type == "string"
+
+
+def test_cast_columns_safe(spark):
+    from tablezones.operators import cast_columns
+
+    df = spark.createDataFrame([("1.5",), ("x",)], "v string")
+    assert [r.v for r in cast_columns(df, {"v": "double"}, safe=True).collect()] == [1.5, None]
+
+
+def test_dirty_latlng_text_gives_null_not_failure(spark):
+    from tablezones.plans import transform_countries
+
+    df = spark.createDataFrame([(["16.0", "north"],)], "latlng array<string>")
+    r = transform_countries(df).first()
+    assert (r.lat, r.lng, r.latlng) == (16.0, None, '["16.0","north"]')
