@@ -1,5 +1,5 @@
 """Typed failures. Every stage raises instead of logging and returning (the
-reference swallowed errors and exited 0, so later stages ran on stale data)."""
+original job swallowed errors and exited 0, so later stages ran on stale data)."""
 
 
 class TablezonesError(Exception):
