@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
@@ -30,6 +30,22 @@ def flatten_complex(df: DataFrame, columns: Iterable[str] | None = None) -> Data
     return df.select(*exprs)
 
 
+def variant_columns(df: DataFrame, name: str, keys: Iterable[str], prefix: str) -> dict[str, Column]:
+    """``{<prefix><key>: value}`` for each allowed key of a keyed struct or map
+    (empty for other types). A struct gives only the keys it has; a map's keys
+    are not in the schema, so it gives every allowed key (NULL where absent).
+    Complex values are JSON-encoded."""
+    dtype = lookup_type(df, name)
+    if isinstance(dtype, StructType):
+        fields = {f.name: f.dataType for f in dtype.fields}
+        return {f"{prefix}{k}": json_text(column(name).getField(k), fields[k]) for k in keys if k in fields}
+    if isinstance(dtype, MapType):
+        return {
+            f"{prefix}{k}": json_text(F.try_element_at(column(name), F.lit(k)), dtype.valueType) for k in keys
+        }
+    return {}
+
+
 def extract_variants(
     df: DataFrame,
     name: str,
@@ -37,26 +53,13 @@ def extract_variants(
     prefix: str | None = None,
     encode_whole: bool = True,
 ) -> DataFrame:
-    """One column ``<prefix><key>`` per allowed key of a keyed struct or map.
-
-    For a struct only the keys it has are emitted (schema decides); for a map
-    the keys are not in the schema, so every allowed key is emitted and rows
-    without it hold NULL. Complex values are JSON-encoded. The whole column is
-    then JSON-encoded in place unless ``encode_whole`` is false. All of it is
-    one projection over the input, so derived columns read the original value."""
-    dtype = lookup_type(df, name)
-    prefix = f"{name}_" if prefix is None else prefix
-    out = {}
-    if isinstance(dtype, StructType):
-        fields = {f.name: f.dataType for f in dtype.fields}
-        for key in keys:
-            if key in fields:
-                out[f"{prefix}{key}"] = json_text(column(name).getField(key), fields[key])
-    elif isinstance(dtype, MapType):
-        for key in keys:
-            out[f"{prefix}{key}"] = json_text(F.try_element_at(column(name), F.lit(key)), dtype.valueType)
-    else:
+    """One column ``<prefix><key>`` per allowed key of a keyed struct or map
+    (see :func:`variant_columns`); the whole column is then JSON-encoded in
+    place unless ``encode_whole`` is false. All of it is one projection over
+    the input, so derived columns read the original value."""
+    if not isinstance(lookup_type(df, name), (StructType, MapType)):
         return df
+    out = variant_columns(df, name, keys, f"{name}_" if prefix is None else prefix)
     if encode_whole:
         out[name] = F.to_json(column(name))
     return df.withColumns(out)

@@ -6,6 +6,7 @@ from tablezones.plans.countries import (
     key_only,
     transform_countries,
 )
+from tablezones.plans.rules import FeedRules, Field, Flag, Item, Variants, transform_feed
 from tablezones.plans.pipelines import (
     Zones,
     run_end_to_end,
@@ -19,6 +20,12 @@ from tablezones.plans.pipelines import (
 
 __all__ = [
     "COUNTRIES",
+    "FeedRules",
+    "Field",
+    "Flag",
+    "Item",
+    "Variants",
+    "transform_feed",
     "FEED_SCHEMA",
     "CountryRules",
     "Zones",

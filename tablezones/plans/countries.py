@@ -1,53 +1,35 @@
-"""The countries transform: nested feed records -> one flat, keyed row each.
+"""The countries rule set: nested country records -> one flat, keyed row each.
 
-The rule set is data (``CountryRules``); ``transform_countries`` composes
-the generic operators with ``DataFrame.transform``. Every step is a
-projection, so Catalyst collapses the chain into one Project next to the
-scan: no shuffle, one stage.
+Everything here is data built from ``fixed_values``; the work is done by
+:func:`tablezones.plans.rules.transform_feed`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructType
 
 from tablezones import fixed_values as fv
-from tablezones.errors import ColumnTypeError
-from tablezones.functions.fields import array_item, column, field_or_null, has_key, lookup_type
-from tablezones.functions.strings import join_array
-from tablezones.operators.flatten import extract_variants, flatten_complex
 from tablezones.operators.keys import key_name, with_uuid5_key
-from tablezones.operators.project import rename_columns, select_present, with_columns
-
-ALLOW_LIST = fv.ALLOW_LIST
-RENAMES = fv.RENAMES
-TRANSLATION_CODES = fv.TRANSLATION_CODES
-PIPE_JOINED = fv.PIPE_JOINED
-
-
-@dataclass(frozen=True)
-class CountryRules:
-    allow_list: tuple[str, ...] = fv.ALLOW_LIST
-    renames: dict = field(default_factory=lambda: dict(fv.RENAMES))
-    translation_codes: tuple[str, ...] = fv.TRANSLATION_CODES
-    pipe_joined: tuple[str, ...] = fv.PIPE_JOINED
-    join_separator: str = fv.JOIN_SEPARATOR
-    key_column: str = fv.KEY_COLUMN
-    key_namespace: str = fv.KEY_NAMESPACE
-    key_method: str = "native"
-    attach_key: bool = True
-    keep: tuple[str, ...] = ()
-
-    def keeping(self, columns: Sequence[str]) -> CountryRules:
-        """Same rules, also carrying ``columns`` (placed first) through the transform."""
-        return replace(self, keep=tuple(columns))
-
-
-COUNTRIES = CountryRules()
+from tablezones.plans.rules import Field, FeedRules, Flag, Item, Variants, derive_columns, transform_feed
+
+CountryRules = FeedRules
+
+COUNTRIES = FeedRules(
+    allow_list=fv.ALLOW_LIST,
+    joined=fv.PIPE_JOINED,
+    join_separator=fv.JOIN_SEPARATOR,
+    derived=(
+        Item(*fv.LAT, cast="double"),
+        Item(*fv.LNG, cast="double"),
+        Flag(*fv.ENGLISH_FLAG),
+        Variants("translations", fv.TRANSLATION_CODES, fv.TRANSLATION_PREFIX),
+        Field(*fv.GOOGLE_MAPS),
+        Item(*fv.FIRST_TIMEZONE),
+        Field(*fv.SVG_FLAG),
+    ),
+    renames=dict(fv.RENAMES),
+)
 
 # Explicit schema for the countries feed: reading with it skips the inference
 # pass over the raw zone, and types the open key sets (language and
@@ -64,78 +46,18 @@ FEED_SCHEMA = (
 )
 
 
-def _joinable(df: DataFrame, name: str):
-    """``name`` as something ``concat_ws`` accepts: a string, or an array whose
-    elements are cast to string."""
-    dtype = lookup_type(df, name)
-    if isinstance(dtype, StringType):
-        return column(name)
-    if isinstance(dtype, ArrayType):
-        if isinstance(dtype.elementType, StringType):
-            return column(name)
-        if not isinstance(dtype.elementType, (StructType, ArrayType, MapType)):
-            return column(name).cast("array<string>")
-    raise ColumnTypeError(f"column {name!r} of type {dtype.simpleString()} cannot be joined into a string")
-
-
-def _array(df: DataFrame, name: str):
-    dtype = lookup_type(df, name)
-    if not isinstance(dtype, ArrayType):
-        raise ColumnTypeError(f"column {name!r} must be an array, found {dtype.simpleString()}")
-    return column(name)
+def transform_countries(df: DataFrame, rules: FeedRules = COUNTRIES) -> DataFrame:
+    """Country records -> flat trusted rows keyed by a UUIDv5 of
+    ``name.common - name.official``."""
+    return transform_feed(df, rules)
 
 
-def _item(df: DataFrame, rule: tuple[str, str, int]):
-    out, source, index = rule
-    return out, array_item(_array(df, source), index)
-
-
-def derive_columns(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
-    """Per-column rules on the still-nested record, one projection each.
-
-    Arrays in ``pipe_joined`` become delimited strings in place; the other
-    rules add columns read from the nested values (see ``fixed_values``):
-    ``lat``/``lng`` from ``latlng``, ``su_dung_tieng_anh`` from ``languages``,
-    one ``translation_<code>`` per code, ``Google_Maps`` from ``maps``,
-    ``timezone_1`` from ``timezones``, ``svg_flags`` from ``flags``. Missing
-    inputs give typed NULLs, never an analysis error."""
-    exprs = {c: join_array(_joinable(df, c), rules.join_separator) for c in rules.pipe_joined if c in df.columns}
-    for rule in (fv.LAT, fv.LNG):
-        if rule[1] in df.columns:
-            name, value = _item(df, rule)
-            # try_cast: dirty text becomes NULL (non-ANSI cast result), not a failed job.
-            exprs[name] = value.try_cast("double")
-    out, source, key = fv.ENGLISH_FLAG
-    if source in df.columns:
-        exprs[out] = has_key(df, source, key)
-    df = with_columns(df, exprs)
-    # A struct emits the codes it has; a map (explicit open-key schema) all codes.
-    if isinstance(lookup_type(df, "translations"), (StructType, MapType)):
-        df = extract_variants(
-            df, "translations", rules.translation_codes, prefix=fv.TRANSLATION_PREFIX, encode_whole=False
-        )
-    tail = {}
-    for kind, rule in (("field", fv.GOOGLE_MAPS), ("item", fv.FIRST_TIMEZONE), ("field", fv.SVG_FLAG)):
-        out, source, key = rule
-        if source in df.columns:
-            tail[out] = field_or_null(df, source, key) if kind == "field" else _item(df, rule)[1]
-    return with_columns(df, tail)
-
-
-def transform_countries(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
-    """Feed records -> flat trusted rows (JSON text for nested values, renamed,
-    keyed by a UUIDv5 of ``name.common - name.official``)."""
-    selected = select_present(df, [*rules.keep, *[c for c in rules.allow_list if c not in rules.keep]])
-    out = selected.transform(derive_columns, rules)
-    if rules.attach_key:
-        name = key_name(selected, fv.KEY_SOURCE_COLUMN, fv.KEY_SOURCE_FIELDS, fv.KEY_SEPARATOR)
-        out = with_uuid5_key(out, name, rules.key_column, rules.key_namespace, rules.key_method)
-    return out.transform(flatten_complex).transform(rename_columns, rules.renames)
-
-
-def key_only(df: DataFrame, rules: CountryRules = COUNTRIES) -> DataFrame:
+def key_only(df: DataFrame, rules: FeedRules = COUNTRIES) -> DataFrame:
     """Just the key name and its UUID, e.g. to feed ``join_attach_key``."""
-    name = key_name(df, fv.KEY_SOURCE_COLUMN, fv.KEY_SOURCE_FIELDS, fv.KEY_SEPARATOR)
+    name = key_name(df, rules.key_source, rules.key_parts, rules.key_separator)
     return df.select(name.alias("name1")).transform(
         with_uuid5_key, F.col("name1"), rules.key_column, rules.key_namespace, rules.key_method
     )
+
+
+__all__ = ["COUNTRIES", "FEED_SCHEMA", "CountryRules", "derive_columns", "key_only", "transform_countries"]

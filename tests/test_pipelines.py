@@ -290,3 +290,33 @@ def test_explicit_feed_schema_gives_stable_columns(spark, zones):
         assert row[name] == golden[name], name
     assert json.loads(row.languages) == json.loads(golden["languages"])
     assert row.translation_fra is None
+
+
+def test_feed_rules_for_another_feed(spark):
+    from tablezones.plans import FeedRules, Field, Flag, Item, Variants, transform_feed
+
+    rules = FeedRules(
+        allow_list=("sku", "title", "tags", "dims", "attrs", "labels"),
+        joined=("tags",),
+        join_separator=",",
+        derived=(
+            Item("width", "dims", 0, cast="double"),
+            Flag("has_color", "attrs", "color"),
+            Field("brand", "attrs", "brand"),
+            Variants("labels", ("en", "de"), "label_"),
+        ),
+        renames={"title": "name"},
+        key_source="title",
+        key_column="product_id",
+    )
+    df = spark.createDataFrame(
+        [("A1", "Lamp", ["x", "y"], ["12.5", "3"], {"color": "red"}, {"en": "lamp"})],
+        "sku string, title string, tags array<string>, dims array<string>, attrs map<string,string>, "
+        "labels struct<en:string,fr:string>",
+    )
+    out = transform_feed(df, rules)
+    assert out.columns == ["sku", "name", "tags", "dims", "attrs", "labels", "width", "has_color", "brand",
+                           "label_en", "product_id"]
+    r = out.first()
+    assert (r.tags, r.width, r.has_color, r.brand, r.label_en) == ("x,y", 12.5, True, None, "lamp")
+    assert r.product_id == str(__import__("uuid").uuid5(__import__("uuid").UUID(rules.key_namespace), "Lamp"))
