@@ -66,8 +66,12 @@ def transformed(spark: SparkSession, foundation_path: str, rules: CountryRules =
 def transform(
     spark: SparkSession, foundation_path: str, trusted_path: str, rules: CountryRules = COUNTRIES
 ) -> WriteReport:
-    """Foundation Parquet -> flat, keyed trusted Parquet."""
-    report = write_parquet(transformed(spark, foundation_path, rules), trusted_path, inputs=[foundation_path])
+    """Foundation Parquet -> flat, keyed trusted Parquet. Also reports rows
+    left without a key (NULL or empty name), counted in the same pass."""
+    extra = [F.count_if(column(rules.key_column).isNull()).alias("null_keys")] if rules.attach_key else []
+    report = write_parquet(
+        transformed(spark, foundation_path, rules), trusted_path, extra_metrics=extra, inputs=[foundation_path]
+    )
     if report.rows == 0:
         raise EmptyInputError(f"no rows in {foundation_path}; stopping before later stages")
     return report

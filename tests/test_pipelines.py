@@ -72,6 +72,7 @@ def zones(tmp_path):
 def test_golden_end_to_end(spark, zones):
     reports = run_end_to_end(spark, zones)
     assert reports["structure"].rows == 1 and reports["transform"].rows == 1
+    assert reports["transform"].metrics["null_keys"] == 0
     out = read_parquet(spark, zones.trusted)
     assert out.columns == [g[0] for g in GOLDEN]
     assert out.dtypes == [(g[0], g[1]) for g in GOLDEN]
