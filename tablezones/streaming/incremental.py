@@ -13,11 +13,16 @@ checkpoint, which must sit in the shared checkpoint folder.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from tablezones.functions.fields import column
 from tablezones.plans.countries import COUNTRIES, CountryRules, transform_countries
 from tablezones.session import scratch_path
+from tablezones.sources.json import CORRUPT_COLUMN
+
+METRICS = "incremental_input"
 
 
 def start_incremental_transform(
@@ -36,12 +41,26 @@ def start_incremental_transform(
     ``archive_dir`` moves processed raw files there (those of a batch once a
     later batch commits, so the newest files wait for the next run), keeping
     the raw zone and its listing per trigger small."""
-    reader = spark.readStream.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+    if CORRUPT_COLUMN not in schema.fieldNames():
+        # Malformed documents stay visible and countable, as in the batch reader.
+        schema = StructType(list(schema.fields) + [StructField(CORRUPT_COLUMN, StringType(), True)])
+    reader = (
+        spark.readStream.schema(schema)
+        .option("multiLine", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    out = transform_countries(reader.json(raw_dir), rules)
+    # Per-batch counts arrive in the query progress (``observedMetrics``), no extra pass.
+    source = reader.json(raw_dir).observe(
+        METRICS,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"),
+    )
+    out = transform_countries(source, rules)
     writer = (
         out.writeStream.format("parquet")
         .outputMode("append")
@@ -53,7 +72,20 @@ def start_incremental_transform(
 
 
 def run_incremental_transform(spark: SparkSession, raw_dir: str, trusted_dir: str, schema: StructType, **kw) -> dict:
-    """Process everything landed so far, then stop; returns the last progress."""
+    """Process everything landed so far, then stop. Returns the last progress
+    plus ``rows`` and ``corrupt_rows`` summed over this run's batches."""
     query = start_incremental_transform(spark, raw_dir, trusted_dir, schema, **kw)
     query.awaitTermination()
-    return dict(query.lastProgress or {})
+    totals = {"rows": 0, "corrupt_rows": 0}
+    for progress in query.recentProgress:
+        observed = getattr(progress, "observedMetrics", None)
+        if observed is None and isinstance(progress, dict):
+            observed = progress.get("observedMetrics")
+        row = (observed or {}).get(METRICS)
+        if row is None:
+            continue
+        values = row.asDict() if hasattr(row, "asDict") else dict(row)
+        for key in totals:
+            totals[key] += int(values.get(key) or 0)
+    last = query.lastProgress
+    return {**(dict(last) if last else {}), **totals}

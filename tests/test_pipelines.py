@@ -321,3 +321,15 @@ def test_feed_rules_for_another_feed(spark):
     r = out.first()
     assert (r.tags, r.width, r.has_color, r.brand, r.label_en) == ("x,y", 12.5, True, None, "lamp")
     assert r.product_id == str(__import__("uuid").uuid5(__import__("uuid").UUID(rules.key_namespace), "Lamp"))
+
+
+def test_incremental_stream_counts_rows_and_corrupt_documents(spark, tmp_path, zones):
+    structure(spark, zones.raw, zones.foundation)
+    schema = read_parquet(spark, zones.foundation).schema
+    with open(os.path.join(zones.raw, "broken.json"), "w") as fh:
+        fh.write('[{"name": ')
+    trusted = str(tmp_path / "stream_trusted_corrupt")
+    result = run_incremental_transform(spark, zones.raw, trusted, schema, checkpoint=str(tmp_path / "ck3"))
+    assert result["rows"] == 2 and result["corrupt_rows"] == 1
+    out = read_parquet(spark, trusted)
+    assert out.count() == 2 and "_corrupt_record" not in out.columns
