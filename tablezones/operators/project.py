@@ -29,9 +29,10 @@ def with_columns(df: DataFrame, exprs: Mapping[str, Column]) -> DataFrame:
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str], strict: bool = False) -> DataFrame:
-    """Rename by mapping. A missing source column is a no-op (or an error in
-    strict mode). Raises before any job runs when two result names would differ
-    only by case, which Parquet and most databases reject."""
+    """Rename by mapping, all names at once (a swap works). A missing source
+    column is a no-op (or an error in strict mode). Raises before any job runs
+    when two result names would differ only by case, which Parquet and most
+    databases reject."""
     missing = [old for old in mapping if old not in df.columns]
     if strict and missing:
         raise MissingColumnError(f"columns to rename not found: {missing}")
@@ -45,7 +46,9 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str], strict: bool = Fal
         seen[key] = name
     if not applied:
         return df
-    return df.withColumnsRenamed(applied)
+    # One select applies all renames at once; withColumnsRenamed applies them
+    # in turn, so a swap such as {a: b, b: a} would leave two columns named a.
+    return df.select(*[column(c).alias(applied.get(c, c)) for c in df.columns])
 
 
 def cast_columns(df: DataFrame, types: Mapping[str, str], safe: bool = False) -> DataFrame:

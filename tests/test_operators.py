@@ -178,3 +178,10 @@ def test_dirty_latlng_text_gives_null_not_failure(spark):
     df = spark.createDataFrame([(["16.0", "north"],)], "latlng array<string>")
     r = transform_countries(df).first()
     assert (r.lat, r.lng, r.latlng) == (16.0, None, '["16.0","north"]')
+
+
+def test_rename_swap_is_simultaneous(spark):
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    out = rename_columns(df, {"a": "b", "b": "a"})
+    assert out.dtypes == [("b", "int"), ("a", "string")]
+    assert tuple(out.first()) == (1, "x")
