@@ -42,19 +42,20 @@ def structure(
     on_corrupt: str = "keep",
     sampling_ratio: float | None = None,
 ) -> WriteReport:
-    """Raw JSON documents -> foundation Parquet. Reports rows and corrupt rows."""
+    """Raw JSON documents -> foundation Parquet. Reports rows and corrupt rows.
+    Empty input raises and leaves the previous foundation in place."""
     df = structured(spark, raw_path, schema, on_corrupt, sampling_ratio)
     extra = []
     if CORRUPT_COLUMN in df.columns:
         extra.append(F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))
     try:
-        report = write_parquet(df, foundation_path, extra_metrics=extra, inputs=[raw_path])
+        report = write_parquet(df, foundation_path, extra_metrics=extra, inputs=[raw_path], require_rows=True)
     except Exception as exc:
         if "MALFORMED_RECORD" in str(exc) or "Malformed records are detected" in str(exc):
             raise CorruptInputError(f"malformed JSON under {raw_path}") from exc
         raise
-    if report.rows == 0:
-        raise EmptyInputError(f"no records in {raw_path}; stopping before later stages")
+    if not report.written:
+        raise EmptyInputError(f"no records in {raw_path}; previous foundation kept, later stages not run")
     return report
 
 
@@ -67,13 +68,19 @@ def transform(
     spark: SparkSession, foundation_path: str, trusted_path: str, rules: CountryRules = COUNTRIES
 ) -> WriteReport:
     """Foundation Parquet -> flat, keyed trusted Parquet. Also reports rows
-    left without a key (NULL or empty name), counted in the same pass."""
-    extra = [F.count_if(column(rules.key_column).isNull()).alias("null_keys")] if rules.attach_key else []
+    left without a key (NULL or empty name), counted in the same pass. Empty
+    input raises and leaves the previous trusted table in place."""
+    key = rules.renames.get(rules.key_column, rules.key_column)
+    extra = [F.count_if(column(key).isNull()).alias("null_keys")] if rules.attach_key else []
     report = write_parquet(
-        transformed(spark, foundation_path, rules), trusted_path, extra_metrics=extra, inputs=[foundation_path]
+        transformed(spark, foundation_path, rules),
+        trusted_path,
+        extra_metrics=extra,
+        inputs=[foundation_path],
+        require_rows=True,
     )
-    if report.rows == 0:
-        raise EmptyInputError(f"no rows in {foundation_path}; stopping before later stages")
+    if not report.written:
+        raise EmptyInputError(f"no rows in {foundation_path}; previous trusted table kept, later stages not run")
     return report
 
 

@@ -333,3 +333,17 @@ def test_incremental_stream_counts_rows_and_corrupt_documents(spark, tmp_path, z
     assert result["rows"] == 2 and result["corrupt_rows"] == 1
     out = read_parquet(spark, trusted)
     assert out.count() == 2 and "_corrupt_record" not in out.columns
+
+
+def test_empty_input_keeps_previous_zones(spark, zones, tmp_path):
+    from tablezones.errors import EmptyInputError
+
+    run_end_to_end(spark, zones)
+    empty_raw = str(tmp_path / "empty_raw")
+    os.makedirs(empty_raw)
+    with open(os.path.join(empty_raw, "e.json"), "w") as fh:
+        fh.write("[]")
+    with pytest.raises(EmptyInputError):
+        structure(spark, empty_raw, zones.foundation, schema=read_parquet(spark, zones.foundation).schema)
+    assert read_parquet(spark, zones.foundation).count() == 1
+    assert read_parquet(spark, zones.trusted).count() == 1
