@@ -67,6 +67,7 @@ def _jdbc_options(args) -> dict:
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Run one job (or all of them) and print one JSON line of metrics per stage."""
     args = _parser().parse_args(argv)
     if getattr(args, "schema", None):
         args.schema = NAMED_SCHEMAS.get(args.schema, args.schema)

@@ -13,6 +13,7 @@ COMPLEX_TYPES = (StructType, ArrayType, MapType, VariantType)
 
 
 def is_complex(dtype: DataType) -> bool:
+    """Struct, array, map or variant: types a relational sink cannot hold directly."""
     return isinstance(dtype, COMPLEX_TYPES)
 
 

@@ -96,6 +96,8 @@ def save(spark: SparkSession, trusted_path: str, url: str, table: str, **jdbc_op
 
 @dataclass(frozen=True)
 class Zones:
+    """Locations of the raw, foundation and trusted zones."""
+
     raw: str
     foundation: str
     trusted: str

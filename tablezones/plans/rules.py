@@ -101,6 +101,8 @@ class Variants:
 
 @dataclass(frozen=True)
 class FeedRules:
+    """How one feed is flattened; see the module docstring for the order of steps."""
+
     allow_list: tuple[str, ...]
     joined: tuple[str, ...] = ()
     join_separator: str = "|"

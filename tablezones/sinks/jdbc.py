@@ -38,6 +38,7 @@ def jdbc_options(
     num_partitions: int | None = None,
     create_table_options: str | None = None,
 ) -> dict[str, str]:
+    """Writer options; MySQL URLs also get the driver class and table options."""
     opts = {
         "url": url,
         "dbtable": table,

@@ -1,3 +1,5 @@
+"""The result of a write: target, whether anything was written, observed metrics."""
+
 from __future__ import annotations
 
 from dataclasses import dataclass, field

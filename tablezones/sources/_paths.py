@@ -13,6 +13,7 @@ T = TypeVar("T")
 
 
 def error_condition(exc: Exception) -> str:
+    """Spark's error condition name of ``exc`` (e.g. PATH_NOT_FOUND), or ''."""
     for getter in ("getCondition", "getErrorClass"):
         fn = getattr(exc, getter, None)
         if fn is not None:

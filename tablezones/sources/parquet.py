@@ -8,6 +8,7 @@ from tablezones.sources._paths import resolving
 
 
 def read_parquet(spark: SparkSession, path, options: dict | None = None) -> DataFrame:
+    """Read Parquet; a missing path raises :class:`MissingInputError`."""
     reader = spark.read
     for key, value in (options or {}).items():
         reader = reader.option(key, value)

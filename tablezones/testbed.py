@@ -21,10 +21,12 @@ FLAGS_PREFIX = "https://f/"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given test tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested, feed-shaped row per customer (see the module docstring)."""
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
