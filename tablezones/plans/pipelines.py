@@ -1,8 +1,8 @@
 """Zone-to-zone jobs: raw JSON -> foundation Parquet -> trusted Parquet -> table.
 
-Each stage is one read, one lazily built plan and one observed write; its
-counts come from the write itself. Stages raise on failure, so a later stage
-never runs on stale or missing data.
+Each stage is one read, one lazily built plan, a first-row check and one
+observed write; its counts come from the write itself. Stages raise on
+failure, so a later stage never runs on stale or missing data.
 """
 
 from __future__ import annotations
