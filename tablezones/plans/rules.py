@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.types import ArrayType, MapType, StringType, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, NullType, StringType, StructType
 
 from tablezones import fixed_values as fv
 from tablezones.errors import ColumnTypeError
@@ -26,11 +27,19 @@ from tablezones.operators.keys import key_name, with_uuid5_key
 from tablezones.operators.project import rename_columns, select_present
 
 
-def _array(df: DataFrame, name: str) -> Column:
+def _array_item(df: DataFrame, name: str, index: int) -> Column:
+    """Element ``index`` of array column ``name``.
+
+    A field that is NULL in every inferred record comes back as a string
+    column; it yields NULL here, and a non-NULL value in it fails the job with
+    a clear message instead of being guessed at. Other types fail at once."""
     dtype = lookup_type(df, name)
-    if not isinstance(dtype, ArrayType):
-        raise ColumnTypeError(f"column {name!r} must be an array, found {dtype.simpleString()}")
-    return column(name)
+    if isinstance(dtype, ArrayType):
+        return array_item(column(name), index)
+    if isinstance(dtype, (StringType, NullType)):
+        message = F.lit(f"column {name!r} holds a non-array value")
+        return F.when(column(name).isNull(), F.lit(None)).otherwise(F.raise_error(message))
+    raise ColumnTypeError(f"column {name!r} must be an array, found {dtype.simpleString()}")
 
 
 def _joinable(df: DataFrame, name: str) -> Column:
@@ -58,8 +67,10 @@ class Item:
     cast: str | None = None
 
     def columns(self, df: DataFrame) -> dict[str, Column]:
-        value = array_item(_array(df, self.source), self.index)
-        return {self.out: value.try_cast(self.cast) if self.cast else value}
+        value = _array_item(df, self.source, self.index)
+        if self.cast:
+            return {self.out: value.try_cast(self.cast)}
+        return {self.out: value if isinstance(lookup_type(df, self.source), ArrayType) else value.cast("string")}
 
 
 @dataclass(frozen=True)

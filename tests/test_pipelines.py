@@ -241,8 +241,12 @@ def test_type_rules(spark):
     ok = spark.createDataFrame([([1, None, 3], "a|b")], "capital array<int>, continents string")
     r = transform_countries(ok).first()
     assert (r.Thu_do, r.Luc_dia) == ("1|3", "a|b")
+    all_null = transform_countries(spark.createDataFrame([(None,)], "latlng string")).first()
+    assert (all_null.lat, all_null.lng) == (None, None)  # an all-NULL field infers as string
+    with pytest.raises(Exception, match="non-array value"):
+        transform_countries(spark.createDataFrame([("1,2",)], "latlng string")).collect()
     with pytest.raises(ColumnTypeError):
-        transform_countries(spark.createDataFrame([("1,2",)], "latlng string"))
+        transform_countries(spark.createDataFrame([(1.5,)], "latlng double"))
     with pytest.raises(ColumnTypeError):
         transform_countries(spark.createDataFrame([([{"a": 1}],)], "capital array<struct<a:int>>"))
 
