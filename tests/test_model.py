@@ -9,9 +9,10 @@ import uuid
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from pyspark.sql.types import ArrayType, StructType
+import pytest
+from pyspark.sql.types import ArrayType, MapType, StructType
 
-from tablezones.plans import COUNTRIES, Zones, run_end_to_end
+from tablezones.plans import COUNTRIES, FEED_SCHEMA, Zones, run_end_to_end
 from tablezones.sources import read_parquet
 
 NS = uuid.UUID(COUNTRIES.key_namespace)
@@ -51,8 +52,13 @@ def joined(values):
     return values if values is not None else ""  # all-NULL field inferred as string
 
 
-def fields_of(dtype):
-    return set(dtype.fieldNames()) if isinstance(dtype, StructType) else set()
+def fields_of(dtype, wanted=()):
+    """Keys a struct (its fields) or a map (any wanted key) can answer for."""
+    if isinstance(dtype, StructType):
+        return set(dtype.fieldNames())
+    if isinstance(dtype, MapType):
+        return set(wanted)
+    return set()
 
 
 def model(rec, schema):
@@ -66,10 +72,10 @@ def model(rec, schema):
         out["lat"] = float(latlng[0]) if latlng and len(latlng) > 0 else None
         out["lng"] = float(latlng[1]) if latlng and len(latlng) > 1 else None
     if "languages" in schema:
-        has_eng = "eng" in fields_of(schema["languages"])
+        has_eng = "eng" in fields_of(schema["languages"], ["eng"])
         out["su_dung_tieng_anh"] = bool(has_eng and (rec.get("languages") or {}).get("eng") is not None)
     for code in CODES:
-        if code in fields_of(schema.get("translations")):
+        if code in fields_of(schema.get("translations"), CODES):
             value = (rec.get("translations") or {}).get(code)
             out[f"translation_{code}"] = drop_nulls(value) if value is not None else None
     if "maps" in schema:
@@ -92,15 +98,17 @@ def model(rec, schema):
     return out
 
 
-@settings(max_examples=12, deadline=None)
-@given(st.lists(record, min_size=1, max_size=6))
-def test_pipeline_matches_model(spark, tmp_path_factory, records):
+@pytest.mark.parametrize("feed_schema", [None, FEED_SCHEMA], ids=["inferred", "feed_schema"])
+@settings(max_examples=10, deadline=None)
+@given(records=st.lists(record, min_size=1, max_size=6))
+def test_pipeline_matches_model(spark, tmp_path_factory, feed_schema, records):
     root = str(tmp_path_factory.mktemp("model"))
     zones = Zones.under(root)
     os.makedirs(zones.raw)
     with open(os.path.join(zones.raw, "raw.json"), "w", encoding="utf-8") as fh:
         json.dump([dict(r, seq=i) for i, r in enumerate(records)], fh, ensure_ascii=False)
-    run_end_to_end(spark, zones, rules=COUNTRIES.keeping(["seq"]))
+    schema_ddl = None if feed_schema is None else feed_schema + ", seq bigint"
+    run_end_to_end(spark, zones, schema=schema_ddl, rules=COUNTRIES.keeping(["seq"]))
     schema = {f.name: f.dataType for f in read_parquet(spark, zones.foundation).schema.fields}
     trusted = read_parquet(spark, zones.trusted)
     rows = {r.seq: r.asDict() for r in trusted.collect()}
