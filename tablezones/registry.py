@@ -168,19 +168,23 @@ def str_array_join(spark, sf_dir):
     )
 
 
+def _json(df: DataFrame, name: str):
+    return json_text(column(name), df.schema[name].dataType)
+
+
 def json_encode_struct(spark, sf_dir):
     ent = testbed.entities(spark, sf_dir)
-    return ent.select("id", json_text(column("languages"), ent.schema["languages"].dataType).alias("languages"))
+    return ent.select("id", _json(ent, "languages").alias("languages"))
 
 
 def json_encode_array(spark, sf_dir):
     ent = testbed.entities(spark, sf_dir)
-    return ent.select("id", F.to_json("altSpellings").alias("alt"), F.to_json("latlng").alias("latlng"))
+    return ent.select("id", _json(ent, "altSpellings").alias("alt"), _json(ent, "latlng").alias("latlng"))
 
 
 def json_encode_map(spark, sf_dir):
     ent = testbed.entities(spark, sf_dir)
-    return ent.select("id", F.to_json("attrs").alias("attrs"))
+    return ent.select("id", _json(ent, "attrs").alias("attrs"))
 
 
 def flatten_complex_q(spark, sf_dir):
