@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("output_path")
     s.add_argument("--schema", help="DDL schema or 'countries'; skips the inference pass")
     s.add_argument("--on-corrupt", default="keep", choices=["keep", "fail", "drop"])
+    s.add_argument("--num-files", type=int, help="rebalance parsed rows into this many files")
     t = sub.add_parser("transform", help="foundation Parquet -> flat trusted Parquet")
     t.add_argument("input_path")
     t.add_argument("output_path")
@@ -74,7 +75,14 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"tablezones-{args.job}").getOrCreate()
     try:
         if args.job == "structure":
-            report = structure(spark, args.input_path, args.output_path, schema=args.schema, on_corrupt=args.on_corrupt)
+            report = structure(
+                spark,
+                args.input_path,
+                args.output_path,
+                schema=args.schema,
+                on_corrupt=args.on_corrupt,
+                num_files=args.num_files,
+            )
         elif args.job == "transform":
             report = transform(spark, args.input_path, args.output_path)
         elif args.job == "save":

@@ -41,10 +41,18 @@ def structure(
     schema: StructType | str | None = None,
     on_corrupt: str = "keep",
     sampling_ratio: float | None = None,
+    num_files: int | None = None,
 ) -> WriteReport:
     """Raw JSON documents -> foundation Parquet. Reports rows and corrupt rows.
-    Empty input raises and leaves the previous foundation in place."""
+    Empty input raises and leaves the previous foundation in place.
+
+    A multi-line JSON file is parsed by one task, so a raw zone of a few huge
+    files gives a few huge foundation files; ``num_files`` rebalances the
+    parsed rows into that many files (one round-robin shuffle, which Spark
+    makes deterministic for retries). Leave it unset for many-file zones."""
     df = structured(spark, raw_path, schema, on_corrupt, sampling_ratio)
+    if num_files:
+        df = df.repartition(num_files)
     extra = []
     if CORRUPT_COLUMN in df.columns:
         extra.append(F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))

@@ -351,3 +351,15 @@ def test_empty_input_keeps_previous_zones(spark, zones, tmp_path):
         structure(spark, empty_raw, zones.foundation, schema=read_parquet(spark, zones.foundation).schema)
     assert read_parquet(spark, zones.foundation).count() == 1
     assert read_parquet(spark, zones.trusted).count() == 1
+
+
+def test_structure_rebalances_few_large_files(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    with open(raw / "one.json", "w") as fh:
+        json.dump([dict(FIXTURE, ccn3=str(i)) for i in range(200)], fh)
+    out = str(tmp_path / "foundation")
+    report = structure(spark, str(raw), out, num_files=4)
+    assert report.rows == 200
+    assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 4
+    assert read_parquet(spark, out).select("ccn3").distinct().count() == 200
