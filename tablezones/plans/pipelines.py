@@ -56,8 +56,12 @@ def structure(
     extra = []
     if CORRUPT_COLUMN in df.columns:
         extra.append(F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))
+    # An inferred, non-empty schema already proves a record exists; only an
+    # explicit schema needs the first-row check.
     try:
-        report = write_parquet(df, foundation_path, extra_metrics=extra, inputs=[raw_path], require_rows=True)
+        report = write_parquet(
+            df, foundation_path, extra_metrics=extra, inputs=[raw_path], require_rows=schema is not None
+        )
     except Exception as exc:
         if "MALFORMED_RECORD" in str(exc) or "Malformed records are detected" in str(exc):
             raise CorruptInputError(f"malformed JSON under {raw_path}") from exc
@@ -73,11 +77,18 @@ def transformed(spark: SparkSession, foundation_path: str, rules: CountryRules =
 
 
 def transform(
-    spark: SparkSession, foundation_path: str, trusted_path: str, rules: CountryRules = COUNTRIES
+    spark: SparkSession,
+    foundation_path: str,
+    trusted_path: str,
+    rules: CountryRules = COUNTRIES,
+    input_rows: int | None = None,
 ) -> WriteReport:
     """Foundation Parquet -> flat, keyed trusted Parquet. Also reports rows
     left without a key (NULL or empty name), counted in the same pass. Empty
-    input raises and leaves the previous trusted table in place."""
+    input raises and leaves the previous trusted table in place; the
+    first-row check is skipped when ``input_rows`` (e.g. the structure
+    stage's count in the same run) is already known to be positive, since
+    the transform keeps every row."""
     key = rules.renames.get(rules.key_column, rules.key_column)
     extra = [F.count_if(column(key).isNull()).alias("null_keys")] if rules.attach_key else []
     report = write_parquet(
@@ -85,7 +96,7 @@ def transform(
         trusted_path,
         extra_metrics=extra,
         inputs=[foundation_path],
-        require_rows=True,
+        require_rows=not (input_rows and input_rows > 0),
     )
     if not report.written:
         raise EmptyInputError(f"no rows in {foundation_path}; previous trusted table kept, later stages not run")
@@ -97,9 +108,13 @@ def serving_frame(spark: SparkSession, trusted_path: str) -> DataFrame:
     return prepare_for_jdbc(read_parquet(spark, trusted_path))
 
 
-def save(spark: SparkSession, trusted_path: str, url: str, table: str, **jdbc_options) -> WriteReport:
-    """Trusted Parquet -> JDBC table; an empty input keeps the old table."""
-    return write_jdbc(read_parquet(spark, trusted_path), url, table, **jdbc_options)
+def save(
+    spark: SparkSession, trusted_path: str, url: str, table: str, input_rows: int | None = None, **jdbc_options
+) -> WriteReport:
+    """Trusted Parquet -> JDBC table; an empty input keeps the old table (the
+    check is skipped when ``input_rows`` is known to be positive)."""
+    frame = read_parquet(spark, trusted_path)
+    return write_jdbc(frame, url, table, require_rows=not (input_rows and input_rows > 0), **jdbc_options)
 
 
 @dataclass(frozen=True)
@@ -125,11 +140,10 @@ def run_end_to_end(
 ) -> dict[str, WriteReport]:
     """raw -> foundation -> trusted (-> table when ``jdbc`` has ``url`` and
     ``table``), stopping at the first failure."""
-    reports = {
-        "structure": structure(spark, zones.raw, zones.foundation, schema=schema),
-        "transform": transform(spark, zones.foundation, zones.trusted, rules),
-    }
+    reports = {"structure": structure(spark, zones.raw, zones.foundation, schema=schema)}
+    reports["transform"] = transform(spark, zones.foundation, zones.trusted, rules, reports["structure"].rows)
     if jdbc:
         options = dict(jdbc)
-        reports["save"] = save(spark, zones.trusted, options.pop("url"), options.pop("table"), **options)
+        url, table = options.pop("url"), options.pop("table")
+        reports["save"] = save(spark, zones.trusted, url, table, reports["transform"].rows, **options)
     return reports

@@ -243,8 +243,8 @@ def pipe_structure(spark, sf_dir):
 
 def _through_trusted(spark, sf_dir, label):
     zones, feed = _landed_feed(spark, sf_dir, label)
-    structure(spark, zones.raw, zones.foundation, schema=feed.schema)
-    transform(spark, zones.foundation, zones.trusted, TEST_RULES)
+    rows = structure(spark, zones.raw, zones.foundation, schema=feed.schema).rows
+    transform(spark, zones.foundation, zones.trusted, TEST_RULES, input_rows=rows)
     return zones
 
 

@@ -61,10 +61,13 @@ def jdbc_options(
     return opts
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", **options) -> WriteReport:
-    """Write ``df`` to a JDBC table; an empty frame leaves the old table in place."""
+def write_jdbc(
+    df: DataFrame, url: str, table: str, mode: str = "overwrite", require_rows: bool = True, **options
+) -> WriteReport:
+    """Write ``df`` to a JDBC table; an empty frame leaves the old table in
+    place (unless ``require_rows`` is off because the caller knows it has rows)."""
     frame = prepare_for_jdbc(df)
-    if not has_rows(frame):
+    if require_rows and not has_rows(frame):
         return WriteReport(target=table, written=False, metrics={"rows": 0})
     frame, obs = observed(frame, "jdbc_write")
     frame.write.format("jdbc").options(**jdbc_options(url, table, **options)).mode(mode).save()
