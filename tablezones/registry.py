@@ -46,7 +46,7 @@ TEST_RULES = COUNTRIES.keeping(["id"])
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return testbed.table(spark, sf_dir, name)
 
 
 def _landed_feed(spark: SparkSession, sf_dir: str, label: str) -> tuple[Zones, DataFrame]:

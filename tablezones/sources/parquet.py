@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tablezones.sources._paths import resolving
 
 
-def read_parquet(spark: SparkSession, path, options: dict | None = None) -> DataFrame:
-    """Read Parquet; a missing path raises :class:`MissingInputError`."""
-    reader = spark.read
+def read_parquet(spark: SparkSession, path, options: dict | None = None, schema: str | None = None) -> DataFrame:
+    """Read Parquet; a missing path raises :class:`MissingInputError`. A known
+    ``schema`` skips the footer-reading job that schema inference runs."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     return resolving(path, lambda: reader.parquet(path))

@@ -59,3 +59,13 @@ def test_landing_is_streaming_per_partition(spark):
     assert "MapInArrow" in text
     # the only exchanges are the test bed's own (its order-priority rollup), none added by the landing
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_declared_table_schemas_match_the_files(spark):
+    from pyspark.sql.types import StructType
+
+    from tablezones.testbed import TABLE_SCHEMAS
+
+    for name, ddl in TABLE_SCHEMAS.items():
+        stored = spark.read.parquet(f"{SF}/{name}.parquet").schema
+        assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in StructType.fromDDL(ddl)], name
