@@ -42,6 +42,7 @@ def structure(
     on_corrupt: str = "keep",
     sampling_ratio: float | None = None,
     num_files: int | None = None,
+    input_rows: int | None = None,
 ) -> WriteReport:
     """Raw JSON documents -> foundation Parquet. Reports rows and corrupt rows.
     Empty input raises and leaves the previous foundation in place.
@@ -49,7 +50,8 @@ def structure(
     A multi-line JSON file is parsed by one task, so a raw zone of a few huge
     files gives a few huge foundation files; ``num_files`` rebalances the
     parsed rows into that many files (one round-robin shuffle, which Spark
-    makes deterministic for retries). Leave it unset for many-file zones."""
+    makes deterministic for retries). Leave it unset for many-file zones.
+    ``input_rows`` > 0 (e.g. from the landing write) skips the first-row check."""
     df = structured(spark, raw_path, schema, on_corrupt, sampling_ratio)
     if num_files:
         df = df.repartition(num_files)
@@ -60,7 +62,11 @@ def structure(
     # explicit schema needs the first-row check.
     try:
         report = write_parquet(
-            df, foundation_path, extra_metrics=extra, inputs=[raw_path], require_rows=schema is not None
+            df,
+            foundation_path,
+            extra_metrics=extra,
+            inputs=[raw_path],
+            require_rows=schema is not None and not (input_rows and input_rows > 0),
         )
     except Exception as exc:
         if "MALFORMED_RECORD" in str(exc) or "Malformed records are detected" in str(exc):
@@ -137,10 +143,12 @@ def run_end_to_end(
     schema: StructType | str | None = None,
     rules: CountryRules = COUNTRIES,
     jdbc: dict | None = None,
+    raw_rows: int | None = None,
 ) -> dict[str, WriteReport]:
     """raw -> foundation -> trusted (-> table when ``jdbc`` has ``url`` and
-    ``table``), stopping at the first failure."""
-    reports = {"structure": structure(spark, zones.raw, zones.foundation, schema=schema)}
+    ``table``), stopping at the first failure. ``raw_rows``: records known to
+    be in the raw zone (e.g. from the landing write), which saves a check."""
+    reports = {"structure": structure(spark, zones.raw, zones.foundation, schema=schema, input_rows=raw_rows)}
     reports["transform"] = transform(spark, zones.foundation, zones.trusted, rules, reports["structure"].rows)
     if jdbc:
         options = dict(jdbc)

@@ -49,12 +49,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return testbed.table(spark, sf_dir, name)
 
 
-def _landed_feed(spark: SparkSession, sf_dir: str, label: str) -> tuple[Zones, DataFrame]:
+def _landed_feed(spark: SparkSession, sf_dir: str, label: str) -> tuple[Zones, DataFrame, int]:
     """Land the nested test bed as JSON array documents in a fresh raw zone."""
     zones = Zones.under(scratch_path(spark, label))
     feed = testbed.entities_feed(spark, sf_dir)
-    land_json_documents(feed, zones.raw)
-    return zones, feed
+    landed = land_json_documents(feed, zones.raw)
+    return zones, feed, landed.rows
 
 
 def _name_parts(df: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def src_json_lines(spark, sf_dir):
 
 
 def src_json_multiline(spark, sf_dir):
-    zones, _ = _landed_feed(spark, sf_dir, "src_json_multiline")
+    zones, _, _ = _landed_feed(spark, sf_dir, "src_json_multiline")
     # Schema inferred, as a feed of unknown shape is read.
     return _name_parts(read_json_documents(spark, zones.raw))
 
@@ -236,14 +236,14 @@ def profile_columns_q(spark, sf_dir):
 # --- pipelines -------------------------------------------------------------
 
 def pipe_structure(spark, sf_dir):
-    zones, feed = _landed_feed(spark, sf_dir, "pipe_structure")
-    structure(spark, zones.raw, zones.foundation, schema=feed.schema)
+    zones, feed, landed = _landed_feed(spark, sf_dir, "pipe_structure")
+    structure(spark, zones.raw, zones.foundation, schema=feed.schema, input_rows=landed)
     return _name_parts(read_parquet(spark, zones.foundation))
 
 
 def _through_trusted(spark, sf_dir, label):
-    zones, feed = _landed_feed(spark, sf_dir, label)
-    rows = structure(spark, zones.raw, zones.foundation, schema=feed.schema).rows
+    zones, feed, landed = _landed_feed(spark, sf_dir, label)
+    rows = structure(spark, zones.raw, zones.foundation, schema=feed.schema, input_rows=landed).rows
     transform(spark, zones.foundation, zones.trusted, TEST_RULES, input_rows=rows)
     return zones
 
@@ -260,13 +260,13 @@ def pipe_save(spark, sf_dir):
 
 
 def pipe_end_to_end(spark, sf_dir):
-    zones, feed = _landed_feed(spark, sf_dir, "pipe_end_to_end")
-    run_end_to_end(spark, zones, schema=feed.schema, rules=TEST_RULES)
+    zones, feed, landed = _landed_feed(spark, sf_dir, "pipe_end_to_end")
+    run_end_to_end(spark, zones, schema=feed.schema, rules=TEST_RULES, raw_rows=landed)
     return read_parquet(spark, zones.trusted).select(*TRUSTED_COLUMNS, "country_id")
 
 
 def pipe_transform_stream(spark, sf_dir):
-    zones, feed = _landed_feed(spark, sf_dir, "pipe_transform_stream")
+    zones, feed, _ = _landed_feed(spark, sf_dir, "pipe_transform_stream")
     run_incremental_transform(spark, zones.raw, zones.trusted, feed.schema, rules=TEST_RULES)
     return read_parquet(spark, zones.trusted).select(*TRUSTED_COLUMNS)
 

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablezones.functions.fields import column
+from tablezones.sinks.parquet import observed
 from tablezones.sinks.report import WriteReport
 
 DEFAULT_RECORDS_PER_DOCUMENT = 50_000
@@ -74,12 +75,13 @@ def land_json_documents(
     is read whole by one task either way)."""
     if records_per_document < 1:
         raise ValueError("records_per_document must be positive")
-    docs = json_records(df).mapInArrow(_as_documents(records_per_document), "value string")
+    records, obs = observed(json_records(df), "landing")
+    docs = records.mapInArrow(_as_documents(records_per_document), "value string")
     writer = docs.write.mode(mode).option("maxRecordsPerFile", records_per_document)
     if compression:
         writer = writer.option("compression", compression)
     writer.text(path)
-    return WriteReport(target=path, written=True)
+    return WriteReport(target=path, written=True, metrics=dict(obs.get))
 
 
 def land_json_lines(df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None) -> WriteReport:

@@ -197,3 +197,8 @@ def test_compressed_landing_round_trip(spark, tmp_path):
     assert all(f.endswith(".gz") for f in part_files(docs))
     assert read_json_documents(spark, docs, schema="id long, t string").count() == 300
     assert read_json_lines(spark, lines, schema="id long, t string").count() == 300
+
+
+def test_landing_reports_rows(spark, tmp_path):
+    report = land_json_documents(spark.range(123, numPartitions=3), str(tmp_path / "raw"), records_per_document=50)
+    assert report.written and report.rows == 123
