@@ -84,7 +84,9 @@ def join_attach_key(
     both join inputs as plain shuffles, the shape AQE needs to split a hot
     left key (say a third of all rows) across many tasks; a de-duplicating
     aggregate directly under the join would block that split. A small staged
-    table is broadcast instead, by its measured size."""
+    table is broadcast instead, by its measured size. The staged table is left
+    in place (the returned frame reads it); the checkpoint folder's retention
+    policy decides when it goes."""
     right = keys.select(column(on), *[column(c) for c in key_columns]).dropDuplicates([on])
     if stage:
         spark = df.sparkSession

@@ -39,6 +39,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused directory name under the shared checkpoint folder."""
+    """A fresh, never reused directory name under the shared checkpoint folder.
+    Nothing here deletes it: the folder's retention policy does."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tablezones/{label}-{uuid.uuid4().hex[:12]}"
