@@ -363,3 +363,29 @@ def test_structure_rebalances_few_large_files(spark, tmp_path):
     assert report.rows == 200
     assert len([f for f in os.listdir(out) if f.startswith("part-")]) == 4
     assert read_parquet(spark, out).select("ccn3").distinct().count() == 200
+
+
+def test_save_stage_wiring_without_a_database(spark, zones, monkeypatch):
+    """The save stage up to the JDBC writer: complex columns encoded, rows
+    counted in the same pass, empty input gated. The JDBC ``save`` call is
+    replaced by the no-op sink because no database may be started here."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from tablezones.plans import save
+
+    calls = []
+
+    def fake_save(self, *args, **kwargs):
+        calls.append(self._df.dtypes)
+        self._df._jdf.write().format("noop").mode("overwrite").save()
+
+    monkeypatch.setattr(DataFrameWriter, "save", fake_save)
+    reports = run_end_to_end(spark, zones, jdbc={"url": "jdbc:mysql://db:3306/x", "table": "countries"})
+    assert reports["save"].written and reports["save"].rows == 1
+    assert calls and all(t in ("string", "boolean", "double") for _, t in calls[-1])
+    # an empty trusted table never reaches the writer
+    empty = str(zones.trusted) + "_empty"
+    read_parquet(spark, zones.trusted).limit(0).write.parquet(empty)
+    before = len(calls)
+    assert not save(spark, empty, "jdbc:mysql://db:3306/x", "countries").written
+    assert len(calls) == before
