@@ -389,3 +389,18 @@ def test_save_stage_wiring_without_a_database(spark, zones, monkeypatch):
     before = len(calls)
     assert not save(spark, empty, "jdbc:mysql://db:3306/x", "countries").written
     assert len(calls) == before
+
+
+def test_incremental_stream_counts_across_micro_batches(spark, tmp_path, zones):
+    structure(spark, zones.raw, zones.foundation)
+    schema = read_parquet(spark, zones.foundation).schema
+    for i in range(2):
+        with open(os.path.join(zones.raw, f"more{i}.json"), "w") as fh:
+            json.dump([dict(FIXTURE, name={"common": f"C{i}", "official": f"O{i}"})], fh)
+    trusted = str(tmp_path / "stream_batches")
+    result = run_incremental_transform(
+        spark, zones.raw, trusted, schema, checkpoint=str(tmp_path / "ck4"), max_files_per_trigger=1
+    )
+    assert result["rows"] == 3 and result["corrupt_rows"] == 0
+    out = read_parquet(spark, trusted)
+    assert out.count() == 3 and out.select("country_id").distinct().count() == 3
