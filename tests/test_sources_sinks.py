@@ -202,3 +202,20 @@ def test_compressed_landing_round_trip(spark, tmp_path):
 def test_landing_reports_rows(spark, tmp_path):
     report = land_json_documents(spark.range(123, numPartitions=3), str(tmp_path / "raw"), records_per_document=50)
     assert report.written and report.rows == 123
+
+
+def test_write_parquet_partitioned_with_options(spark, tmp_path):
+    out = str(tmp_path / "p")
+    df = spark.range(20).select("id", (F.col("id") % 2).alias("part"))
+    report = write_parquet(df, out, partition_by=["part"], options={"compression": "zstd"})
+    assert report.rows == 20
+    assert sorted(d for d in os.listdir(out) if d.startswith("part=")) == ["part=0", "part=1"]
+    assert any(f.endswith(".zstd.parquet") for f in os.listdir(os.path.join(out, "part=0")))
+    assert read_parquet(spark, out).count() == 20
+
+
+def test_sampled_inference_reads_every_row(spark, tmp_path):
+    path = tmp_path / "doc.json"
+    path.write_text(json.dumps([{"a": i, "b": "x"} for i in range(500)]))
+    df = read_json_documents(spark, str(path), sampling_ratio=0.2)
+    assert set(df.columns) == {"a", "b"} and df.count() == 500
