@@ -66,3 +66,22 @@ def test_transform_preserves_rows_and_joins_like_concat_ws(spark, rows):
     assert sorted(r.su_dung_tieng_anh for r in out) == sorted(
         bool(lang and lang["eng"] is not None) for *_, lang in rows
     )
+
+
+@settings(max_examples=6, deadline=None)
+@given(
+    st.lists(st.tuples(st.one_of(st.none(), st.text(max_size=30)), st.lists(text, max_size=3)), min_size=1, max_size=40),
+    st.integers(min_value=1, max_value=7),
+)
+def test_landing_round_trips_any_text(spark, tmp_path_factory, rows, per_doc):
+    from tablezones.sinks import land_json_documents
+    from tablezones.sources import read_json_documents
+
+    data = [(i, t, arr) for i, (t, arr) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, t string, arr array<string>").repartition(3)
+    path = str(tmp_path_factory.mktemp("land"))
+    report = land_json_documents(df, path + "/raw", records_per_document=per_doc)
+    assert report.rows == len(data)
+    back = read_json_documents(spark, path + "/raw", schema="id long, t string, arr array<string>", on_corrupt="fail")
+    got = sorted((r.id, r.t, r.arr) for r in back.collect())
+    assert got == sorted(data)
