@@ -85,3 +85,25 @@ def test_landing_round_trips_any_text(spark, tmp_path_factory, rows, per_doc):
     back = read_json_documents(spark, path + "/raw", schema="id long, t string, arr array<string>", on_corrupt="fail")
     got = sorted((r.id, r.t, r.arr) for r in back.collect())
     assert got == sorted(data)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.permutations(["a", "b", "c", "d"]), st.integers(min_value=0, max_value=4))
+def test_rename_is_a_simultaneous_permutation(spark, perm, k):
+    from tablezones.operators import rename_columns
+
+    names = ["a", "b", "c", "d"]
+    mapping = dict(list(zip(names, perm))[:k])  # rename the first k columns
+    result = [mapping.get(c, c) for c in names]
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, c int, d int")
+    if len(set(result)) < len(result):
+        import pytest
+
+        from tablezones.errors import RenameCollisionError
+
+        with pytest.raises(RenameCollisionError):
+            rename_columns(df, mapping)
+        return
+    out = rename_columns(df, mapping)
+    assert out.columns == result
+    assert tuple(out.first()) == (1, 2, 3, 4)
