@@ -69,3 +69,15 @@ def test_declared_table_schemas_match_the_files(spark):
     for name, ddl in TABLE_SCHEMAS.items():
         stored = spark.read.parquet(f"{SF}/{name}.parquet").schema
         assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in StructType.fromDDL(ddl)], name
+
+
+def test_structure_stage_has_no_shuffle(spark, tmp_path):
+    from tablezones.plans import structured
+    from tablezones.sinks import land_json_documents
+
+    raw = str(tmp_path / "raw")
+    land_json_documents(testbed.entities_feed(spark, SF), raw)
+    df = structured(spark, raw, schema=testbed.entities_feed(spark, SF).schema)
+    text = plan(df)
+    assert "Exchange" not in text and "FileScan json" in text.replace("Scan json", "FileScan json")
+    assert "Exchange" in plan(df.repartition(4))  # only the opt-in rebalance shuffles
