@@ -92,5 +92,5 @@ def join_attach_key(
         spark = df.sparkSession
         path = stage_path or scratch_path(spark, "attach-keys")
         right.write.mode("overwrite").parquet(path)
-        right = spark.read.parquet(path)
+        right = spark.read.schema(right.schema).parquet(path)  # known schema: no footer job
     return df.join(right, on=on, how="left")
