@@ -60,3 +60,15 @@ def test_workers_do_not_need_the_package_installed(tmp_path):
     done = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-3000:]
     assert "key_uuid5_udf 150" in done.stdout and "src_json_multiline 150" in done.stdout
+
+
+@pytest.mark.parametrize("key", ["pipe_transform", "prj_array_item", "key_uuid5_native", "flatten_complex"])
+def test_query_matches_oracle_with_ansi_off(spark, con, key):
+    """The original job ran with ANSI mode off; results must not depend on it."""
+    saved = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        ok, n, detail = compare(spark, con, key, entry.queries()[key], entry.oracle_sql()[key], SF)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", saved)
+    assert ok and n > 0, detail
