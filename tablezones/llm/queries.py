@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablezones.llm import token_files
+from tablezones.llm import quality_gam, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"))
     return token_files.read_token_files(spark, folder, manifest)
 
 
 QUERIES = {
+    "op5_quality_gam": op5_quality_gam,
     "op6_token_files": op6_token_files,
 }
 
