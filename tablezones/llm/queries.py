@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablezones.llm import packing, quality_gam, token_files
+from tablezones.llm import line_dedup, packing, quality_gam, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,11 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_dedup.drop_boilerplate(documents, counts=True)
+
+
 def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -26,8 +31,32 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_line_dedup": op3_line_dedup,
     "op5_quality_gam": op5_quality_gam,
     "op6_token_files": op6_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, source, l.i AS i, l.line AS line
+            FROM (SELECT doc_id, source, unnest(list_zip(string_split(text, chr(10)), range(1, len(string_split(text, chr(10))) + 1))) AS z FROM documents) t,
+                 LATERAL (SELECT z[1] AS line, z[2] AS i) l
+        ), total AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
+        common AS (
+            SELECT source, trim(line, ' ') AS line, count(DISTINCT doc_id) AS n FROM lines
+            WHERE trim(line, ' ') <> '' GROUP BY 1, 2
+        ), bad AS (
+            SELECT c.source, c.line FROM common c JOIN total t ON c.source = t.source
+            WHERE c.n >= {line_dedup.MIN_PAGES} AND c.n > t.total * CAST({line_dedup.RATIO} AS DOUBLE)
+        ), judged AS (
+            SELECT a.doc_id, a.i, a.line, b.line IS NOT NULL AS dropped FROM lines a
+            LEFT JOIN bad b ON a.source = b.source AND trim(a.line, ' ') = b.line
+        ), done AS (
+            SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped) AS clean,
+                   count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped
+            FROM judged GROUP BY doc_id
+        )
+        SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(clean, '') END AS text, n_lines, n_dropped
+        FROM documents d JOIN done USING (doc_id)""",
+}

@@ -46,3 +46,11 @@ def shared_file_folder(spark: SparkSession, label: str) -> str:
 def commit_file(tmp: str, final: str) -> None:
     """Publish a finished file in one step; a repeated task attempt writes the same bytes."""
     os.replace(tmp, final)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
