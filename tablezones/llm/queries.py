@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablezones.llm import line_dedup, packing, quality_gam, token_files
+from tablezones.llm import jaccard_join, line_dedup, packing, quality_gam, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +29,16 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, manifest)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_gam": op5_quality_gam,
     "op6_token_files": op6_token_files,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
