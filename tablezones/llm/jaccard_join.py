@@ -222,3 +222,13 @@ def similar_components(documents: DataFrame, words: int = WORDS, percent: int =
     if not more.isEmpty():
         joined = staged(components(links.unionAll(more)), "components")
     return rows.join(joined, rows["doc_id"] == joined["node"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def keep_one_of_each(documents: DataFrame) -> DataFrame:
+    """``documents`` with one row of each component: that of the smallest doc_id."""
+    found = staged(similar_components(documents), "similar-components")
+    copies = staged(found.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
+    kept = documents.join(small_side(copies), "doc_id", "left_anti").select(*documents.columns)
+    if found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
+        return kept
+    return kept.where("doc_id IS NULL").unionAll(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))

@@ -21,8 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tablezones.llm.batches import pieces
+from tablezones.llm.staging import fresh_name
 from tablezones.llm.words import word_hashes, word_spans
 
 FEATURES = (
@@ -209,17 +211,22 @@ def fit_quality(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROW
     return fit(np.array([r["x"] for r in got]).reshape(len(got), len(FEATURES)), np.array([float(r["quality"]) for r in got]))
 
 
-def score_quality(documents: DataFrame, model: Gam) -> DataFrame:
-    """Every row of ``documents`` with its ``score`` (higher: better) in one narrow pass."""
-    kept = [f for f in documents.schema.fields if f.name != "score"]
+def score_quality(documents: DataFrame, model: Gam, column: str = "score") -> DataFrame:
+    """Every row of ``documents`` with its score (higher: better) as a new ``column``, in one narrow pass."""
+
+    if fresh_name(documents, column) != column:
+        raise ValueError(f"there is a column {column}")
+    schema = StructType([*documents.schema.fields, StructField(column, DoubleType())])
 
     def score(batches):
         for batch in batches:
+            done = 0
             for rows, text, at in pieces(batch, "text"):
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(model.scores(text_features(text, at)))], [*rows.schema.names, "score"])
+                own = batch.slice(done, len(rows))  # with null texts as they are
+                done += len(rows)
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(model.scores(text_features(text, at)))], [*own.schema.names, column])
 
-    schema = documents.select(*[f.name for f in kept]).schema.add("score", "double")
-    return documents.select(*[f.name for f in kept]).mapInArrow(score, schema)
+    return documents.mapInArrow(score, schema)
 
 
 def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -227,3 +234,10 @@ def classify(documents: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit_quality(documents, labels)
     scored = score_quality(documents.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out().alias("held_out"), "score", F.when(F.col("score") >= ACCEPT, 1).otherwise(0).alias("predicted"))
+
+
+def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """``documents`` without the rows that the classifier rejects."""
+    column = fresh_name(documents, "quality_score")
+    scored = score_quality(documents, fit_quality(documents, labels), column)
+    return scored.where(F.col(column) >= ACCEPT).select(*documents.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablezones.llm import jaccard_join, line_dedup, packing, quality_gam, token_files
+from tablezones.llm import decontam, jaccard_join, line_dedup, packing, quality_gam, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op2_decontam_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return line_dedup.drop_boilerplate(documents, counts=True)
@@ -35,6 +39,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_decontam_bm25": op2_decontam_bm25,
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_gam": op5_quality_gam,
     "op6_token_files": op6_token_files,

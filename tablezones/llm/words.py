@@ -40,11 +40,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return state["powers"]
 
 
-def word_spans(text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: For words of letters and digits only: ASCII punctuation separates too.
+PUNCTUATED = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def word_spans(text: np.ndarray, at: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end bytes of all words, and each row's first word (one more than rows)."""
     if not len(text):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
-    word = ~SPACE[text]
+    word = ~space[text]
     joined = word[1:] & word[:-1]  # a word goes on from one byte to the next, in the same text
     bounds = at[1:-1]
     joined[bounds[(bounds > 0) & (bounds < len(text))] - 1] = False
