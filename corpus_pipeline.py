@@ -1,14 +1,52 @@
-"""The corpus pipeline: its stages are added as their operators land."""
+"""A corpus pipeline: from raw documents to packed training sequences.
+
+Every stage reads what its predecessor kept, as written tables, and its
+decisions take effect. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablezones.llm import decontam, jaccard_join, line_dedup, packing, quality_gam
 from tablezones.llm.staging import staged
 
-STAGES: list = []
 
-#: Tokenizing, learned scores and packing have no SQL form; the tests hold stages against brute force.
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality_gam.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Boilerplate lines of each source go; the documents stay, with ``n_chars`` of what is left."""
+    return line_dedup.drop_boilerplate(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return jaccard_join.keep_one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the remaining documents, each with its sequence and place there."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packed),
+]
+
+#: A learned score, tokenizing and packing have no SQL form; the tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
