@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablezones.llm import decontam, jaccard_join, line_dedup, packing, quality_gam, token_files
+from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, quality_gam, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, folder, manifest)
 
 
+def op7_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return itq_dedup.similar_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op5_quality_gam": op5_quality_gam,
     "op6_token_files": op6_token_files,
+    "op7_itq_dedup": op7_itq_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
