@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, quality_gam, token_files
+from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, quality_gam, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return itq_dedup.similar_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op8_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(_table(spark, sf_dir, "documents"))
 
@@ -48,10 +52,19 @@ QUERIES = {
     "op5_quality_gam": op5_quality_gam,
     "op6_token_files": op6_token_files,
     "op7_itq_dedup": op7_itq_dedup,
+    "op8_warc_chunks": op8_warc_chunks,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_warc_chunks": f"""
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages WHERE page_id IS NOT NULL
+        ), m AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN n >= {warc.REVISIT_BYTES} AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= {warc.REVISIT_BYTES} AND page_id <> top THEN top END AS refers_to
+        FROM m""",
     "op3_line_dedup": f"""
         WITH lines AS (
             SELECT doc_id, source, l.i AS i, l.line AS line
