@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, quality_gam, token_files, warc
+from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, pii_crf, quality_gam, quotes, token_files, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(documents, counts=True)
 
 
+def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -41,6 +45,11 @@ def op8_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op9_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("conv_id", "turn", "role", "reply_to", "depth", "n_quoted", "text", "chat")
+    return quotes.reply_ordered(_table(spark, sf_dir, "conversations")).select(*columns)
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(_table(spark, sf_dir, "documents"))
 
@@ -49,14 +58,50 @@ QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontam_bm25": op2_decontam_bm25,
     "op3_line_dedup": op3_line_dedup,
+    "op4_pii_crf": op4_pii_crf,
     "op5_quality_gam": op5_quality_gam,
     "op6_token_files": op6_token_files,
     "op7_itq_dedup": op7_itq_dedup,
     "op8_warc_chunks": op8_warc_chunks,
+    "op9_quote_links": op9_quote_links,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_quote_links": r"""
+        WITH RECURSIVE l AS (
+            SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations
+            WHERE text IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL
+        ), lines AS (
+            SELECT DISTINCT conv_id, turn, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]*)*'), '[^>]', '', 'g')) AS level,
+                   lower(trim(regexp_replace(regexp_replace(line, '^[ \t]*(?:>[ \t]*)*', ''), '[ \t]+', ' ', 'g'), ' ')) AS plain FROM l
+        ), found AS (
+            SELECT q.conv_id, q.turn, q.level, q.plain, max(o.turn) AS origin FROM lines q
+            JOIN lines o ON o.conv_id = q.conv_id AND o.plain = q.plain AND o.turn < q.turn AND o.level = 0
+            WHERE q.level > 0 AND q.plain <> '' GROUP BY ALL
+        ), votes AS (SELECT conv_id, turn, level, origin, count(*) AS hits FROM found GROUP BY ALL),
+        best AS (
+            SELECT conv_id, turn, origin FROM votes
+            QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, hits DESC, origin DESC) = 1
+        ), keys AS (SELECT DISTINCT conv_id, turn FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+        parent AS (
+            SELECT k.conv_id, k.turn, coalesce(b.origin, p.turn) AS reply_to FROM keys k
+            LEFT JOIN best b ON b.conv_id = k.conv_id AND b.turn = k.turn
+            LEFT JOIN keys p ON p.conv_id = k.conv_id AND p.turn = k.turn - 1
+        ), tree AS (
+            SELECT conv_id, turn, reply_to, CAST(0 AS BIGINT) AS depth FROM parent WHERE reply_to IS NULL
+            UNION ALL
+            SELECT p.conv_id, p.turn, p.reply_to, t.depth + 1 FROM parent p JOIN tree t ON t.conv_id = p.conv_id AND t.turn = p.reply_to
+        ), own AS (
+            SELECT *, list_filter(string_split(text, chr(10)), lambda x: NOT contains(regexp_extract(x, '^[ \t]*(?:>[ \t]*)*'), '>')) AS kept FROM conversations
+        ), clean AS (
+            SELECT *, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) - len(kept) END AS BIGINT) AS n_quoted FROM own
+        ), done AS (
+            SELECT conv_id, turn, role, n_quoted, CASE WHEN n_quoted = 0 THEN text ELSE trim(array_to_string(kept, chr(10)), ' ') END AS text FROM clean
+        )
+        SELECT d.conv_id, d.turn, d.role, t.reply_to, coalesce(t.depth, 0) AS depth, d.n_quoted, d.text,
+               '<|' || coalesce(d.role, '') || '|>' || chr(10) || coalesce(d.text, '') || chr(10) AS chat
+        FROM done d LEFT JOIN tree t ON t.conv_id = d.conv_id AND t.turn = d.turn""",
     "op8_warc_chunks": f"""
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n FROM pages WHERE page_id IS NOT NULL
