@@ -31,4 +31,8 @@ class UnsafeOverwriteError(TablezonesError):
 
 
 class CorruptInputError(TablezonesError):
-    """Malformed JSON was found while the caller asked to fail on it."""
+    """Malformed JSON was found; the documents are in the quarantine folder."""
+
+
+class SharedFolderError(TablezonesError):
+    """A cluster session names no shared folder (``spark.checkpoint.dir``) for staged tables."""

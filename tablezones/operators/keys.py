@@ -76,8 +76,9 @@ def join_attach_key(
     """Left-join ``key_columns`` from ``keys`` on the same-named column ``on``.
 
     The key side is first reduced to one row per ``on`` value (partial
-    aggregation map-side), so a duplicated name cannot multiply left rows;
-    NULL names never match and keep a NULL key.
+    aggregation map-side), so a duplicated name cannot multiply left rows. Of
+    conflicting rows the least one by ``key_columns`` wins, whatever their
+    order. NULL names never match and keep a NULL key.
 
     With ``stage`` (default) the reduced key table is written once under the
     shared checkpoint folder and read back. That cuts its lineage and leaves
@@ -87,7 +88,9 @@ def join_attach_key(
     table is broadcast instead, by its measured size. The staged table is left
     in place (the returned frame reads it); the checkpoint folder's retention
     policy decides when it goes."""
-    right = keys.select(column(on), *[column(c) for c in key_columns]).dropDuplicates([on])
+    least = F.min(F.struct(*[column(c) for c in key_columns])).alias("least")
+    right = keys.where(column(on).isNotNull()).groupBy(column(on)).agg(least)
+    right = right.select(column(on), *[F.col("least").getField(c).alias(c) for c in key_columns])
     if stage:
         spark = df.sparkSession
         path = stage_path or scratch_path(spark, "attach-keys")

@@ -31,11 +31,11 @@ COUNTRIES = FeedRules(
     renames=dict(fv.RENAMES),
 )
 
-# Explicit schema for the countries feed: reading with it skips the inference
-# pass over the raw zone, and types the open key sets (language and
-# translation codes) as maps, so the trusted table gets the same columns
-# whatever codes a run's data holds. Fields absent from the data read as NULL
-# (and vanish from JSON text); map JSON follows the source's key order.
+# Declared types for the countries feed. They type the open key sets (language
+# and translation codes) as maps, so the trusted table gets the same columns
+# whatever codes a run's data holds. Fields that the data has beyond these are
+# kept with inferred types. Fields absent from the data read as NULL (and vanish
+# from JSON text); map JSON follows the source's key order.
 FEED_SCHEMA = (
     "name struct<common:string,official:string,nativeName:map<string,struct<common:string,official:string>>>, "
     "ccn3 string, cca3 string, latlng array<double>, independent boolean, status string, "

@@ -1,15 +1,16 @@
 """Zone-to-zone jobs: raw JSON -> foundation Parquet -> trusted Parquet -> table.
 
-Each stage is one read, one lazily built plan, a first-row check and one
-observed write; its counts come from the write itself. Stages raise on
-failure, so a later stage never runs on stale or missing data.
+Each stage is one read, one lazily built plan and one observed write to a
+fresh folder, which takes the zone's place only if it has rows; counts come
+from the write itself. Stages raise on failure, so a later stage never runs on
+stale or missing data. A stage hands the schema of what it wrote to the next.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -19,19 +20,36 @@ from tablezones.plans.countries import COUNTRIES, CountryRules, transform_countr
 from tablezones.sinks.jdbc import prepare_for_jdbc, write_jdbc
 from tablezones.sinks.parquet import write_parquet
 from tablezones.sinks.report import WriteReport
-from tablezones.sources.json import CORRUPT_COLUMN, read_json_documents
+from tablezones.sources.json import CORRUPT_COLUMN, complete_schema, quarantined, read_json_documents
 from tablezones.sources.parquet import read_parquet
 
+#: Corrupt documents: "fail" keeps the foundation and raises; "quarantine" goes on without them.
+ON_CORRUPT = ("fail", "quarantine")
+
 
 def structured(
     spark: SparkSession,
     raw_path: str,
     schema: StructType | str | None = None,
-    on_corrupt: str = "keep",
-    sampling_ratio: float | None = None,
+    landed_schema: StructType | None = None,
 ) -> DataFrame:
-    """The foundation-zone frame: raw JSON documents as typed columns."""
-    return read_json_documents(spark, raw_path, schema=schema, on_corrupt=on_corrupt, sampling_ratio=sampling_ratio)
+    """Raw JSON documents as typed columns, malformed ones in ``_corrupt_record``.
+
+    Every field of the data is kept: ``schema`` fixes the types of the fields
+    it names, and an inference pass over all documents adds the others.
+    ``landed_schema`` is the schema in a landing writer's report: those very
+    rows are read back, so it is complete and no inference is needed."""
+    if landed_schema is not None:
+        return read_json_documents(spark, raw_path, schema=landed_schema)
+    inferred = read_json_documents(spark, raw_path)
+    if schema is None:
+        return inferred
+    return read_json_documents(spark, raw_path, schema=complete_schema(schema, inferred.schema))
+
+
+def quarantine(raw: DataFrame, path: str) -> None:
+    """Add the malformed documents of ``raw`` to ``path``: file name, whole text and what could be parsed."""
+    quarantined(raw).write.mode("append").parquet(path)
 
 
 def structure(
@@ -39,47 +57,61 @@ def structure(
     raw_path: str,
     foundation_path: str,
     schema: StructType | str | None = None,
-    on_corrupt: str = "keep",
-    sampling_ratio: float | None = None,
+    on_corrupt: str = "fail",
     num_files: int | None = None,
-    input_rows: int | None = None,
+    landed_schema: StructType | None = None,
+    quarantine_path: str | None = None,
 ) -> WriteReport:
-    """Raw JSON documents -> foundation Parquet. Reports rows and corrupt rows.
-    Empty input raises and leaves the previous foundation in place.
+    """Raw JSON documents -> foundation Parquet, parsed once. Reports rows and corrupt rows.
+
+    Malformed documents never reach the foundation. If there are any, they are
+    written to ``quarantine_path`` (default: ``<foundation>_quarantine``); then
+    the job fails and keeps the previous foundation, or with
+    ``on_corrupt="quarantine"`` publishes the other documents. A malformed
+    array document is quarantined as a whole file. Empty input raises and
+    leaves the previous foundation in place.
 
     A multi-line JSON file is parsed by one task, so a raw zone of a few huge
     files gives a few huge foundation files; ``num_files`` rebalances the
     parsed rows into that many files (one round-robin shuffle, which Spark
-    makes deterministic for retries). Leave it unset for many-file zones.
-    ``input_rows`` > 0 (e.g. from the landing write) skips the first-row check."""
-    df = structured(spark, raw_path, schema, on_corrupt, sampling_ratio)
+    makes deterministic for retries). Leave it unset for many-file zones."""
+    if on_corrupt not in ON_CORRUPT:
+        raise ValueError(f"on_corrupt must be one of {ON_CORRUPT}")
+    raw = structured(spark, raw_path, schema, landed_schema)
+    aside = quarantine_path or f"{foundation_path.rstrip('/')}_quarantine"
+    if raw.columns == [CORRUPT_COLUMN]:  # inference found no well-formed record at all
+        whole = spark.read.option("wholetext", True).text(raw_path)
+        whole.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"), F.lit("{}").alias("parsed")).write.mode("append").parquet(aside)
+        raise CorruptInputError(f"all documents under {raw_path} are malformed; see {aside}")
+    seen = raw
+    if CORRUPT_COLUMN in raw.columns:
+        # Counted where the rows are read, in the pass that writes the good ones.
+        counted = Observation()
+        seen = raw.observe(counted, F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))
+        seen = seen.where(column(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
     if num_files:
-        df = df.repartition(num_files)
-    extra = []
-    if CORRUPT_COLUMN in df.columns:
-        extra.append(F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))
-    # An inferred, non-empty schema already proves a record exists; only an
-    # explicit schema needs the first-row check.
-    try:
-        report = write_parquet(
-            df,
-            foundation_path,
-            extra_metrics=extra,
-            inputs=[raw_path],
-            require_rows=schema is not None and not (input_rows and input_rows > 0),
-        )
-    except Exception as exc:
-        if "MALFORMED_RECORD" in str(exc) or "Malformed records are detected" in str(exc):
-            raise CorruptInputError(f"malformed JSON under {raw_path}") from exc
-        raise
+        seen = seen.repartition(num_files)
+
+    def corrupt_rows() -> int:
+        return int(counted.get["corrupt_rows"]) if CORRUPT_COLUMN in raw.columns else 0
+
+    def accept(metrics: dict) -> None:
+        if n := corrupt_rows():
+            quarantine(raw, aside)
+            if on_corrupt == "fail":
+                raise CorruptInputError(f"{n} malformed documents under {raw_path}: see {aside}; previous foundation kept")
+
+    report = write_parquet(seen, foundation_path, inputs=[raw_path], require_rows=True, accept=accept)
     if not report.written:
         raise EmptyInputError(f"no records in {raw_path}; previous foundation kept, later stages not run")
-    return report
+    return WriteReport(report.target, True, {**report.metrics, "corrupt_rows": corrupt_rows()}, report.schema)
 
 
-def transformed(spark: SparkSession, foundation_path: str, rules: CountryRules = COUNTRIES) -> DataFrame:
-    """The trusted-zone frame."""
-    return transform_countries(read_parquet(spark, foundation_path), rules)
+def transformed(
+    spark: SparkSession, foundation_path: str, rules: CountryRules = COUNTRIES, schema: StructType | None = None
+) -> DataFrame:
+    """The trusted-zone frame; ``schema`` as the structure stage reported it."""
+    return transform_countries(read_parquet(spark, foundation_path, schema=schema), rules)
 
 
 def transform(
@@ -87,40 +119,35 @@ def transform(
     foundation_path: str,
     trusted_path: str,
     rules: CountryRules = COUNTRIES,
-    input_rows: int | None = None,
+    schema: StructType | None = None,
 ) -> WriteReport:
     """Foundation Parquet -> flat, keyed trusted Parquet. Also reports rows
     left without a key (NULL or empty name), counted in the same pass. Empty
-    input raises and leaves the previous trusted table in place; the
-    first-row check is skipped when ``input_rows`` (e.g. the structure
-    stage's count in the same run) is already known to be positive, since
-    the transform keeps every row."""
+    input raises and leaves the previous trusted table in place."""
     key = rules.renames.get(rules.key_column, rules.key_column)
     extra = [F.count_if(column(key).isNull()).alias("null_keys")] if rules.attach_key else []
     report = write_parquet(
-        transformed(spark, foundation_path, rules),
+        transformed(spark, foundation_path, rules, schema),
         trusted_path,
         extra_metrics=extra,
         inputs=[foundation_path],
-        require_rows=not (input_rows and input_rows > 0),
+        require_rows=True,
     )
     if not report.written:
         raise EmptyInputError(f"no rows in {foundation_path}; previous trusted table kept, later stages not run")
     return report
 
 
-def serving_frame(spark: SparkSession, trusted_path: str) -> DataFrame:
+def serving_frame(spark: SparkSession, trusted_path: str, schema: StructType | None = None) -> DataFrame:
     """Exactly what the save stage hands to the JDBC writer."""
-    return prepare_for_jdbc(read_parquet(spark, trusted_path))
+    return prepare_for_jdbc(read_parquet(spark, trusted_path, schema=schema))
 
 
 def save(
-    spark: SparkSession, trusted_path: str, url: str, table: str, input_rows: int | None = None, **jdbc_options
+    spark: SparkSession, trusted_path: str, url: str, table: str, schema: StructType | None = None, **jdbc_options
 ) -> WriteReport:
-    """Trusted Parquet -> JDBC table; an empty input keeps the old table (the
-    check is skipped when ``input_rows`` is known to be positive)."""
-    frame = read_parquet(spark, trusted_path)
-    return write_jdbc(frame, url, table, require_rows=not (input_rows and input_rows > 0), **jdbc_options)
+    """Trusted Parquet -> JDBC table; an empty input keeps the old table."""
+    return write_jdbc(read_parquet(spark, trusted_path, schema=schema), url, table, **jdbc_options)
 
 
 @dataclass(frozen=True)
@@ -143,15 +170,17 @@ def run_end_to_end(
     schema: StructType | str | None = None,
     rules: CountryRules = COUNTRIES,
     jdbc: dict | None = None,
-    raw_rows: int | None = None,
+    landed_schema: StructType | None = None,
+    on_corrupt: str = "fail",
+    num_files: int | None = None,
 ) -> dict[str, WriteReport]:
     """raw -> foundation -> trusted (-> table when ``jdbc`` has ``url`` and
-    ``table``), stopping at the first failure. ``raw_rows``: records known to
-    be in the raw zone (e.g. from the landing write), which saves a check."""
-    reports = {"structure": structure(spark, zones.raw, zones.foundation, schema=schema, input_rows=raw_rows)}
-    reports["transform"] = transform(spark, zones.foundation, zones.trusted, rules, reports["structure"].rows)
+    ``table``), stopping at the first failure."""
+    first = structure(spark, zones.raw, zones.foundation, schema, on_corrupt, num_files, landed_schema)
+    second = transform(spark, zones.foundation, zones.trusted, rules, first.schema)
+    reports = {"structure": first, "transform": second}
     if jdbc:
         options = dict(jdbc)
         url, table = options.pop("url"), options.pop("table")
-        reports["save"] = save(spark, zones.trusted, url, table, reports["transform"].rows, **options)
+        reports["save"] = save(spark, zones.trusted, url, table, second.schema, **options)
     return reports

@@ -12,10 +12,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tablezones import testbed
 from tablezones.functions import array_item, column, field_or_null, has_key, join_array, join_strings, json_text
 from tablezones.operators import (
+    cast_columns,
     extract_variants,
     flatten_complex,
     join_attach_key,
@@ -33,15 +35,11 @@ from tablezones.plans import COUNTRIES, Zones, key_only, run_end_to_end, serving
 from tablezones.fixed_values import TRANSLATION_CODES, TRANSLATION_PREFIX
 from tablezones.session import scratch_path
 from tablezones.sinks import land_json_documents, land_json_lines, prepare_for_jdbc, write_parquet
-from tablezones.sources import read_json_documents, read_json_lines, read_parquet
+from tablezones.sources import CORRUPT_COLUMN, read_json_documents, read_json_lines, read_parquet
 from tablezones.streaming import run_incremental_transform
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-TRUSTED_COLUMNS = [
-    "id", "Dat_nuoc", "ccn3", "Doc_lap", "Thu_do", "Ten_thay_the", "languages", "Khu_vuc",
-    "Mui_gio", "Luc_dia", "lat", "lng", "su_dung_tieng_anh", "Google_Maps", "timezone_1", "svg_flags",
-]
 TEST_RULES = COUNTRIES.keeping(["id"])
 
 
@@ -49,61 +47,51 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return testbed.table(spark, sf_dir, name)
 
 
-def _landed_feed(spark: SparkSession, sf_dir: str, label: str) -> tuple[Zones, DataFrame, int]:
+def _landed_feed(spark: SparkSession, sf_dir: str, label: str) -> tuple[Zones, StructType]:
     """Land the nested test bed as JSON array documents in a fresh raw zone."""
     zones = Zones.under(scratch_path(spark, label))
-    feed = testbed.entities_feed(spark, sf_dir)
-    landed = land_json_documents(feed, zones.raw)
-    return zones, feed, landed.rows
-
-
-def _name_parts(df: DataFrame) -> DataFrame:
-    return df.select(
-        "id",
-        F.col("name.common").alias("common"),
-        F.col("name.official").alias("official"),
-        join_array(F.col("altSpellings")).alias("alt"),
-    )
+    return zones, land_json_documents(testbed.entities_feed(spark, sf_dir), zones.raw).schema
 
 
 # --- sources ---------------------------------------------------------------
 
 def src_parquet_scan(spark, sf_dir):
-    return _table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+    return _table(spark, sf_dir, "customer")
 
 
 def src_json_lines(spark, sf_dir):
-    events = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
     path = scratch_path(spark, "src_json_lines")
-    land_json_lines(events, path)
-    return read_json_lines(spark, path, schema=events.schema).select("event_id", "user_id", "event_type", "props")
+    landed = land_json_lines(_table(spark, sf_dir, "events"), path)
+    return read_json_lines(spark, path, schema=landed.schema).drop(CORRUPT_COLUMN)
 
 
 def src_json_multiline(spark, sf_dir):
-    zones, _, _ = _landed_feed(spark, sf_dir, "src_json_multiline")
-    # Schema inferred, as a feed of unknown shape is read.
-    return _name_parts(read_json_documents(spark, zones.raw))
+    zones, _ = _landed_feed(spark, sf_dir, "src_json_multiline")
+    # Schema inferred, as a feed of unknown shape is read; nested columns shown as JSON text.
+    return flatten_complex(read_json_documents(spark, zones.raw))
 
 
 # --- sinks -----------------------------------------------------------------
 
 def snk_parquet_overwrite(spark, sf_dir):
-    done = _table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice")
+    orders = _table(spark, sf_dir, "orders")
     path = scratch_path(spark, "snk_parquet_overwrite")
-    write_parquet(done, path)
-    return read_parquet(spark, path)
+    write_parquet(_table(spark, sf_dir, "nation"), path)
+    write_parquet(orders, path)  # replaces what was there
+    return read_parquet(spark, path, schema=orders.schema)
 
 
 def snk_jdbc_overwrite(spark, sf_dir):
     # The frame handed to the JDBC writer; no database is started here.
-    ent = testbed.entities(spark, sf_dir)
-    return prepare_for_jdbc(ent.select("id", F.col("name.common").alias("common"), F.col("altSpellings").alias("alt")))
+    return prepare_for_jdbc(testbed.entities(spark, sf_dir))
 
 
 def gate_nonempty(spark, sf_dir):
     nation = _table(spark, sf_dir, "nation")
     path = scratch_path(spark, "gate_nonempty")
     write_parquet(nation, path, require_rows=True)
+    refused = write_parquet(nation.where(F.col("n_nationkey").isNull()), path, require_rows=True)
+    assert not refused.written  # an empty result keeps the table
     return read_parquet(spark, path)
 
 
@@ -114,8 +102,7 @@ def prj_select_present(spark, sf_dir):
 
 
 def prj_with_columns(spark, sf_dir):
-    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    return with_columns(li, {"twice": F.col("l_linenumber") * 2, "l_returnflag": F.upper("l_returnflag")})
+    return with_columns(_table(spark, sf_dir, "lineitem"), {"twice": F.col("l_linenumber") * 2, "l_returnflag": F.upper("l_returnflag")})
 
 
 def prj_rename_map(spark, sf_dir):
@@ -137,7 +124,7 @@ def prj_array_item(spark, sf_dir):
 
 
 def prj_cast_double(spark, sf_dir):
-    return _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("double").alias("custkey_d"))
+    return cast_columns(_table(spark, sf_dir, "orders"), {"o_custkey": "double", "o_orderkey": "double"})
 
 
 def prj_field_or_null(spark, sf_dir):
@@ -188,7 +175,7 @@ def json_encode_map(spark, sf_dir):
 
 
 def flatten_complex_q(spark, sf_dir):
-    return flatten_complex(testbed.entities(spark, sf_dir)).select("id", "name", "altSpellings", "attrs", "region")
+    return flatten_complex(testbed.entities(spark, sf_dir))
 
 
 def json_extract_variants(spark, sf_dir):
@@ -226,49 +213,54 @@ def agg_map_sum(spark, sf_dir):
 
 
 def lim_preview(spark, sf_dir):
-    return preview(_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), ["o_orderkey"], 5)
+    return preview(_table(spark, sf_dir, "orders"), ["o_orderkey"], 5)
 
 
 def profile_columns_q(spark, sf_dir):
-    return profile_columns(testbed.entities(spark, sf_dir), ["altSpellings", "region"])
+    return profile_columns(testbed.entities(spark, sf_dir))
 
 
 # --- pipelines -------------------------------------------------------------
 
 def pipe_structure(spark, sf_dir):
-    zones, feed, landed = _landed_feed(spark, sf_dir, "pipe_structure")
-    structure(spark, zones.raw, zones.foundation, schema=feed.schema, input_rows=landed)
-    return _name_parts(read_parquet(spark, zones.foundation))
+    zones, landed = _landed_feed(spark, sf_dir, "pipe_structure")
+    report = structure(spark, zones.raw, zones.foundation, landed_schema=landed)
+    return flatten_complex(read_parquet(spark, zones.foundation, schema=report.schema))
 
 
 def _through_trusted(spark, sf_dir, label):
-    zones, feed, landed = _landed_feed(spark, sf_dir, label)
-    rows = structure(spark, zones.raw, zones.foundation, schema=feed.schema, input_rows=landed).rows
-    transform(spark, zones.foundation, zones.trusted, TEST_RULES, input_rows=rows)
-    return zones
+    """The trusted zone after landing, structure and transform, and its schema."""
+    zones, landed = _landed_feed(spark, sf_dir, label)
+    first = structure(spark, zones.raw, zones.foundation, landed_schema=landed)
+    return zones.trusted, transform(spark, zones.foundation, zones.trusted, TEST_RULES, first.schema).schema
 
 
 def pipe_transform(spark, sf_dir):
-    zones = _through_trusted(spark, sf_dir, "pipe_transform")
-    return read_parquet(spark, zones.trusted).select(*TRUSTED_COLUMNS)
+    trusted, schema = _through_trusted(spark, sf_dir, "pipe_transform")
+    return read_parquet(spark, trusted, schema=schema)
 
 
 def pipe_save(spark, sf_dir):
     # The save stage up to the JDBC writer; no database is started here.
-    zones = _through_trusted(spark, sf_dir, "pipe_save")
-    return serving_frame(spark, zones.trusted).select(*TRUSTED_COLUMNS)
+    trusted, schema = _through_trusted(spark, sf_dir, "pipe_save")
+    return serving_frame(spark, trusted, schema)
 
 
 def pipe_end_to_end(spark, sf_dir):
-    zones, feed, landed = _landed_feed(spark, sf_dir, "pipe_end_to_end")
-    run_end_to_end(spark, zones, schema=feed.schema, rules=TEST_RULES, raw_rows=landed)
-    return read_parquet(spark, zones.trusted).select(*TRUSTED_COLUMNS, "country_id")
+    zones, landed = _landed_feed(spark, sf_dir, "pipe_end_to_end")
+    reports = run_end_to_end(spark, zones, rules=TEST_RULES, landed_schema=landed)
+    return read_parquet(spark, zones.trusted, schema=reports["transform"].schema)
 
 
 def pipe_transform_stream(spark, sf_dir):
-    zones, feed, _ = _landed_feed(spark, sf_dir, "pipe_transform_stream")
-    run_incremental_transform(spark, zones.raw, zones.trusted, feed.schema, rules=TEST_RULES)
-    return read_parquet(spark, zones.trusted).select(*TRUSTED_COLUMNS)
+    """Land the feed in two parts and run the stream after each, into one table."""
+    zones = Zones.under(scratch_path(spark, "pipe_transform_stream"))
+    checkpoint = scratch_path(spark, "pipe_transform_stream-checkpoint")
+    feed = testbed.entities_feed(spark, sf_dir)
+    for half in (0, 1):
+        land_json_documents(feed.where(F.col("id") % 2 == half), zones.raw, mode="append")
+        run_incremental_transform(spark, zones.raw, zones.trusted, feed.schema, checkpoint, rules=TEST_RULES)
+    return read_parquet(spark, zones.trusted)
 
 
 QUERIES: dict[str, Query] = {

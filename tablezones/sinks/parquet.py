@@ -1,4 +1,4 @@
-"""Parquet sink: whole-directory overwrite, observed in the same pass."""
+"""Parquet sink: a folder is replaced as a whole, its rows counted in the same pass."""
 
 from __future__ import annotations
 
@@ -8,8 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tablezones.sinks.gate import has_rows
-from tablezones.sinks.guards import refuse_self_overwrite
+from tablezones.sinks.guards import refuse_self_overwrite, replace_folder
 from tablezones.sinks.report import WriteReport
 
 
@@ -29,20 +28,30 @@ def write_parquet(
     require_rows: bool = False,
     extra_metrics: Sequence[Column] = (),
     options: dict | None = None,
-    inputs: Sequence[str] | None = None,
+    inputs: Sequence[str] = (),
+    accept=None,
 ) -> WriteReport:
-    """Write ``df`` as Parquet. Overwrite refuses to destroy its own input
-    (``inputs``, the root paths ``df`` reads, make that check path-only);
-    ``require_rows`` keeps the old target when ``df`` is empty."""
-    if mode == "overwrite":
-        refuse_self_overwrite(df, path, inputs)
-    if require_rows and not has_rows(df):
-        return WriteReport(target=path, written=False, metrics={"rows": 0})
+    """Write ``df`` as Parquet in one pass.
+
+    Overwrite writes a fresh sibling folder and swaps it in when complete (see
+    ``guards``), so a failing job leaves the old data. ``require_rows`` keeps
+    the old target when the write turns out to have no rows; ``accept`` may
+    inspect the observed metrics and raise to keep it. ``inputs`` are root
+    paths that must not be taken away by the swap."""
     frame, obs = observed(df, "parquet_write", extra_metrics)
-    writer = frame.write.mode(mode)
+    writer = frame.write.options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    for key, value in (options or {}).items():
-        writer = writer.option(key, value)
-    writer.parquet(path)
-    return WriteReport(target=path, written=True, metrics=dict(obs.get))
+    if mode != "overwrite":
+        writer.mode(mode).parquet(path)
+        return WriteReport(path, True, dict(obs.get), df.schema)
+    refuse_self_overwrite(df.sparkSession, path, inputs)
+
+    def write(folder: str) -> bool:
+        writer.parquet(folder)
+        if accept is not None:
+            accept(dict(obs.get))
+        return not require_rows or int(obs.get["rows"]) > 0
+
+    written = replace_folder(df.sparkSession, path, write)
+    return WriteReport(path, written, dict(obs.get), df.schema)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql.types import StructType
+
 
 @dataclass(frozen=True)
 class WriteReport:
@@ -13,6 +15,7 @@ class WriteReport:
     target: str
     written: bool
     metrics: dict = field(default_factory=dict)
+    schema: StructType | None = None  # of the written rows, so that the next stage need not infer it
 
     @property
     def rows(self) -> int:

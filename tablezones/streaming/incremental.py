@@ -6,23 +6,62 @@ job, and appended to the trusted Parquet directory by the exactly-once file
 sink. ``trigger(availableNow=True)`` makes a scheduled run process what has
 arrived and stop, so a daily run reads only new files instead of the whole
 raw zone. The plan is stateless: nothing accumulates in the state store.
-A lost executor only re-runs its task; a lost driver restarts from the
-checkpoint, which must sit in the shared checkpoint folder.
+
+The checkpoint belongs to the target: the sink skips batches that it has
+already committed, so a run with another checkpoint would lose its files.
+Therefore it has no default; name a folder in shared storage and keep it.
+
+Malformed documents do not reach the trusted table. A second query with its
+own checkpoint appends their file name and text to the quarantine folder, also
+exactly once; it parses the new files once more.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from tablezones.functions.fields import column
 from tablezones.plans.countries import COUNTRIES, CountryRules, transform_countries
-from tablezones.session import scratch_path
-from tablezones.sources.json import CORRUPT_COLUMN
+from tablezones.sinks.guards import path_exists
+from tablezones.sources.json import CORRUPT_COLUMN, NTZ_FORMAT, quarantined, with_corrupt_column
+from tablezones.sources.parquet import read_parquet
+
+
+def _source(spark: SparkSession, raw_dir: str, schema: StructType, max_files_per_trigger: int | None, archive_dir: str | None = None) -> DataFrame:
+    reader = (
+        spark.readStream.schema(with_corrupt_column(schema))
+        .option("multiLine", True)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .option("timestampNTZFormat", NTZ_FORMAT)
+    )
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    return reader.json(raw_dir)
+
 
-METRICS = "incremental_input"
+def _start(out: DataFrame, target: str, checkpoint: str, available_now: bool) -> StreamingQuery:
+    writer = out.writeStream.format("parquet").outputMode("append").option("path", target).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def start_quarantine(
+    spark: SparkSession,
+    raw_dir: str,
+    quarantine_dir: str,
+    schema: StructType,
+    checkpoint: str,
+    max_files_per_trigger: int | None = None,
+    available_now: bool = True,
+) -> StreamingQuery:
+    """Append the file name and text of every malformed document to ``quarantine_dir``."""
+    source = _source(spark, raw_dir, schema, max_files_per_trigger)
+    return _start(quarantined(source), quarantine_dir, checkpoint, available_now)
 
 
 def start_incremental_transform(
@@ -30,7 +69,7 @@ def start_incremental_transform(
     raw_dir: str,
     trusted_dir: str,
     schema: StructType,
-    checkpoint: str | None = None,
+    checkpoint: str,
     rules: CountryRules = COUNTRIES,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
@@ -41,51 +80,40 @@ def start_incremental_transform(
     ``archive_dir`` moves processed raw files there (those of a batch once a
     later batch commits, so the newest files wait for the next run), keeping
     the raw zone and its listing per trigger small."""
-    if CORRUPT_COLUMN not in schema.fieldNames():
-        # Malformed documents stay visible and countable, as in the batch reader.
-        schema = StructType(list(schema.fields) + [StructField(CORRUPT_COLUMN, StringType(), True)])
-    reader = (
-        spark.readStream.schema(schema)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-    )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    # Per-batch counts arrive in the query progress (``observedMetrics``), no extra pass.
-    source = reader.json(raw_dir).observe(
-        METRICS,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"),
-    )
-    out = transform_countries(source, rules)
-    writer = (
-        out.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", trusted_dir)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "stream-checkpoint"))
-    )
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    source = _source(spark, raw_dir, schema, max_files_per_trigger, archive_dir)
+    good = source.where(column(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+    return _start(transform_countries(good, rules), trusted_dir, checkpoint, available_now)
+
 
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows of a streaming target by its footers; 0 before its first run."""
+    if not path_exists(spark, path):
+        return 0
+    try:
+        return read_parquet(spark, path).count()
+    except Exception as exc:
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc):  # a first run without rows
+            return 0
+        raise
 
-def run_incremental_transform(spark: SparkSession, raw_dir: str, trusted_dir: str, schema: StructType, **kw) -> dict:
+
+def run_incremental_transform(
+    spark: SparkSession,
+    raw_dir: str,
+    trusted_dir: str,
+    schema: StructType,
+    checkpoint: str,
+    quarantine_dir: str | None = None,
+    **kw,
+) -> dict:
     """Process everything landed so far, then stop. Returns the last progress
-    plus ``rows`` and ``corrupt_rows`` summed over this run's batches."""
-    query = start_incremental_transform(spark, raw_dir, trusted_dir, schema, **kw)
+    plus this run's ``rows`` and ``corrupt_rows``, which are counted in the
+    targets before and after, so they are complete for any number of batches."""
+    aside = quarantine_dir or f"{trusted_dir.rstrip('/')}_quarantine"
+    before = _rows(spark, trusted_dir), _rows(spark, aside)
+    # The quarantine query goes first: an archiving transform moves files away.
+    start_quarantine(spark, raw_dir, aside, schema, f"{checkpoint.rstrip('/')}/quarantine", kw.get("max_files_per_trigger")).awaitTermination()
+    query = start_incremental_transform(spark, raw_dir, trusted_dir, schema, f"{checkpoint.rstrip('/')}/transform", **kw)
     query.awaitTermination()
-    totals = {"rows": 0, "corrupt_rows": 0}
-    for progress in query.recentProgress:
-        observed = getattr(progress, "observedMetrics", None)
-        if observed is None and isinstance(progress, dict):
-            observed = progress.get("observedMetrics")
-        row = (observed or {}).get(METRICS)
-        if row is None:
-            continue
-        values = row.asDict() if hasattr(row, "asDict") else dict(row)
-        for key in totals:
-            totals[key] += int(values.get(key) or 0)
     last = query.lastProgress
-    return {**(dict(last) if last else {}), **totals}
+    return {**(dict(last) if last else {}), "rows": _rows(spark, trusted_dir) - before[0], "corrupt_rows": _rows(spark, aside) - before[1]}

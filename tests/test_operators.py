@@ -185,3 +185,13 @@ def test_rename_swap_is_simultaneous(spark):
     out = rename_columns(df, {"a": "b", "b": "a"})
     assert out.dtypes == [("b", "int"), ("a", "string")]
     assert tuple(out.first()) == (1, "x")
+
+
+def test_join_attach_key_picks_the_same_key_in_any_order(spark):
+    rows = [("a", f"k{i}", i) for i in range(8)] + [(None, "n", 0), ("b", "x", 1)]
+    left = spark.createDataFrame([("a",), ("b",), (None,), ("c",)], "name string")
+    results = []
+    for order in (rows, rows[::-1]):
+        keys = spark.createDataFrame(order, "name string, k string, v int").repartition(3)
+        results.append(sorted(map(tuple, join_attach_key(left, keys, "name", ["k", "v"]).collect()), key=str))
+    assert results[0] == results[1] == sorted([("a", "k0", 0), ("b", "x", 1), (None, None, None), ("c", None, None)], key=str)

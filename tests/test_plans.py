@@ -76,8 +76,8 @@ def test_structure_stage_has_no_shuffle(spark, tmp_path):
     from tablezones.sinks import land_json_documents
 
     raw = str(tmp_path / "raw")
-    land_json_documents(testbed.entities_feed(spark, SF), raw)
-    df = structured(spark, raw, schema=testbed.entities_feed(spark, SF).schema)
+    landed = land_json_documents(testbed.entities_feed(spark, SF), raw)
+    df = structured(spark, raw, landed_schema=landed.schema)
     text = plan(df)
     assert "Exchange" not in text and "Scan json" in text
     assert "Exchange" in plan(df.repartition(4))  # only the opt-in rebalance shuffles

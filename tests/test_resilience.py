@@ -28,7 +28,7 @@ def flaky(batches):
     yield from frame(batches)
 
 df = spark.range(0, 500, numPartitions=4).select("id", F.concat(F.lit("v"), F.col("id")).alias("t"))
-json_records(df).mapInArrow(flaky, "value string").write.option("maxRecordsPerFile", 7).text(out + "/raw")
+json_records(df).mapInArrow(flaky, "value string").write.option("maxRecordsPerFile", 1).text(out + "/raw")
 docs = [json.load(open(f)) for f in glob.glob(out + "/raw/part-*")]
 ids = sorted(r["id"] for d in docs for r in d)
 back = read_json_documents(spark, out + "/raw", schema="id long, t string").count()

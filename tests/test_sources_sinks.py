@@ -93,14 +93,70 @@ def test_write_parquet_reports_rows_in_same_pass(spark, tmp_path):
     assert read_parquet(spark, out).count() == 123
 
 
-def test_self_overwrite_is_refused(spark, tmp_path):
+def test_overwriting_its_own_input_is_safe(spark, tmp_path):
     src = str(tmp_path / "t")
     write_parquet(spark.range(10), src)
     df = read_parquet(spark, src).withColumn("x", F.col("id") + 1)
     with pytest.raises(UnsafeOverwriteError):
-        write_parquet(df, src)
-    assert read_parquet(spark, src).count() == 10  # input intact
-    write_parquet(df, str(tmp_path / "other"))  # a different target is fine
+        write_parquet(df, src, inputs=[src])  # a named input is refused
+    assert read_parquet(spark, src).count() == 10
+    # Not named: the input is read to the end before it is replaced.
+    assert write_parquet(df, src).rows == 10
+    assert sorted(tuple(r) for r in read_parquet(spark, src).collect()) == [(i, i + 1) for i in range(10)]
+
+
+@pytest.mark.parametrize("land, read", [(land_json_documents, read_json_documents), (land_json_lines, read_json_lines)])
+def test_landing_never_destroys_its_input(spark, tmp_path, land, read):
+    raw = str(tmp_path / "raw")
+    assert land(spark.range(10), raw).rows == 10
+    df = read(spark, raw, schema="id long").select((F.col("id") * 2).alias("id"))
+    with pytest.raises(UnsafeOverwriteError):
+        land(df, raw, inputs=[raw])
+    broken = df.select(F.when(F.col("id") == 8, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        land(broken, raw)
+    assert read(spark, raw, schema="id long").count() == 10
+    assert land(df, raw).rows == 10
+    assert sorted(r.id for r in read(spark, raw, schema="id long").collect()) == list(range(0, 20, 2))
+
+
+def test_land_documents_bounded_bytes(spark, tmp_path):
+    out = str(tmp_path / "raw")
+    df = spark.range(0, 60, numPartitions=2).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    land_json_documents(df, out, bytes_per_document=5000)
+    assert all(os.path.getsize(f) < 6000 for f in part_files(out)) and len(part_files(out)) >= 12
+    assert read_json_documents(spark, out, schema="id long, t string").count() == 60
+
+
+def test_microseconds_survive_landing(spark, tmp_path):
+    df = spark.sql("SELECT 1L AS id, timestamp_ntz'2024-05-06 07:08:09.123456' AS ts, double(0.1) + 0.2 AS v")
+    for land, read in ((land_json_documents, read_json_documents), (land_json_lines, read_json_lines)):
+        out = str(tmp_path / land.__name__)
+        assert read(spark, out, schema=land(df, out).schema).select(df.columns).collect() == df.collect()
+
+
+def test_a_cluster_session_must_name_a_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from tablezones.errors import SharedFolderError
+    from tablezones.session import checkpoint_root
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, getConf=lambda: conf)
+        with pytest.raises(SharedFolderError):
+            checkpoint_root(SimpleNamespace(sparkContext=sc))
+    with pytest.raises(SharedFolderError):  # no context: a Connect session
+        checkpoint_root(SimpleNamespace(conf=conf))
+
+
+def test_replacing_a_folder_needs_a_file_system(spark):
+    from types import SimpleNamespace
+
+    from tablezones.sinks import replace_folder
+
+    with pytest.raises(UnsafeOverwriteError):
+        replace_folder(SimpleNamespace(_jvm=None), "hdfs://h/zone", lambda folder: False)
 
 
 def test_gate_keeps_old_target(spark, tmp_path):
@@ -212,10 +268,3 @@ def test_write_parquet_partitioned_with_options(spark, tmp_path):
     assert sorted(d for d in os.listdir(out) if d.startswith("part=")) == ["part=0", "part=1"]
     assert any(f.endswith(".zstd.parquet") for f in os.listdir(os.path.join(out, "part=0")))
     assert read_parquet(spark, out).count() == 20
-
-
-def test_sampled_inference_reads_every_row(spark, tmp_path):
-    path = tmp_path / "doc.json"
-    path.write_text(json.dumps([{"a": i, "b": "x"} for i in range(500)]))
-    df = read_json_documents(spark, str(path), sampling_ratio=0.2)
-    assert set(df.columns) == {"a", "b"} and df.count() == 500
