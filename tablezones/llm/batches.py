@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes worked on at once. One longer text makes a piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
