@@ -1,0 +1,330 @@
+"""Every operator on small tables with awkward rows, against brute force."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tablezones.llm import components as cc
+from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, pii_crf, quality_gam, quotes, token_files, warc
+from tablezones.llm.text_ids import TextEncoder, tokenizer_path
+
+RNG = np.random.default_rng(8)
+WORDS = ["alpha", "beta", "gamma", "delta", "Émile", "zeta,", "eta.", "théta", "iota", "kappa", "x1", "of", "the", "and"]
+
+
+def prose(n, rng=RNG):
+    return " ".join(rng.choice(WORDS, n)) if n else ""
+
+
+LONG = prose(3000)
+#: Nulls, empty, blank, very long, tied and repeated rows, unusual white space.
+AWKWARD = [(1, "a b c"), (2, None), (3, ""), (4, "  \n "), (5, LONG), (6, LONG), (7, "a b c"), (None, "lost id"), (8, "x\ty z"), (8, "x\ty z"), (9, "one")]
+EXTRA = "text_a string, n int, part int, score double, token long"  # names that operators use inside
+
+
+def docs(spark, rows, extra=True):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return df.select("*", *[F.lit(None).cast(c.split()[1]).alias(c.split()[0]) for c in EXTRA.split(", ")]) if extra else df
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def coder():
+    return TextEncoder(tokenizer_path())
+
+
+def test_token_files(spark, coder):
+    folder, manifest = token_files.write_token_files(docs(spark, AWKWARD))
+    got = token_files.read_token_files(spark, folder, manifest).collect()
+    want, start = [], 0
+    order = sorted(AWKWARD, key=lambda r: (r[0] is not None, r[0] or 0))
+    for i, text in order:
+        ids = [*coder.library.encode(text or "", add_special_tokens=False).ids, 0]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+    folder, manifest = token_files.write_token_files(docs(spark, []))
+    assert token_files.read_token_files(spark, folder, manifest).collect() == []
+
+
+def test_packing(spark, coder):
+    got = packing.pack(docs(spark, AWKWARD), capacity=64).collect()
+    pieces, places = {}, {}
+    for r in got:
+        pieces.setdefault(r.doc_id, []).append((r.piece, r.start, r.length, r.ids_crc32))
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    want = {}
+    for i, text in AWKWARD:
+        ids = [*coder.library.encode(text or "", add_special_tokens=False).ids, 2]
+        at, k = 0, 0
+        while at < len(ids):
+            n = (len(ids) - 1) % 64 + 1 if k == 0 else 64
+            want.setdefault(i, []).append((k, at, n, zlib.crc32(np.array(ids[at : at + n], "<u4").tobytes())))
+            at, k = at + n, k + 1
+    assert {i: sorted(p) for i, p in pieces.items()} == {i: sorted(p) for i, p in want.items()}
+    for parts in places.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 64
+    assert len(places) <= -(-sum(p[2] for ps in want.values() for p in ps) // 64) + 2
+    assert packing.pack(docs(spark, [])).collect() == []
+
+
+def test_line_dedup(spark):
+    site = [(i, f"menu\nown line {i}\n menu \n\nshared {i % 4}", "a") for i in range(20)]
+    site += [(100, "menu\nonly", "b"), (101, None, "a"), (102, "", "a"), (103, "menu", None), (104, "menu", None), (105, "menu", None), (106, "menu", "a"), (106, "menu", "a")]
+    df = spark.createDataFrame(site, "doc_id long, text string, source string").withColumns({"host": F.lit("h"), "boilerplate_drops": F.lit(1), "line": F.lit(2)})
+    got = line_dedup.drop_boilerplate(df, ratio=0.3, counts=True)
+    assert got.columns == [*df.columns, "n_lines", "n_dropped"]
+    totals = Counter(s for _, _, s in site)
+    per_line = Counter((s, line) for _, t, s in site for line in {x.strip(" ") for x in (t or "").split("\n")} - {""})
+    bad = {k for k, n in per_line.items() if n >= 3 and n > totals[k[0]] * 0.3}
+    assert bad == {("a", "menu"), (None, "menu")}
+    want = []
+    for i, t, s in site:
+        lines = [] if t is None else t.split("\n")
+        kept = [x for x in lines if (s, x.strip(" ")) not in bad]
+        want.append((i, None if t is None else "\n".join(kept), s, len(lines), len(lines) - len(kept)))
+    assert rows(got.select("doc_id", "text", "source", "n_lines", "n_dropped")) == sorted(want, key=str)
+    assert line_dedup.drop_boilerplate(df.limit(0)).collect() == []
+
+
+def test_personal_data(spark):
+    text = "Ünder ann@b.org, 10.1.2.3 and 4111 1111 1111 1111 or (569) 555-4877; +1 (652) 555-5229."
+    got = {r.doc_id: r for r in pii_crf.find_personal_data(docs(spark, [(10, text), *AWKWARD])).collect()}
+    base = [(k, m.start(), m.end()) for k, p in (("email", r"ann@b\.org"), ("ip", r"10\.1\.2\.3"), ("card", r"4111 1111 1111 1111"), ("phone", r"\+1 \(652\) 555-5229")) for m in re.finditer(p, text)]
+    joined = ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(base, key=lambda x: x[1]))
+    assert got[10].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+    assert [got[10][f"n_{k}"] for k in pii_crf.KINDS] == [1, 1, 1, 1] and got[10].n_added == 1
+    extra = text.index("(569)")
+    assert f"phone:{extra}:{extra + 14}" in got[10].spans.split(",") and set(joined.split(",")) < set(got[10].spans.split(","))
+    assert len(got) == 11 and all(got[i].spans == "" and got[i].base_sha256 == hashlib.sha256(b"").hexdigest() for i in (1, 2, 3, 5, None))
+    assert pii_crf.find_personal_data(docs(spark, [])).collect() == []
+
+
+def test_quality_scores(spark):
+    rng = np.random.default_rng(1)
+    good = [(i, prose(30, rng)) for i in range(100)]
+    bad = [(i, " ".join(f"{w.upper()}!!" for w in prose(30, rng).split())) for i in range(100, 200)]
+    labels = spark.createDataFrame([(i, int(i < 100), 0) for i in range(200)] + [(500, None, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    table = docs(spark, good + bad + AWKWARD[1:])
+    got = quality_gam.classify(table, labels).collect()
+    assert len(got) == 210 and all(0 <= r.score <= 1 for r in got)
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id if r.doc_id is not None else "").encode()) % 5 == 0)
+        assert r.predicted == int(r.score >= 0.3)
+    judged = [r for r in got if r.held_out and r.doc_id is not None and 10 <= r.doc_id < 200]
+    assert judged and all(r.predicted == int(r.doc_id < 100) for r in judged)
+    kept = quality_gam.keep_good(table, labels)
+    assert kept.columns == table.columns and kept.count() == sum(r.predicted for r in got)
+    assert quality_gam.classify(table, labels.limit(0)).where("score <> 0.5").isEmpty()
+    assert quality_gam.classify(docs(spark, []), labels).collect() == []
+
+
+def _neighbours(vectors, least):
+    links = set()
+    for i, (a, x, la) in enumerate(vectors):
+        for b, y, lb in vectors[:i]:
+            if la is None or la != lb or x is None or y is None or len(x) != len(y) or None in x or None in y:
+                continue
+            u, v = np.array(x, float), np.array(y, float)
+            if np.isfinite(u).all() and np.isfinite(v).all() and u.any() and v.any() and u @ v / np.linalg.norm(u) / np.linalg.norm(v) >= least:
+                links.add((a, b))
+    return links
+
+
+def _roots(nodes, links):
+    at = {n: n for n in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(at[a], at[b])
+            changed |= at[a] != low or at[b] != low
+            at[a] = at[b] = low
+    return at
+
+
+def test_similar_vectors(spark):
+    rng = np.random.default_rng(4)
+    vectors = []
+    for g in range(25):
+        centre = rng.normal(size=32)
+        for _ in range(4):
+            noise = rng.normal(size=32)
+            vectors.append((len(vectors), (centre + noise * rng.choice([0.1, 0.2, 0.3])).astype(np.float32).tolist(), g % 3))
+    same = vectors[0][1]
+    vectors += [(200, same, 0), (201, same, 0), (202, same, None), (203, same, 1), (204, None, 0), (205, [0.0] * 32, 0), (206, [None, *same[1:]], 0),
+                (207, [float("nan"), *same[1:]], 0), (208, [float("inf"), *same[1:]], 0), (209, [], 0), (210, same[:5], 0), (211, [2 * v for v in same[:5]], 0)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").withColumns({"rep": F.lit(1), "size": F.lit(2)})
+    got = {r.vec_id: r for r in itq_dedup.similar_vectors(df).collect()}
+    links = _neighbours(vectors, 0.93)
+    degree = Counter(x for pair in links for x in pair)
+    found = sum(r.n_links for r in got.values())
+    assert len(got) == len(vectors) and found >= 0.9 * 2 * len(links)
+    assert all(r.n_links <= degree[i] for i, r in got.items())
+    if found == 2 * len(links):
+        at = _roots([v[0] for v in vectors], links)
+        assert all(r.component_id == at[i] and r.kept == (at[i] == i) for i, r in got.items())
+    for i in (202, 204, 205, 206, 207, 208, 209):
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True)
+    assert itq_dedup.similar_vectors(df.limit(0)).collect() == []
+
+
+def test_retrieval_recall_at_the_threshold(spark):
+    """Random pairs at a cosine just over the threshold, the hardest that count."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    y = 0.932 * x + np.sqrt(1 - 0.932**2) * side
+    vectors = [(int(i), v.tolist(), 0) for i, v in enumerate(np.concatenate([x, y]))]
+    got = itq_dedup.similar_vectors(spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int"))
+    assert got.where("n_links > 0").count() / 800 >= 0.9
+
+
+def test_archives(spark):
+    big = "é" * 3000
+    pages = [(1, "http://a/ b", "x"), (2, None, big), (3, "u", big), (4, "u", "x"), (5, "u", None), (6, "u", ""), (None, "u", "y"), (7, "u", "z" * 999), (8, "u", "z" * 999), (9, "u", "q" * 100_000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"digest": F.lit("d"), "size": F.lit(0)}).repartition(3)
+    archives = warc.write_archives(df, chunk_bytes=700)
+    chunks = warc.read_chunks(spark, archives, chunk_bytes=512).collect()
+    bodies = {}
+    for r in sorted(chunks, key=lambda r: (r.page_id, r.chunk)):
+        assert len(r.data) <= 512
+        bodies[r.page_id] = bodies.get(r.page_id, b"") + bytes(r.data)
+        if r.record_type == "response":
+            assert r.payload_bytes == len(bodies[r.page_id]) and r.payload_digest == hashlib.sha1(bodies[r.page_id]).hexdigest()
+    raw = {i: (h or "").encode() for i, _, h in pages if i is not None}
+    assert bodies == {**raw, 2: b""}
+    want = [(i, len(b), hashlib.sha1(b).hexdigest(), "revisit" if i == 2 else "response", 3 if i == 2 else None) for i, b in raw.items()]
+    assert rows(warc.round_trip(df)) == sorted(want, key=str)
+    assert warc.round_trip(df.limit(0)).collect() == []
+
+
+CHAT = [
+    (1, 0, "user", "Hello there\nhow are you"),
+    (1, 1, "assistant", "Fine thanks"),
+    (1, 2, "user", "> Hello   THERE\n> how are you\nreplying to the first"),
+    (1, 3, "assistant", ">> hello there\n> replying to the first\nnested"),
+    (1, 4, "user", "> never said\nnothing found"),
+    (1, 5, "user", None),
+    (1, 6, "user", ""),
+    (2, 0, "user", "> Hello there\nother conversation"),
+    (2, 5, "user", "gap before me"),
+    (3, 0, "user", "Hello there"), (3, 1, "user", "Hello there"), (3, 2, "user", " > Hello there"),
+    (3, 2, "user", "a repeated turn"),
+    (None, 0, "user", "no id"), (4, None, None, "> no turn"),
+]
+
+
+def test_quotation_links(spark, tmp_path):
+    import duckdb
+
+    from tablezones.llm.queries import ORACLES
+
+    df = spark.createDataFrame(CHAT, "conv_id long, turn long, role string, text string").withColumns({"level": F.lit(1), "passage": F.lit("p")})
+    out = quotes.reply_ordered(df)
+    assert out.columns[: len(df.columns)] and set(df.columns) < set(out.columns)
+    names = ["conv_id", "turn", "role", "reply_to", "depth", "n_quoted", "text", "chat"]
+    got = rows(out.select(names))
+    by = {r[:2]: r for r in got}
+    assert [by[1, t][3] for t in range(7)] == [None, 0, 0, 2, 3, 4, 5]
+    assert [by[1, t][4] for t in range(5)] == [0, 1, 1, 2, 3] and by[1, 2][6] == "replying to the first"
+    assert by[2, 0][3] is None and by[2, 5][3] is None and by[3, 2][3] == 1 and by[1, 3][5] == 2
+    con = duckdb.connect()
+    path = str(tmp_path / "chat")
+    df.drop("level", "passage").write.parquet(path)
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    cursor = con.execute(ORACLES["op9_quote_links"])
+    order = [[d[0] for d in cursor.description].index(n) for n in names]
+    assert got == sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=str)
+    assert quotes.reply_ordered(df.limit(0)).collect() == []
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (500, 500), (139, 200), (None, 3)]
+    got = {r.node: r.component for r in cc.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys([*range(100, 140), 200], 100), 500: 500}
+    assert cc.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def _similar(texts):
+    def tokens(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in t or ""))
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+    sets = {i: tokens(t) for i, t in texts if i is not None}
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    return {i: (len(sets[i]), c) for i, c in _roots(sets, links).items()}
+
+
+@pytest.mark.parametrize("share, least", [(1 / 4000, 16), (0.001, 1)])
+def test_jaccard_join(spark, monkeypatch, share, least):
+    """Groups of copies, shared passages and chains; also with most tokens counted as frequent."""
+    monkeypatch.setattr(jaccard_join, "SHARE", share)
+    monkeypatch.setattr(jaccard_join, "LEAST", least)
+    rng = np.random.default_rng(6)
+    vocabulary = [f"w{i}" for i in range(400)]
+    passage = rng.choice(vocabulary, 30).tolist()
+    texts = []
+    for g in range(25):
+        words = rng.choice(vocabulary, int(rng.integers(3, 90))).tolist() + (passage if g % 3 == 0 else [])
+        for k in range(int(rng.integers(1, 7))):
+            texts.append((len(texts) + 20, " ".join(words)))
+            if len(words) > 10:
+                at = int(rng.integers(len(words)))
+                words = words[:at] + [str(rng.choice(vocabulary))] + words[at + int(rng.integers(2)) :]
+    texts += AWKWARD
+    got = jaccard_join.similar_components(docs(spark, texts)).collect()
+    assert len(got) == len(texts)
+    want = _similar(texts)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want
+    assert [r.component_id for r in got if r.doc_id is None] == [None]
+    kept = jaccard_join.keep_one_of_each(docs(spark, texts))
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([i for i, (_, c) in want.items() if c == i] + [None])
+    if share == 0.001:
+        assert jaccard_join.similar_components(docs(spark, [])).collect() == []
+
+
+def test_decontamination(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"v{i}" for i in range(300)]
+    text = lambda n: " ".join(rng.choice(vocabulary, n))
+    items = [(i, f"{text(int(rng.integers(12, 40)))}? {text(6)}.") for i in range(12)] + [(20, None), (21, ""), (22, "one two three."), (0, "a second text under id zero, quite unlike the others.")]
+    planted = {}
+    table = []
+    for i in range(40):
+        before, after = text(int(rng.integers(0, 120))), text(int(rng.integers(0, 120)))
+        if i % 4 == 0:
+            item = i // 4 % 12
+            planted[i] = item
+            middle = items[item][1].upper() if i % 8 else items[item][1]
+            table.append((i, f"{before} {middle} {after}"))
+        elif i % 4 == 1:  # the question alone is no leak
+            table.append((i, f"{before} {items[i % 12][1].split('?')[0]} {after}"))
+        else:
+            table.append((i, f"{before} {after}"))
+    table += [(100, None), (101, ""), (None, items[3][1]), (102, items[4][1]), (102, items[4][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {}
+    for shard in (4000, 3):
+        monkeypatch.setattr(decontam, "SHARD_ITEMS", shard)
+        found[shard] = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(spark, table), bench).collect()}
+    assert found[4000] == found[3] == {*planted.items(), (102, 4)}
+    left = decontam.drop_contaminated(docs(spark, table), bench)
+    assert Counter(r.doc_id for r in left.collect()) == Counter([i for i, _ in table if i not in planted and i != 102])
+    assert decontam.contaminated(docs(spark, []), bench).collect() == []
+    assert decontam.contaminated(docs(spark, table), bench.limit(0)).collect() == []
