@@ -3,20 +3,27 @@
 A document's set is its distinct five-word shingles, as 64-bit tokens. Tokens
 have one global order: rare ones by hash, then the frequent ones by hash. Two
 sets with a Jaccard similarity of ``PERCENT`` or more share a token among the
-first ``n - ceil(t n) + 1`` tokens of each.
-
-* A document whose prefix has only rare tokens is indexed under each of them.
-* A prefix that reaches the frequent tokens is extended to half the set and
-  indexed under its rare tokens and under all pairs of neighbouring tokens:
+first ``n - ceil(t n) + 1`` tokens of each; prefixes that are longer by a share
+``EXTRA`` of the set share many.
+
+* *Single tokens.* The rare tokens of the extended prefix are indexed one by
+  one. Similar sets share at least ``c`` of them (a function of the sizes), so
+  in order of their exact run lengths each document may leave out its ``c - 1``
+  most frequent ones, and at the rarest token that a pair shares both must have
+  ``c`` left. Shared passages and lines of otherwise different documents are
+  left out that way, however many documents share them.
+* *Token combinations.* A prefix that reaches the frequent tokens is extended
+  to half the set and also indexed under all pairs of neighbouring tokens:
   similar sets differ in so few tokens that two shared ones must be neighbours
   in both extended prefixes. One popular token then makes no candidate.
 
-Nothing is dropped. Candidates come from sorted posting runs, in two rounds.
-The first tries one promising centre for each document, which joins most groups
-of copies; the second takes all remaining pairs of a run whose documents are
-not in one component yet, and keeps those that share as many prefix tokens as
-the threshold needs. All are verified on whole texts. The components are exact:
-a pair that is never compared is already connected.
+Nothing is dropped. Candidates are tried in rounds. The first ones compare each
+document with a few centres of its runs, which joins most groups of copies; the
+last takes all remaining pairs of a run whose documents are not in one
+component yet. A pair is left if the bitmaps of its sets (each token flips one
+of ``BITS`` bits) differ in more bits than similar sets can differ in tokens.
+All others are verified on whole texts. The components are exact: a pair that
+is never compared is too far apart or already connected.
 
 Frequent tokens are those in at least ``SHARE`` of all documents, counted in
 every task over all documents and then summed; so there are at most the mean
@@ -33,7 +40,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablezones.llm.batches import pieces
@@ -43,9 +50,18 @@ from tablezones.llm.words import mix, shingles, word_hashes, word_spans
 
 WORDS, PERCENT = 5, 75
 SHARE, LEAST = 1 / 4000, 16
-PROFILE = "doc_id long, n int, sig binary, token long, times long"
-POSTING = "token long, doc long, n int, mixed boolean"
-RUN = "token long, doc long, n int, mixed boolean, centre long"
+#: The extended prefix is longer than the plain one by n // EXTRA tokens.
+EXTRA = 10
+#: Rows of one token held to count them; longer runs all rank as equally frequent.
+RUN_ROWS = 1 << 20
+#: Rounds of centres before the exhaustive one, centres of a run, and those that a document tries in a round.
+ROUNDS, RUN_CENTRES, CENTRES = 2, 5, 12
+#: Pairs whose sets are held at once while verifying.
+VERIFIED_ROWS = 2_000
+BITS = 512
+PROFILE = "doc_id long, n int, sig binary, bits array<long>, token long, times long"
+POSTING = "token long, doc long, n int, combined boolean"
+RUN = POSTING + ", df int"
 
 
 def text_sets(rows: pa.RecordBatch, text: np.ndarray, at: np.ndarray, words: int = WORDS) -> list[np.ndarray]:
@@ -64,24 +80,32 @@ def _profile(words: int):
                 many = times >= max(3, SHARE * len(sets))
                 k, m = len(sets), int(many.sum())
                 sigs = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
+                bits = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([bitmap(s) for s in sets])), BITS // 64).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.concat_arrays([rows.column("doc_id"), pa.nulls(m, pa.int64())]),
                         pa.array([*map(len, sets), *[None] * m], pa.int32()),
                         pa.array([*sigs, *[None] * m], pa.binary()),
+                        pa.concat_arrays([bits, pa.nulls(m, bits.type)]),
                         pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(tokens[many].view(np.int64))]),
                         pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(times[many], pa.int64())]),
                     ],
-                    ["doc_id", "n", "sig", "token", "times"],
+                    ["doc_id", "n", "sig", "bits", "token", "times"],
                 )
 
     return profile
 
 
-def prefix_keys(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, bool]:
-    """The index keys of a sorted set, and whether its prefix has frequent tokens."""
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """The parity of a set's tokens in each of ``BITS`` places, as 64-bit integers."""
+    odd = np.bincount((mix(s) >> np.uint64(32)).astype(np.int64) % BITS, minlength=BITS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
+
+
+def prefix_keys(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """The single and the combined index keys of a sorted set."""
     n = len(s)
-    p = n - -(-n * percent // 100) + 1
+    p = n - -(-n * percent // 100) + 1 + n // EXTRA
     if len(frequent):
         place = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
         common = frequent[place] == s
@@ -89,14 +113,14 @@ def prefix_keys(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) ->
         common = np.zeros(n, bool)
     rare = s[~common]
     if len(rare) >= p:
-        return rare[:p], False
+        return rare[:p], s[:0]
     order = np.concatenate([rare, s[common]])
     # Of the first 2 (1 - t) n + 2 tokens at most (1 - t) n are not shared, on either side, so two
     # shared ones are neighbours; a set of two tokens or less has no room for a pair.
     half = order[: min(n, 2 * (n - n * percent // 100) + 4)]
     pairs = mix(half[:-1] * np.uint64(0x9E3779B97F4A7C15) + half[1:])
-    alone = s[common] if n <= 8 else s[:0]
-    return np.concatenate([rare, pairs, alone]), True
+    alone = mix(s[common] + np.uint64(1)) if n <= 8 else s[:0]
+    return rare, np.concatenate([pairs, alone])
 
 
 def _postings(frequent: np.ndarray, words: int, percent: int):
@@ -104,70 +128,102 @@ def _postings(frequent: np.ndarray, words: int, percent: int):
         seen = set()  # a task indexes equal sets once; their signatures link them
         for batch in batches:
             for rows, text, at in pieces(batch, "text"):
-                keys, docs, sizes, mixed = [], [], [], []
+                keys, docs, sizes, combined = [], [], [], []
                 for doc, s in zip(rows.column("doc_id").to_pylist(), text_sets(rows, text, at, words)):
                     if doc is None or not len(s) or (sig := hashlib.md5(s.tobytes()).digest()) in seen:
                         continue
                     seen.add(sig)
-                    k, m = prefix_keys(s, frequent, percent)
-                    keys.append(k)
-                    docs.append(doc)
-                    sizes.append(len(s))
-                    mixed.append(m)
+                    for k, kind in zip(prefix_keys(s, frequent, percent), (False, True)):
+                        keys.append(k)
+                        docs.append(doc)
+                        sizes.append(len(s))
+                        combined.append(kind)
                 if keys:
                     n = [len(k) for k in keys]
-                    columns = [np.concatenate(keys).view(np.int64), np.repeat(docs, n).astype(np.int64), np.repeat(sizes, n).astype(np.int32), np.repeat(mixed, n)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "doc", "n", "mixed"])
+                    columns = [np.concatenate(keys).view(np.int64), np.repeat(docs, n).astype(np.int64), np.repeat(sizes, n).astype(np.int32), np.repeat(combined, n)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "doc", "n", "combined"])
 
     return index
 
 
-def _runs(percent: int):
-    """Rows of tokens with two or more documents, from sorted postings; each with its run's centre.
+def _runs():
+    """Rows of tokens with two or more rows, from sorted postings, with the run's length.
+
+    At most one unfinished run of ``RUN_ROWS`` rows is held; a longer one is
+    passed on with that length."""
+    names = ["token", "doc", "n", "combined"]
+    most = RUN_ROWS
 
-    A run's centre is its smallest set; a set too large for it becomes the next
-    centre. Only the last row and centre are carried from batch to batch."""
+    def table(columns, df):
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(np.broadcast_to(df, len(columns[0])).astype(np.int32))], [*names, "df"])
 
     def runs(batches):
-        last = None  # token, doc, n, mixed, centre, centre's n, whether it was given out
+        held, streamed = None, None  # the last token's rows, or the token if its run is longer than that
         for batch in batches:
-            t, d, n, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("token", "doc", "n", "mixed"))
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+            if held is not None:
+                columns = [np.concatenate(pair) for pair in zip(held, columns)]
+                held = None
+            t = columns[0]
             if not len(t):
                 continue
-            if last is not None:
-                t, d, n, m = (np.concatenate([[x], y]).astype(y.dtype) for x, y in zip(last[:4], (t, d, n, m)))
-            same = np.zeros(len(t) + 1, bool)
-            same[1:-1] = t[1:] == t[:-1]
-            repeated = np.flatnonzero(same[:-1] | same[1:])
-            centre = d.copy()
-            sized = n.copy()
-            if last is not None:
-                centre[0], sized[0] = last[4:6]
-            for i in repeated[same[repeated]].tolist():
-                if sized[i - 1] * 100 >= n[i] * percent:
-                    centre[i], sized[i] = centre[i - 1], sized[i - 1]
-            give = repeated[1:] if last is not None and last[6] and len(repeated) and repeated[0] == 0 else repeated
-            last = (t[-1], d[-1], n[-1], m[-1], centre[-1], sized[-1], bool(len(repeated) and repeated[-1] == len(t) - 1))
-            if len(give):
-                yield pa.RecordBatch.from_arrays([pa.array(x[give]) for x in (t, d, n, m, centre)], ["token", "doc", "n", "mixed", "centre"])
+            heads = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+            ends = np.append(heads[1:], len(t))
+            df = np.minimum(ends - heads, most)
+            if streamed is not None and t[0] == streamed:
+                df[0] = most
+            give = df > 1
+            streamed = t[-1] if df[-1] == most else None
+            if streamed is None:
+                give[-1] = False
+                held = [c[heads[-1] :] for c in columns]
+            rows = np.repeat(give, ends - heads)
+            if rows.any():
+                yield table([c[rows] for c in columns], np.repeat(df, ends - heads)[rows])
+        if held is not None and len(held[0]) > 1:
+            yield table(held, len(held[0]))
 
     return runs
 
 
+def beyond(n, percent: int = PERCENT):
+    """Tokens of a set of ``n`` that its extended prefix leaves out (a column)."""
+    return F.ceil(n * percent / 100) - 1 - F.floor(n / EXTRA)
+
+
+def shared_least(n, m, percent: int = PERCENT):
+    """How many tokens the extended prefixes of similar sets of ``n`` and ``m`` share at least (a column)."""
+    overlap = F.ceil((n + m) * percent / (100 + percent) - F.lit(1e-6))
+    return F.greatest(F.lit(1), overlap - F.greatest(beyond(n, percent), beyond(m, percent)))
+
+
+def kept_postings(runs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The runs' rows without each document's most frequent single tokens, as many as no similar pair
+    needs; ``left`` counts a document's tokens from this one on, in order of frequency."""
+    n = F.col("n")
+    # The bound falls towards both ends of the sizes that can be similar; 2 is for rounding.
+    needs = F.least(shared_least(n, F.ceil(n * percent / 100), percent), shared_least(n, F.floor(n * 100 / percent), percent)) - 2
+    by_doc = Window.partitionBy("doc", "combined").orderBy(F.desc("df"), F.desc("token"))
+    ranked = runs.withColumn("left", F.row_number().over(by_doc))
+    return ranked.where(F.col("combined") | (F.col("left") >= needs)).drop("df")
+
+
 def _verified(words: int, percent: int):
+    def sets_of(rows, side):
+        """Each row's set; a document that is in many rows is read once."""
+        _, first, where = np.unique(rows.column(side).to_numpy(), return_index=True, return_inverse=True)
+        sets = [x for some, text, at in pieces(rows.take(pa.array(first)), f"text_{side}") for x in text_sets(some, text, at, words)]
+        return (sets[i] for i in where)
+
     def verify(batches):
         for batch in batches:
-            ok = []
-            for rows, text, at in pieces(batch, "text_a"):
-                left = text_sets(rows, text, at, words)
-                done = 0
-                for some, text_b, at_b in pieces(rows, "text_b"):
-                    for x, y in zip(left[done:], text_sets(some, text_b, at_b, words)):
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        ok.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-                    done += len(some)
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+            for i in range(0, len(batch), VERIFIED_ROWS):
+                rows, ok = batch.slice(i, VERIFIED_ROWS), []
+                for x, y in zip(sets_of(rows, "a"), sets_of(rows, "b")):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    ok.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+                keep = pa.array(ok, pa.bool_())
+                yield pa.RecordBatch.from_arrays([rows.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
 
     return verify
 
@@ -194,37 +250,63 @@ def similar_components(documents: DataFrame, words: int = WORDS, percent: int =
     frequent = np.sort(heavy.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
     postings = docs.mapInArrow(_postings(frequent, words, percent), POSTING)
-    dealt = postings.repartition("token").sortWithinPartitions("token", "n", "doc")
-    runs = staged(dealt.mapInArrow(_runs(percent), RUN), "runs")
+    dealt = postings.repartition("token").sortWithinPartitions("token")
+    runs = staged(kept_postings(dealt.mapInArrow(_runs(), RUN), percent), "runs")
 
     by_sig = rows.where("sig IS NOT NULL AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("first"), F.count("*").alias("k"))
     many = by_sig.where("k > 1").drop("k")
     equal = rows.join(many, "sig").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
 
-    # first round: each document's most promising centre
-    tried = runs.where("doc <> centre").groupBy("doc", "centre").agg(F.count("*").alias("shared"), F.max("n").alias("n"))
-    best = tried.groupBy("doc").agg(F.max(F.struct("shared", (-F.col("centre")).alias("c"), "n")).alias("x"))
-    worth = best.where(F.col("x.shared") * 500 >= F.col("x.n") * (100 - percent)).select(F.col("doc").alias("a"), (-F.col("x.c")).alias("b"))
-    links = equal.unionAll(verify_pairs(docs, worth, words, percent))
-    joined = staged(components(links), "components")
+    links = staged(equal, "links")
+    stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    joined = stars.distinct()  # of equal sets: each points at the first
+    known = rows.where("doc_id IS NOT NULL AND n > 0").select(F.col("doc_id").alias("doc"), "n", "bits").distinct()
+
+    def near(n, m, x, y):
+        """Whether sizes and bitmaps allow the similarity."""
+        apart = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(BITS // 64)), F.lit(0))
+        return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (apart * (100 + percent) <= (n + m) * (100 - percent))
+
+    open_runs = staged(_open_runs(runs, joined).join(known, ["doc", "n"]), "open-runs")
+    for turn in range(ROUNDS + 1):
+        if open_runs.isEmpty():
+            break
+        if turn < ROUNDS:
+            # centres of each run: its smallest set at first, others by seeded hashes
+            def centre(k, turn=turn):
+                order = [F.col("n")] if turn == k == 0 else []
+                seeded = F.xxhash64("doc", F.lit(turn * RUN_CENTRES + k)).alias("h")
+                return F.min(F.struct(*order, seeded, F.col("doc").alias("to"), F.col("n").alias("m"), F.col("at").alias("there"), "bits")).alias(f"c{k}")
+
+            def try_centre(k):
+                c = F.col(f"c{k}")
+                return F.when((F.col("at") != c["there"]) & near(F.col("n"), c["m"], F.col("bits"), c["bits"]), c["to"])
+
+            with_centres = open_runs.join(open_runs.groupBy("token").agg(*map(centre, range(RUN_CENTRES))), "token")
+            tried = with_centres.select("doc", F.explode(F.array_distinct(F.array_compact(F.array(*map(try_centre, range(RUN_CENTRES)))))).alias("to"))
+            shared = tried.groupBy("doc", "to").agg(F.count("*").alias("shared"))
+            rank = F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("shared"), "to"))
+            pairs = shared.withColumn("rank", rank).where(F.col("rank") <= CENTRES).select(F.least("doc", "to").alias("a"), F.greatest("doc", "to").alias("b"))
+        else:
+            x, y = (open_runs.select("token", "combined", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "left", "at", "bits")]) for side in "ab")
+            enough = F.col("combined") | (F.least("left_a", "left_b") >= shared_least(F.col("n_a"), F.col("n_b"), percent))
+            apart = (F.col("doc_a") < F.col("doc_b")) & (F.col("at_a") != F.col("at_b"))
+            pairs = x.join(y, ["token", "combined"]).where(apart & near(F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b")) & enough).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+        found = verify_pairs(docs, pairs.distinct(), words, percent)
+        if not found.isEmpty():
+            links = links.unionAll(found)
+            joined = staged(components(links), "components")
+            if turn < ROUNDS:
+                open_runs = staged(_open_runs(open_runs.drop("at"), joined), "open-runs")
+    return rows.join(joined, rows["doc_id"] == joined["node"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
 
-    # second round: pairs of a run that are not connected yet
-    placed = runs.drop("centre").join(joined, runs["doc"] == joined["node"], "left").select("token", "doc", "n", "mixed", F.coalesce("component", "doc").alias("at"))
+def _open_runs(runs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The runs that have documents of several components, with each document's component ``at``."""
+    placed = runs.join(joined, runs["doc"] == joined["node"], "left").select(*runs.columns, F.coalesce("component", "doc").alias("at"))
     placed = staged(placed, "placed")
     spread = placed.groupBy("token").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low < high").select("token")
-    open_runs = staged(placed.join(spread, "token", "left_semi"), "open-runs")
-    x, y = (open_runs.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "mixed", "at")]) for side in "ab")
-    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    pairs = x.join(y, "token").where((F.col("doc_a") < F.col("doc_b")) & (F.col("at_a") != F.col("at_b")) & near)
-    counted = pairs.groupBy("doc_a", "doc_b").agg(F.count("*").alias("shared"), *[F.first(c).alias(c) for c in ("n_a", "n_b", "mixed_a", "mixed_b")])
-    # tokens of a set beyond its prefix, and the overlap that the threshold asks for
-    beyond = lambda c: F.ceil(F.col(c) * percent / 100) - 1
-    least = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent) - F.lit(1e-6))
-    enough = F.col("mixed_a") | F.col("mixed_b") | (F.col("shared") >= least - F.greatest(beyond("n_a"), beyond("n_b")))
-    more = verify_pairs(docs, counted.where(enough).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")), words, percent)
-    if not more.isEmpty():
-        joined = staged(components(links.unionAll(more)), "components")
-    return rows.join(joined, rows["doc_id"] == joined["node"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return placed.join(spread, "token", "left_semi")
 
 
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
