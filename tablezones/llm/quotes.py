@@ -50,13 +50,19 @@ def reply_links(messages: DataFrame) -> DataFrame:
 
 
 def _depths(parents: DataFrame) -> DataFrame:
-    """Each message's distance from the start of its thread, by pointer doubling."""
-    at = staged(parents.select("conv_id", "turn", F.col("reply_to").alias("up"), F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long").alias("depth")), "depths")
-    while not at.where("up IS NOT NULL").isEmpty():
-        over = at.select("conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
-        moved = at.join(over, ["conv_id", "up"], "left").select("conv_id", "turn", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
-        at = staged(moved, "depths")
-    return at.select("conv_id", "turn", "depth")
+    """Each message's distance from the start of its thread, by pointer doubling.
+
+    A step moves only the messages that have not reached the start, so short
+    threads cost little beside one long one."""
+    start = F.when(F.col("reply_to").isNull(), 0).otherwise(1).cast("long")
+    at = parents.select("conv_id", "turn", F.col("reply_to").alias("up"), start.alias("depth"))
+    settled, moving = at.where("up IS NULL"), at.where("up IS NOT NULL")
+    while not moving.isEmpty():
+        over = settled.unionAll(moving).select("conv_id", F.col("turn").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
+        moved = moving.join(over, ["conv_id", "up"]).select("conv_id", "turn", F.col("up2").alias("up"), (F.col("depth") + F.col("more")).alias("depth"))
+        moved = staged(moved, "depths")
+        settled, moving = settled.unionAll(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
+    return settled.select("conv_id", "turn", "depth")
 
 
 def reply_ordered(messages: DataFrame) -> DataFrame:
