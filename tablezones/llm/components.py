@@ -30,12 +30,16 @@ def components(links: DataFrame) -> DataFrame:
         left, right = (move.select(F.col("node").alias(c), F.col("to").alias(f"to_{c}")) for c in "ab")
         moved = open_links.join(left, "a").join(right, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
         open_links = staged(moved.where("a <> b").distinct(), "links")
-    nodes = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).distinct().withColumn("at", F.col("node"))
+    nodes = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).distinct()
+    if not moves:
+        return nodes.withColumn("component", F.col("node"))
 
-    def follow(at: DataFrame, move: DataFrame) -> DataFrame:
-        step = move.withColumnRenamed("node", "at")
-        return at.join(step, "at", "left").select("node", F.coalesce("to", "at").alias("at"))
+    def before(later: DataFrame, move: DataFrame) -> DataFrame:
+        """Where ``move`` leads in the end; composed from the last round, so each round joins its own nodes only."""
+        return move.join(later.select(F.col("node").alias("to"), F.col("at")), "to", "left").select("node", F.coalesce("at", "to").alias("at"))
 
-    at = staged(reduce(follow, moves, nodes), "labels")
+    last = moves[-1].withColumnRenamed("to", "at")
+    ends = staged(reduce(before, reversed(moves[:-1]), last), "labels")
+    at = nodes.join(ends, "node", "left").select("node", F.coalesce("at", "node").alias("at"))
     least = at.groupBy("at").agg(F.min("node").alias("component"))
     return at.join(least, "at").select("node", "component")
