@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines of each source go; the documents stay, with ``n_chars`` of what is left."""
-    return line_dedup.drop_boilerplate(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    return line_dedup.drop_boilerplate(docs, low=line_dedup.LOW_RATIO).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

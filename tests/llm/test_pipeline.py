@@ -60,6 +60,16 @@ def test_stages_take_effect(spark):
     assert packed.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").isEmpty()
 
 
+def test_rare_repeats_go_and_copies_stay(spark):
+    """A line on 1 % of a source's pages goes from them; pages that are copies of one another keep their text."""
+    own = lambda i: "\n".join(f"line {k} of page {i} and of no other" for k in range(4))
+    rows = {i: f"{own(i)}\nshare this page" if i < 10 else own(i) for i in range(1000)}
+    rows |= {1000 + i: own("x") for i in range(12)} | {2000 + i: f"{own('y')}\nedit {i}" for i in range(12)}
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["lines"](spark, docs, SF).collect()}
+    assert got == {i: own(i) if i < 10 else t for i, t in rows.items()}
+
+
 def test_entry_works_without_the_subpackage(tmp_path):
     """As when the folder and the pipeline file are deleted."""
     script = (
