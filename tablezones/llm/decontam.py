@@ -15,7 +15,10 @@ Pruning uses upper bounds only, so nothing above the threshold is missed.
 A retrieved pair is then verified in word order: the passage must hold
 ``OVERLAP`` of the item's question five-word shingles and of its answer's words.
 The answer is what follows an "answer:" mark, else the last sentence, else (one
-sentence) the last quarter of the words; the question is the text before it.
+sentence) the last quarter of the words; the question is the text before it. A
+mark with no words on one side is passed over. An item of fewer than ``WORDS``
+words that no mark splits must stand in the passage as it is, all words in
+order; one of a single word, which any text may use, must be the whole text.
 
 Passages are two strides long and a stride is at least the longest item, so
 every item that stands in a text lies whole in some passage. The index is
@@ -54,20 +57,32 @@ def words_of(text: str) -> np.ndarray:
     return word_hashes(data, starts, ends)
 
 
-def question_and_answer(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of an item's question and of its answer."""
+def _split(text: str) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Word hashes of an item's question and of its answer, and whether it is too short for that."""
     if mark := re.search(r"(?i)\banswer\s*:", text):
-        return words_of(text[: mark.start()]), words_of(text[mark.end() :])
+        question, answer = words_of(text[: mark.start()]), words_of(text[mark.end() :])
+        if len(question) and len(answer):
+            return question, answer, False
+        return _split(f"{text[: mark.start()]} {text[mark.end() :]}")
     sentences = [m.end() for m in re.finditer(r"[.?!]+\s+(?=\S)", text)]
     question, answer = (words_of(text[: sentences[-1]]), words_of(text[sentences[-1] :])) if sentences else (words_of(text), np.zeros(0, np.uint64))
-    if not len(answer):
-        cut = len(question) - -(-len(question) // 4)
-        return question[:cut], question[cut:]
-    return question, answer
+    if not len(question) or not len(answer):
+        words = np.concatenate([question, answer])
+        cut = len(words) - -(-len(words) // 4)
+        question, answer = words[:cut], words[cut:]
+    return question, answer, len(question) + len(answer) < WORDS
+
+
+def question_and_answer(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of an item's question and of its answer."""
+    return _split(text)[:2]
 
 
-def _question_shingles(words: np.ndarray) -> np.ndarray:
-    return shingles(words, np.array([0, len(words)]), min(WORDS, max(1, len(words))))[0]
+def _wanted(text: str, words: np.ndarray) -> tuple[np.ndarray, int, np.ndarray]:
+    """The shingles that a passage must hold in order, their size, and the words that it must hold."""
+    question, answer, short = _split(text)
+    size = len(words) if short else min(WORDS, len(question))
+    return shingles(words if short else question, np.array([0, len(words if short else question)]), size)[0], size, np.unique(words if short else answer)
 
 
 @dataclass
@@ -82,8 +97,9 @@ class Index:
     block: np.ndarray  # of each item
     bound: np.ndarray  # terms x blocks: the largest impact
     questions: list[np.ndarray]
-    question_words: list[int]
+    sizes: list[int]  # of each question's shingles
     answers: list[np.ndarray]
+    single: list[bool]  # items of one word
     stride: int
 
 
@@ -104,10 +120,10 @@ def build_index(items: list[tuple[int, str]], df: dict[int, int], total: int, me
     block = np.arange(len(parsed)) * BLOCKS // max(1, len(parsed))
     bound = np.zeros((len(terms), BLOCKS), np.float32)
     np.maximum.at(bound, (np.searchsorted(terms, term), block[item]), impact.astype(np.float32) * np.float32(1.000001))
-    both = [question_and_answer(t) for _, t, _ in parsed]
+    wanted = [_wanted(t, w) for _, t, w in parsed]
     return Index(
         np.array([i for i, _, _ in parsed], np.int64), terms, np.append(first, len(order)), item[order], impact[order], block, bound,
-        [_question_shingles(q) for q, _ in both], [len(q) for q, _ in both], [np.unique(a) for _, a in both],
+        [q for q, _, _ in wanted], [n for _, n, _ in wanted], [a for _, _, a in wanted], [len(w) == 1 for _, _, w in parsed],
         max([LEAST_STRIDE, *(len(w) for _, _, w in parsed)]),
     )
 
@@ -182,9 +198,9 @@ def _search(index: Index, words: np.ndarray, word_at: np.ndarray, docs: list, fo
         for item, score in _score_block(index, np.unique(term[first_of[k] : first_of[last]]), block):
             begin = word_at[owner] + (k - stride_at[owner]) * index.stride
             here = words[begin : min(begin + 2 * index.stride, word_at[owner + 1])]
-            size = min(WORDS, max(1, index.question_words[item]))
-            question = index.questions[item]
-            q = np.isin(question, shingles(here, np.array([0, len(here)]), size)[0]).mean() if len(question) else 1.0
+            if index.single[item] and n[owner] > 1:
+                continue
+            q = np.isin(index.questions[item], shingles(here, np.array([0, len(here)]), index.sizes[item])[0]).mean()
             a = np.isin(index.answers[item], here).mean()
             key = (docs[owner], int(index.ids[item]))
             if docs[owner] is not None and q >= OVERLAP and a >= OVERLAP and (score, q, a) > found.get(key, (0, 0, 0)):

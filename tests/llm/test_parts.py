@@ -210,6 +210,16 @@ def test_question_and_answer_parts():
     assert split("alone") == [0, 1] and split("") == [0, 0]
 
 
+def test_items_without_a_question_or_an_answer():
+    hashes = lambda t: [x.tolist() for x in decontam.question_and_answer(t)]
+    both = lambda q, a: [decontam.words_of(q).tolist(), decontam.words_of(a).tolist()]
+    assert hashes("What is the name of this? Answer:") == both("what is the name", "of this")
+    assert hashes("A dog barks. What is its name? Answer:") == both("a dog barks", "what is its name")
+    assert hashes("Answer: one two three four five six seven eight") == both("one two three four five six", "seven eight")
+    assert hashes("Answer: What is it? Answer: forty two") == both("what is it", "forty two")
+    assert hashes("... one two three four") == both("one two three", "four")
+
+
 def test_viterbi_finds_the_best_path():
     rng = np.random.default_rng(0)
     k = len(pii_crf.TAGS)

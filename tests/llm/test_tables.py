@@ -328,3 +328,12 @@ def test_decontamination(spark, monkeypatch):
     assert Counter(r.doc_id for r in left.collect()) == Counter([i for i, _ in table if i not in planted and i != 102])
     assert decontam.contaminated(docs(spark, []), bench).collect() == []
     assert decontam.contaminated(docs(spark, table), bench.limit(0)).collect() == []
+
+
+def test_decontamination_by_items_without_a_question_or_an_answer(spark):
+    asked = "Which of the small grey birds sings first in the early morning of spring?"
+    items = [(1, f"{asked} Answer:"), (2, "Answer: forty two"), (3, "alone"), (4, "Answer:"), (5, "green tea"), (6, "... never seen in print by anyone")]
+    table = [(1, f"it says: {asked} Answer: who knows"), (2, f"{asked}"), (3, "the two of them are forty and alone in their answer"), (4, "so answer: forty two it is"),
+             (5, "Alone."), (6, "tea that is green"), (7, "a cup of green tea then"), (8, "by anyone in print ever seen, or never"), (9, "which of the birds sings")]
+    found = decontam.contaminated(docs(spark, table), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1), (2, 1), (4, 2), (5, 3), (7, 5)}
