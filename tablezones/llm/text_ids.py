@@ -3,12 +3,14 @@
 The tokenizer splits a text into words before it merges bytes, and a word's ids
 do not depend on its neighbours. So every distinct word is encoded once by the
 ``tokenizers`` library and kept in a bounded per-worker table; ids of a text are
-gathered from it. Texts with unusual white space are encoded as a whole.
+gathered from it. Texts with unusual white space or with the string of an added
+token, which the library gives that token's id, are encoded as a whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -39,7 +41,7 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.unusual = "|".join([UNUSUAL, *(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values())])
         vocabulary = self.library.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with white space
         self.opens[[i for t, i in vocabulary.items() if t[0] in "\u0120\u010a"]] = True
@@ -67,7 +69,7 @@ class TextEncoder:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after one another, and each text's offset (one more than texts)."""
         texts = texts.cast(pa.large_string())
-        odd = pc.match_substring_regex(texts, UNUSUAL).to_numpy(zero_copy_only=False)
+        odd = pc.match_substring_regex(texts, self.unusual).to_numpy(zero_copy_only=False)
         if not odd.any():
             return self._encode_by_word(texts)
         plain_ids, plain_at = self._encode_by_word(texts.filter(pa.array(~odd)))

@@ -34,6 +34,16 @@ def test_cached_encoding_equals_the_library(coder, texts):
         assert ids[at[i] : at[i + 1]].tolist() == coder.library.encode(text, add_special_tokens=False).ids
 
 
+def test_strings_of_added_tokens_are_encoded_as_the_library_does(coder):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "no mark", "x<|endoftext|><|endoftext|>\ny", "<|endoftext|", "", "it's <|endoftext|>\n\n12"]
+    ids, at = coder.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[at[0] : at[1]].tolist() == [64, 220, 50256, 275]
+
+
 def test_the_word_table_is_bounded(coder, monkeypatch):
     from tablezones.llm import text_ids
 
