@@ -270,13 +270,17 @@ def _chains(text: str, marks: list[int]) -> list[tuple[int, int]]:
     """Stretches of whole words around the marked places, joined where they meet."""
     out: list[list[int]] = []
     for m in marks:
+        b = min(len(text), m + REACH)
+        if out and b <= out[-1][1]:
+            continue
+        while b < len(text) and not text[b].isspace():
+            b += 1
         if out and m < out[-1][1]:
+            out[-1][1] = b
             continue
-        a, b = max(0, m - REACH), min(len(text), m + REACH)
+        a = max(0, m - REACH)
         while a and not text[a - 1].isspace():
             a -= 1
-        while b < len(text) and not text[b].isspace():
-            b += 1
         if out and a <= out[-1][1]:
             out[-1][1] = b
         else:

@@ -267,6 +267,19 @@ def test_the_field_learns_forms_that_the_patterns_miss():
         assert spans(clean) == []
 
 
+def test_every_mark_has_its_whole_context():
+    model = pii_crf.train(pii_crf.labelled_table())
+    address = "john (at) example (dot) com"
+    for before in ("Call 555-1234 or write ", "See 12 of the pages, or write ", "Ask ann@b.org or write to ", "Tel 555-1234 or mail "):
+        text = f"{before}{address} today"
+        marks = sorted({m.start() for m in re.finditer("[0-9@]", text)} | {m.start() for m in pii_crf._SPELLED.finditer(text)})
+        chains = pii_crf._chains(text, marks)
+        assert all(any(a <= max(0, m - pii_crf.REACH) and b >= min(len(text), m + pii_crf.REACH) for a, b in chains) for m in marks)
+        assert (len(before), 0, len(before) + len(address)) in pii_crf.added_spans(model, [text], [marks])[0]
+    text = "7" * 300_000 + " end"
+    assert pii_crf._chains(text, list(range(300_000))) == [(0, len(text))]
+
+
 def test_additive_model_learns_an_interaction_and_degenerate_labels():
     rng = np.random.default_rng(2)
     x = rng.random((3000, 4))
