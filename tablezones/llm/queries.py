@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, pii_crf, quality_gam, quotes, token_files, warc
+from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, pii_crf, quality_gam, quotes, subword_toxicity, token_files, turn_repair, warc, word_runs
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
+def op12_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.periodic_runs(_table(spark, sf_dir, "documents"), plant=True)
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_decontam_bm25": op2_decontam_bm25,
@@ -65,6 +77,9 @@ QUERIES = {
     "op8_warc_chunks": op8_warc_chunks,
     "op9_quote_links": op9_quote_links,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_turn_repair": op11_turn_repair,
+    "op12_subword_toxicity": op12_subword_toxicity,
+    "op13_word_runs": op13_word_runs,
 }
 
 ORACLES: dict[str, str] = {

@@ -13,6 +13,8 @@ from tablezones.llm.batches import worker_state
 
 _RADIX = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BYTE = np.random.default_rng(17).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+#: Byte values for hashes that tell A-Z from a-z, and for those that don't.
+CASED = _BYTE.copy()
 _BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -58,10 +60,10 @@ def word_spans(text: np.ndarray, at: np.ndarray, space: np.ndarray = SPACE) -> t
     return starts, ends, np.searchsorted(starts, at)
 
 
-def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, byte: np.ndarray = _BYTE) -> np.ndarray:
     power, inverse = _powers(len(text) + 1)
     total = np.zeros(len(text) + 1, np.uint64)
-    np.cumsum(_BYTE[text] * power[: len(text)], out=total[1:])
+    np.cumsum(byte[text] * power[: len(text)], out=total[1:])
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 

@@ -1,0 +1,282 @@
+"""Turn repair, subword toxicity and periodic runs against brute force and held-out labels."""
+
+import hashlib
+import heapq
+import re
+import zlib
+from itertools import groupby
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tablezones.llm import subword_toxicity as st
+from tablezones.llm import turn_repair as tr
+from tablezones.llm import word_runs as wr
+from tablezones.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+SPACE = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+# --- turn repair
+
+
+def cheapest(symbols: list[tuple[str, int]]) -> tuple[int, str]:
+    """Least cost and least audit, by searching all edits in order of cost and audit. Symbols: initial, fault."""
+    forced, heap, done = {"": "u", "s": "u", "u": "a", "a": "u"}, [(0, "", 0, "")], set()
+    while heap:
+        cost, audit, i, last = heapq.heappop(heap)
+        if i == len(symbols) and last in ("", "a"):
+            return cost, audit
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        heapq.heappush(heap, (cost + 3, audit + "I", i, forced[last]))
+        if i < len(symbols):
+            initial, fault = symbols[i]
+            heapq.heappush(heap, (cost + 4, audit + "D", i + 1, last))
+            if fault in (0, 3):
+                if initial and last + initial in ("s", "u", "su", "ua", "au"):
+                    heapq.heappush(heap, (cost + fault, audit + "K", i + 1, initial))
+                heapq.heappush(heap, (cost + 3 + fault, audit + "R", i + 1, forced[last]))
+
+
+def repaired_plainly(rows):
+    """The contract, row by row. ``rows``: (turn, role, text) of one conversation after damage."""
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+    seen, symbols = set(), []
+    for _, role, text in rows:
+        words = SPACE.findall(text)
+        fault = 1 if not words else 2 if (role, text) in seen else 0 if words[-1][-1] in ".!?" else 3
+        seen.add((role, text))
+        symbols.append((role[:1], fault))
+    cost, audit = cheapest(symbols)
+    turns = [t for t, _, _ in rows if t is not None]
+    out, i, last = [], 0, ""
+    for e in audit:
+        forced = {"": "user", "s": "user", "u": "assistant", "a": "user"}[last]
+        if e == "I":
+            out.append(f"{forced}:")
+            last = forced[0]
+            continue
+        _, role, text = rows[i]
+        i += 1
+        if e != "D":
+            role = forced if e == "R" else role
+            out.append(f"{role}:{text}")
+            last = role[0]
+    assert re.fullmatch("(s?(ua)+)?", "".join(x[0] for x in out))
+    faults = [f for _, f in symbols]
+    return {
+        "gaps": max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, "blank": faults.count(1), "duplicate": faults.count(2),
+        "truncated": faults.count(3), "illegal": sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(symbols, symbols[1:])),
+        "cost": cost, "audit": audit, "repaired_sha256": hashlib.sha256("\n".join(out).encode()).hexdigest(),
+    }
+
+
+def damaged_plainly(rows):
+    out = {}
+    for conv, turn, role, text in rows:
+        out.setdefault(conv, [])
+        role, text = role if role is not None else " ", text if text is not None else " "
+        case = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if case:
+            text = "" if case == 1 else re.sub("[.!?]", "", text) if case == 2 else text
+            out[conv] += [(turn, "user" if case == 4 else role, text)] * (2 if case == 3 else 1)
+    return out
+
+
+def turns(rng, conv, n):
+    roles = ["user", "assistant", "system", "user", "assistant", "tool", None, "", "User"]
+    texts = ["Yes.", "No", "", " \t", None, "What? ", "ok!\n", "é.", "long " * 50 + "."]
+    every = [(conv, int(rng.integers(0, n + 1)) if rng.random() < 0.9 else None, roles[rng.integers(0, 9) if rng.random() < 0.4 else k % 2], texts[rng.integers(0, 9)]) for k in range(n)]
+    return every
+
+
+def check_repair(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.withColumn("pos", F.lit("x")).withColumn("Part", F.lit(1)).withColumn("cost", F.lit(2)).repartition(5)
+    got = {r["conv_id"]: r.asDict() for r in tr.repair_damaged(df).collect()}
+    want = {c: repaired_plainly(r) | {"conv_id": c} for c, r in damaged_plainly(rows).items()}
+    assert got == want
+
+
+def test_turn_repair(spark):
+    rng = np.random.default_rng(5)
+    rows = [t for c in [None, *range(60)] for t in turns(rng, c, int(rng.integers(1, 12)))]
+    check_repair(spark, rows + rows[:40])
+    empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert tr.repair_damaged(empty).collect() == []
+
+
+def test_turn_repair_of_long_conversations(spark):
+    """Conversations over many parts, with long runs, ties and equal rows."""
+    rng = np.random.default_rng(6)
+    long = [(7, int(t), ["user", "assistant"][t % 2], f"Line {t}.") for t in range(400)]
+    same = [(8, 3, "user", "Hello.")] * 300 + [(8, None, "user", f"cut {k}") for k in range(900)]
+    check_repair(spark, long + same + turns(rng, 9, 40) + turns(rng, None, 30))
+    rows = spark.createDataFrame(long + same, "conv_id long, turn long, role string, text string")
+    repaired = tr.repaired_rows(rows).orderBy("conv_id", "place").collect()
+    by_conv = {c: list(r) for c, r in groupby(repaired, key=lambda r: r["conv_id"])}
+    assert [(r["role"], r["text"]) for r in by_conv[7]] == [(r, t) for _, _, r, t in long]
+    assert [r["place"] for r in by_conv[8]] == list(range(len(by_conv[8])))
+    assert re.fullmatch("(ua)+", "".join(r["role"][0] for r in by_conv[8]))
+
+
+def test_turn_repair_powers():
+    rng = np.random.default_rng(7)
+    names = {0: "s", 1: "u", 2: "a", 3: "x"}
+    for _ in range(300):
+        symbols = rng.integers(0, 9, rng.integers(0, 9)).tolist() if rng.random() < 0.7 else [int(rng.integers(0, 9))] * int(rng.integers(1, 12))
+        runs = [(s, len(list(g))) for s, g in groupby(symbols)]
+        kinds, lengths = [s for s, _ in runs], [n for _, n in runs]
+        matrix = tr.product(kinds, lengths)
+        cost = min(matrix[tr.START][j] + tr.END[j] for j in range(4))
+        want = cheapest([("", 1) if s == tr.MUST_GO else (names[s % 4], 3 * (s >= 4)) for s in symbols])
+        assert (cost, tr.unroll(kinds, lengths, tr.END, tr.START, True)[0]) == want
+    long = tr.unroll([1, 6], [5000, 3000], tr.END, tr.START, True)[0]
+    short, held = tr.UNROLLED, 1 << 30
+    tr.UNROLLED = held
+    try:
+        assert tr.unroll([1, 6], [5000, 3000], tr.END, tr.START, True)[0] == long
+    finally:
+        tr.UNROLLED = short
+
+
+# --- toxicity
+
+
+def test_toxicity_held_out(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = QUERIES["op12_subword_toxicity"](spark, SF).join(labels, "doc_id").collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    clean = [r["predicted"] for r in got if r["held_out"] and not r["toxic"]]
+    assert sum(clean) <= 0.02 * len(clean)
+    known = re.compile("idiot|stupid|worthless|disgusting|pathetic|moron|trash|loser|clown|scum")
+    insulting = [r["predicted"] for r in got if r["held_out"] and r["toxic"] and known.search(texts[r["doc_id"]].lower())]
+    assert insulting and sum(insulting) >= 0.8 * len(insulting)
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
+
+
+def toy(rng, n=400):
+    words = ["river", "stone", "window", "market", "garden", "paper", "silver", "music", "dinner", "travel"]
+    texts, y = [], []
+    for k in range(n):
+        w = [words[j] for j in rng.integers(0, 10, rng.integers(5, 60))]
+        toxic = k % 4 == 0
+        if toxic:
+            w[int(rng.integers(0, len(w)))] = ["dreadful", "horrible"][k // 4 % 2]
+        texts.append(" ".join(w))
+        y.append(toxic)
+    return texts, np.array(y, int)
+
+
+def test_toxicity_subwords():
+    texts, y = toy(np.random.default_rng(1))
+    model = st.fit(texts, y)
+    plain = "river stone window market garden paper silver music"
+    scores = model.scores([f"{plain} dreadful", f"{plain} dreadfull", f"{plain} horrrible", plain, f"{plain} " * 3000, f"{plain} " * 3000 + "DREADFUL", "", " \n", "\U0001f600"])
+    assert (scores[[0, 1, 2, 5]] > 0.5).all() and (scores[[3, 4, 6, 7, 8]] < 0.5).all()
+    assert np.allclose(scores[6], 1 / (1 + np.exp(-model.intercept)))
+
+
+def test_toxicity_plain_scores():
+    """Scores equal averages taken subword by subword."""
+    rng = np.random.default_rng(2)
+    model = st.Toxicity(-0.3, rng.normal(0, 3, st.BUCKETS))
+    texts = ["one two", "a", "É été naïve " * 9, "x" * 300, " ".join(f"w{k}" for k in range(500)), "tab\tand\nline"]
+    for text, got in zip(texts, model.margins(texts)):
+        words = text.lower().split()
+        best = -np.inf
+        for a in range(0, len(words), st.WINDOW):
+            some = words[a : a + st.WINDOW]
+            some += ["\x00"] * (st.WINDOW - len(some))
+            vectors = [model.weights[st.subwords([w])[0]] for w in some]
+            best = max(best, float(np.concatenate(vectors).mean()))
+        assert np.isclose(got, best + model.intercept)
+    alone, _ = st.subwords(["abc"])
+    assert len(alone) == 3 + 2 + 1  # " ab" "abc" "bc ", " abc" "abc ", " abc "
+    block, st.BLOCK = st.BLOCK, 2 * st.WINDOW
+    try:
+        assert np.allclose(st.Toxicity(-0.3, model.weights).margins(texts), model.margins(texts))
+    finally:
+        st.BLOCK = block
+
+
+def test_toxicity_awkward(spark):
+    rows = [(None, "lost"), (1, None), (2, ""), (3, "idiot " * 40_000), (4, "fine words"), (4, "fine words"), (4, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("toxic", F.lit(1)).withColumn("score", F.lit(0.1))
+    labels = spark.createDataFrame([(4, 0), (4, None), (3, 1), (None, 1), (9, 1)], "doc_id long, toxic int")
+    got = st.classify(df, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    for some in (labels.limit(0), labels.where("doc_id = 4")):
+        assert st.classify(df, some).count() == len(rows)
+    assert st.classify(df.limit(0), labels).collect() == []
+
+
+# --- periodic runs
+
+
+def runs_plainly(words: list) -> list[tuple[int, int, int]]:
+    out = []
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            s = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            e = i + q
+            if e - s >= max(6, 4 * q) and not any(all(words[j] == words[j + p] for j in range(s, e - p)) for p in range(1, q)):
+                out.append((s, e - s, q))
+            i += i == s
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def runs_row(doc, text, plant):
+    words = SPACE.findall(text or "")
+    n, h = len(words), zlib.crc32(str(doc).encode())
+    if plant and doc is not None and h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = runs_plainly(words)
+    gone = {i for s, size, q in runs for i in range(s + q, s + size)}
+    best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=(None,) * 3)
+    listed = "".join(f"{s},{size},{q}\n" for s, size, q in runs)
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    return (doc, n, len(runs), *best, 1000 * best[1] // best[2] if runs else None, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept.encode()).hexdigest())
+
+
+def test_word_runs(spark):
+    rng = np.random.default_rng(9)
+    rows = [(None, "a " * 9), (1, None), (2, ""), (3, " \t\n"), (4, "x y\x1cz " * 7), (5, "Aa aa " * 5), (6, "a\x0bb\x0ca\rb\ta\nb a b a")]
+    rows += [(7, "k l m n o " * 5), (7, "k l m n o " * 5), (8, ("a " * 5 + "b ") * 8), (9, "one two three four five six seven " * 60)]
+    for k in range(10, 300):
+        n, letters = int(rng.integers(0, 150)), int(rng.integers(1, 4))
+        w = rng.integers(0, letters, n).tolist()
+        if n > 30 and k % 2:
+            q = int(rng.integers(1, n // 5 + 1))
+            s = int(rng.integers(0, n - 4 * q))
+            for j in range(s + q, min(n, s + int(rng.integers(4, 9)) * q)):
+                w[j] = w[j - q]
+        rows.append((k, " ".join("abc"[x] for x in w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("start", F.lit(1)).withColumn("N_runs", F.lit("x"))
+    for plant in (False, True):
+        got = [tuple(r) for r in wr.periodic_runs(df, plant).collect()]
+        assert sorted(got, key=str) == sorted((runs_row(d, t, plant) for d, t in rows), key=str)
+    assert wr.periodic_runs(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("words", [[0] * 3000, [0, 1, 0, 0, 1] * 500, ([0] * 50 + [1]) * 40, [bin(i).count("1") & 1 for i in range(3000)], list(range(700)) * 5])
+def test_word_runs_of_long_texts(words):
+    hashes = np.random.default_rng(3).integers(1, 1 << 62, 700, dtype=np.int64).astype(np.uint64)[words]
+    got = [(s, e - s, q) for s, e, q in wr.find_runs(hashes, np.array([0, len(words)]))]
+    assert got == runs_plainly(words)
+
+
+def test_word_runs_over_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 3000").select("doc_id", "text")
+    got = sorted(map(tuple, wr.periodic_runs(docs, plant=True).collect()))
+    assert got == sorted(runs_row(r["doc_id"], r["text"], True) for r in docs.collect())
