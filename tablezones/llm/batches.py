@@ -17,15 +17,17 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
 
     A null text counts as empty. No text is ever cut."""
     i = batch.schema.get_field_index(column)
-    batch = batch.set_column(i, column, pc.fill_null(batch.column(i).cast(pa.large_string()), ""))
-    ends = np.frombuffer(batch.column(i).buffers()[1], np.int64)[batch.column(i).offset :][: len(batch) + 1]
+    sizes = pc.fill_null(pc.binary_length(batch.column(i)), 0).to_numpy(zero_copy_only=False)
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     at = 0
     while at < len(batch):
         to = max(at + 1, int(np.searchsorted(ends, ends[at] + limit, "right")) - 1)
         rows = batch.slice(at, to - at)
-        data = batch.column(i).buffers()[2]
-        text = np.frombuffer(data, np.uint8)[ends[at] : ends[to]] if data is not None else np.zeros(0, np.uint8)
-        yield rows, text, ends[at : to + 1] - ends[at]
+        texts = pc.fill_null(rows.column(i).cast(pa.large_string()), "")  # of this slice only
+        own = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset :][: len(rows) + 1]
+        data = texts.buffers()[2]
+        text = np.frombuffer(data, np.uint8)[own[0] : own[-1]] if data is not None else np.zeros(0, np.uint8)
+        yield rows.set_column(i, column, texts), text, own - own[0]
         at = to
 
 

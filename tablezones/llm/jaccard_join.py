@@ -25,12 +25,13 @@ of ``BITS`` bits) differ in more bits than similar sets can differ in tokens.
 All others are verified on whole texts. The components are exact: a pair that
 is never compared is too far apart or already connected.
 
-Frequent tokens are those counted in at least ``SHARE`` of all documents; so
-there are at most the mean set size / ``SHARE`` of them, whatever the corpus. A
-token counts only in text pieces (2 MB) where 3 documents or more hold it. So
-the real threshold depends on where its documents lie: evenly spread, with about
-800 documents a piece, it is near 0.4 %, and tokens between the two shares stay
-among the rare ones. The split only moves work.
+Frequent tokens are found by counts over all documents. Each task counts all
+its tokens in ``SKETCH`` tables of ``CELLS`` cells (a token has one cell in each)
+and gives the cells that hold a quarter of ``SHARE`` of its documents, two at
+least; these sums miss at most that quarter. A token is frequent if all its cells
+sum to three quarters of ``SHARE`` of all documents. So tokens in that share of
+the documents are frequent wherever they lie, and what is sent round is a bit a
+cell, whatever the corpus. The split only moves work.
 
 Null or empty texts have an empty set and link with nothing. Rows of one doc_id
 are one document; a row without doc_id links with nothing. Long texts are one
@@ -43,26 +44,31 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablezones.llm.batches import pieces
 from tablezones.llm.components import components
-from tablezones.llm.staging import small_side, staged
+from tablezones.llm.staging import fresh_name, small_side, staged
 from tablezones.llm.words import mix, shingles, word_hashes, word_spans
 
 WORDS, PERCENT = 5, 75
-SHARE, LEAST = 1 / 4000, 16
+SHARE, LEAST = 1 / 256, 16
+#: Count tables and their cells.
+SKETCH, CELLS = 2, 1 << 20
+#: Text bytes whose sets are built at once.
+PIECE = 256 << 10
 #: The extended prefix is longer than the plain one by n // EXTRA tokens.
 EXTRA = 10
 #: Rows of one token held to count them; longer runs all rank as equally frequent.
 RUN_ROWS = 1 << 20
 #: Rounds of centres before the exhaustive one, centres of a run, and those that a document tries in a round.
 ROUNDS, RUN_CENTRES, CENTRES = 2, 5, 12
-#: Pairs whose sets are held at once while verifying.
-VERIFIED_ROWS = 2_000
+#: Text bytes of the pairs that are verified at once; one pair of longer texts is a slice of its own.
+VERIFIED_BYTES = 1 << 20
 BITS = 512
-PROFILE = "doc_id long, n int, sig binary, bits array<long>, token long, times long"
+PROFILE = "doc_id long, n int, sig binary, bits array<long>, cell int, times long"
 POSTING = "token long, doc long, n int, combined boolean"
 RUN = POSTING + ", df int"
 
@@ -72,48 +78,69 @@ def text_sets(rows: pa.RecordBatch, text: np.ndarray, at: np.ndarray, words: int
     return shingles(word_hashes(text, starts, ends), word_at, words)
 
 
+def cells_of(tokens: np.ndarray, table: int) -> np.ndarray:
+    return (mix(tokens ^ np.uint64(0x51ED + table)) % np.uint64(CELLS)).astype(np.int64)
+
+
 def _profile(words: int):
-    """Each row's set size and signature, and the tokens that several documents of a piece share."""
+    """Each row's set size and signature; at the task's end, the cells that many of its documents share."""
 
     def profile(batches):
+        counts, n_docs = np.zeros((SKETCH, CELLS), np.uint32), 0
         for batch in batches:
-            for rows, text, at in pieces(batch, "text"):
+            for rows, text, at in pieces(batch, "text", PIECE):
                 sets = text_sets(rows, text, at, words)
-                tokens, times = np.unique(np.concatenate(sets), return_counts=True)
-                many = times >= max(3, SHARE * len(sets))
-                k, m = len(sets), int(many.sum())
+                tokens = np.concatenate(sets)
+                for table in range(SKETCH):
+                    cells, times = np.unique(cells_of(tokens, table), return_counts=True)
+                    counts[table, cells] += times.astype(np.uint32)
+                n_docs += len(sets)
                 sigs = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
                 bits = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([bitmap(s) for s in sets])), BITS // 64).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.concat_arrays([rows.column("doc_id"), pa.nulls(m, pa.int64())]),
-                        pa.array([*map(len, sets), *[None] * m], pa.int32()),
-                        pa.array([*sigs, *[None] * m], pa.binary()),
-                        pa.concat_arrays([bits, pa.nulls(m, bits.type)]),
-                        pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(tokens[many].view(np.int64))]),
-                        pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(times[many], pa.int64())]),
-                    ],
-                    ["doc_id", "n", "sig", "bits", "token", "times"],
-                )
+                k = len(sets)
+                yield _profile_rows(rows.column("doc_id"), pa.array(list(map(len, sets)), pa.int32()), pa.array(sigs, pa.binary()), bits, pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()))
+        flat = counts.ravel()
+        many = np.flatnonzero(flat >= max(2, SHARE * n_docs / 4))
+        for a in range(0, len(many), 100_000):
+            some = many[a : a + 100_000]
+            k = len(some)
+            bits = pa.nulls(k, pa.list_(pa.int64()))
+            yield _profile_rows(pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary()), bits, pa.array(some, pa.int32()), pa.array(flat[some], pa.int64()))
 
     return profile
 
 
+def _profile_rows(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), ["doc_id", "n", "sig", "bits", "cell", "times"])
+
+
+def frequent_cells(cells: np.ndarray):
+    """Whether tokens are frequent, from the frequent cells of all tables: a function over arrays."""
+    bits = np.zeros(SKETCH * CELLS, bool)
+    bits[cells] = True
+    packed = np.packbits(bits)  # what tasks get
+
+    def frequent(tokens: np.ndarray) -> np.ndarray:
+        out = np.ones(len(tokens), bool)
+        for table in range(SKETCH):
+            cell = cells_of(tokens, table) + table * CELLS
+            out &= (packed[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8) & 1).astype(bool)
+        return out
+
+    return frequent
+
+
 def bitmap(s: np.ndarray) -> np.ndarray:
     """The parity of a set's tokens in each of ``BITS`` places, as 64-bit integers."""
     odd = np.bincount((mix(s) >> np.uint64(32)).astype(np.int64) % BITS, minlength=BITS) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
-def prefix_keys(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """The single and the combined index keys of a sorted set."""
+def prefix_keys(s: np.ndarray, frequent, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """The single and the combined index keys of a sorted set; ``frequent`` tells the frequent tokens, or lists them."""
     n = len(s)
     p = n - -(-n * percent // 100) + 1 + n // EXTRA
-    if len(frequent):
-        place = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-        common = frequent[place] == s
-    else:
-        common = np.zeros(n, bool)
+    common = frequent(s) if callable(frequent) else np.isin(s, frequent)
     rare = s[~common]
     if len(rare) >= p:
         return rare[:p], s[:0]
@@ -126,11 +153,11 @@ def prefix_keys(s: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) ->
     return rare, np.concatenate([pairs, alone])
 
 
-def _postings(frequent: np.ndarray, words: int, percent: int):
+def _postings(frequent, words: int, percent: int):
     def index(batches):
         seen = set()  # a task indexes equal sets once; their signatures link them
         for batch in batches:
-            for rows, text, at in pieces(batch, "text"):
+            for rows, text, at in pieces(batch, "text", PIECE):
                 keys, docs, sizes, combined = [], [], [], []
                 for doc, s in zip(rows.column("doc_id").to_pylist(), text_sets(rows, text, at, words)):
                     if doc is None or not len(s) or (sig := hashlib.md5(s.tobytes()).digest()) in seen:
@@ -215,18 +242,23 @@ def _verified(words: int, percent: int):
     def sets_of(rows, side):
         """Each row's set; a document that is in many rows is read once."""
         _, first, where = np.unique(rows.column(side).to_numpy(), return_index=True, return_inverse=True)
-        sets = [x for some, text, at in pieces(rows.take(pa.array(first)), f"text_{side}") for x in text_sets(some, text, at, words)]
+        sets = [x for some, text, at in pieces(rows.take(pa.array(first)), f"text_{side}", PIECE) for x in text_sets(some, text, at, words)]
         return (sets[i] for i in where)
 
     def verify(batches):
         for batch in batches:
-            for i in range(0, len(batch), VERIFIED_ROWS):
-                rows, ok = batch.slice(i, VERIFIED_ROWS), []
+            sizes = sum(pc.binary_length(batch.column(c)).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("text_a", "text_b"))
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            i = 0
+            while i < len(batch):
+                to = max(i + 1, int(np.searchsorted(ends, ends[i] + VERIFIED_BYTES, "right")) - 1)
+                rows, ok = batch.slice(i, to - i), []
                 for x, y in zip(sets_of(rows, "a"), sets_of(rows, "b")):
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     ok.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
                 keep = pa.array(ok, pa.bool_())
                 yield pa.RecordBatch.from_arrays([rows.column(c).filter(keep) for c in ("a", "b")], ["a", "b"])
+                i = to
 
     return verify
 
@@ -247,10 +279,9 @@ def similar_components(documents: DataFrame, words: int = WORDS, percent: int =
     profile = staged(docs.mapInArrow(_profile(words), PROFILE), "profile")
     rows = profile.where("times IS NULL")
     total = rows.count()
-    heavy = profile.where("times IS NOT NULL").groupBy("token").agg(F.sum("times").alias("df"))
-    heavy = heavy.where(F.col("df") >= max(LEAST, SHARE * total)).select("token")
-    # at most the mean set size / SHARE tokens
-    frequent = np.sort(heavy.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
+    heavy = profile.where("times IS NOT NULL").groupBy("cell").agg(F.sum("times").alias("df")).where(F.col("df") >= max(LEAST, SHARE * total * 3 / 4))
+    # at most the mean set size / SHARE cells a table, and SKETCH * CELLS in all
+    frequent = frequent_cells(heavy.select("cell").toPandas()["cell"].to_numpy(np.int64))
 
     postings = docs.mapInArrow(_postings(frequent, words, percent), POSTING)
     dealt = postings.repartition("token").sortWithinPartitions("token")
@@ -313,10 +344,14 @@ def _open_runs(runs: DataFrame, joined: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(documents: DataFrame) -> DataFrame:
-    """``documents`` with one row of each component: that of the smallest doc_id."""
-    found = staged(similar_components(documents), "similar-components")
-    copies = staged(found.where("component_id <> doc_id").select("doc_id").distinct(), "copies")
-    kept = documents.join(small_side(copies), "doc_id", "left_anti").select(*documents.columns)
-    if found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.where("doc_id IS NULL").unionAll(kept.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    """``documents`` with one row of each group of near copies: of the smallest doc_id (null last), then text and row hash.
+
+    Rows are judged each for itself: different texts of one doc_id stay, and copies without a doc_id go."""
+    key = fresh_name(documents, "row_key")
+    rest = [F.col(f"`{c}`") for c, kind in documents.dtypes if "map<" not in kind and "variant" not in kind]
+    keyed = staged(documents.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = staged(similar_components(keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias(key), "component_id"), "similar-components")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text"), F.xxhash64(*rest).alias("row"), F.col(key).alias("key"))
+    ranked = keyed.select(rank.alias("rank"), key).join(found, key)
+    first = staged(ranked.groupBy("component_id").agg(F.min("rank").alias("rank")).select(F.col("rank.key").alias(key)), "kept")
+    return keyed.join(first, key, "left_semi").select(*[F.col(f"`{c}`") for c in documents.columns])
