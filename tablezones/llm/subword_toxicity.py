@@ -44,10 +44,12 @@ NGRAMS, BUCKETS, WIDTH, WINDOW = (3, 6), 1 << 18, 8, 8
 ROUNDS, RATE = 25, 1.0
 #: The intercept and the height of the table at the start.
 OPENING, HEIGHT = -7.0, 100.0
-MAX_ROWS, MAX_CHARS = 6_000, 24_000_000
+MAX_ROWS, MAX_CHARS = 4_000, 16_000_000
 TOXIC = 0.5
 #: Words worked on at once, a multiple of the window.
 BLOCK = 40_000
+#: Subwords added up at once while fitting.
+SLICE = 1 << 20
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,6 +115,14 @@ def _blocks(texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
         yield words, np.array(owner)
 
 
+def _sums(to: np.ndarray, values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The sums of ``values[at]`` by ``to``, a slice at a time."""
+    out = np.zeros(n)
+    for a in range(0, len(to), SLICE):
+        out += np.bincount(to[a : a + SLICE], values[at[a : a + SLICE]], n)
+    return out
+
+
 def fit(texts: list[str], toxic: np.ndarray) -> Toxicity:
     """Embedding table and softmax, trained jointly."""
     y = np.asarray(toxic, float)
@@ -129,9 +139,15 @@ def fit(texts: list[str], toxic: np.ndarray) -> Toxicity:
     token = np.concatenate(tokens)
     if not len(token):
         return Toxicity(float(np.log(y.mean() / (1 - y.mean()))))
-    bucket, word = subwords(numbers)
+    listed, parts = list(numbers), []
+    for a in range(0, len(listed), BLOCK):
+        some, owner = subwords(listed[a : a + BLOCK])
+        parts.append((some, owner + np.int32(a)))
+    bucket, word = (np.concatenate(x) for x in zip(*parts))
+    del parts, listed
     size = np.bincount(word, minlength=len(numbers)).astype(float)
     text_of = np.repeat(np.arange(len(y)), windows_of)
+    window = np.repeat(np.arange(len(text_of), dtype=np.int32), WINDOW)  # of each token
     per_window = lambda v: v[token].reshape(-1, WINDOW).sum(1)
     count = np.maximum(1, per_window(size))
 
@@ -139,7 +155,8 @@ def fit(texts: list[str], toxic: np.ndarray) -> Toxicity:
     pair = np.unique(np.repeat(text_of, WINDOW) * len(numbers) + token)
     in_toxic = np.bincount(pair % len(numbers), y[pair // len(numbers)], len(numbers))
     in_all = np.bincount(pair % len(numbers), minlength=len(numbers)).astype(float)
-    hits, all_hits = np.bincount(bucket, in_toxic[word], BUCKETS), np.bincount(bucket, in_all[word], BUCKETS)
+    hits, all_hits = _sums(bucket, in_toxic, word, BUCKETS), _sums(bucket, in_all, word, BUCKETS)
+    del pair
     chance = all_hits * y.mean()
     start = HEIGHT * np.clip(((hits - chance) / np.sqrt(chance + 1) - 4) / 8, 0, 1) * np.clip(((hits + 0.25) / (all_hits + 1) - 0.5) * 2.5, 0, 1)
     rng = np.random.default_rng(0)
@@ -147,12 +164,12 @@ def fit(texts: list[str], toxic: np.ndarray) -> Toxicity:
     table = rng.normal(0, 1e-3, (BUCKETS, WIDTH)) + np.outer(start, softmax) / (softmax @ softmax)
     intercept, seen, seen_softmax, seen_intercept = OPENING, np.full(BUCKETS, 1e-8), np.full(WIDTH, 1e-12), 1e-12
     for _ in range(ROUNDS):
-        z = per_window(np.bincount(word, (table @ softmax)[bucket], len(numbers))) / count + intercept
+        z = per_window(_sums(word, table @ softmax, bucket, len(numbers))) / count + intercept
         clean = np.exp(-np.bincount(text_of, np.logaddexp(0, z), len(y)))  # the chance that all windows are
         slope = np.where(y > 0, -clean / np.maximum(1 - clean, 1e-9), 1.0) / len(y)
         g = slope[text_of] * np.exp(-np.logaddexp(0, -z))
-        by_word = np.bincount(token, np.repeat(g / count, WINDOW), len(numbers))
-        by_bucket = np.bincount(bucket, by_word[word], BUCKETS)
+        by_word = _sums(token, g / count, window, len(numbers))
+        by_bucket = _sums(bucket, by_word, word, BUCKETS)
         down, down_softmax = np.outer(by_bucket, softmax), by_bucket @ table
         seen += (down**2).sum(1)
         seen_softmax += down_softmax**2
