@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tablezones.llm.batches import pieces
 from tablezones.llm.staging import staged
-from tablezones.llm.text_ids import crc32, encoder, tokenizer_path
+from tablezones.llm.text_ids import PIECE, crc32, encoder, tokenizer_path
 
 SEQUENCE = 1024
 GROUPS = 2048  # of the large lengths
@@ -159,7 +159,7 @@ def _pieces_of(tokenizer: str, end_id: int, capacity: int):
         part, coder = TaskContext.get().partitionId(), encoder(tokenizer)
         nth = np.zeros(capacity + 1, np.int64)  # pieces of each length so far in this task
         for batch in batches:
-            for rows, _, _ in pieces(batch, "text", 12 << 20):
+            for rows, _, _ in pieces(batch, "text", PIECE):
                 ids, to = coder.encode(rows.column("text"))
                 ids = np.insert(ids, to[1:], end_id)
                 begin = to[:-1] + np.arange(len(rows))

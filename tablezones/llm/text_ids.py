@@ -2,8 +2,8 @@
 
 The tokenizer splits a text into words before it merges bytes, and a word's ids
 do not depend on its neighbours. So every distinct word is encoded once by the
-``tokenizers`` library and kept in a bounded per-worker table; ids of a text are
-gathered from it. Texts with unusual white space or with the string of an added
+``tokenizers`` library and kept in a per-worker table, bounded by its words and
+by its bytes; ids of a text are gathered from it. Texts with unusual white space or with the string of an added
 token, which the library gives that token's id, are encoded as a whole.
 """
 
@@ -19,8 +19,15 @@ import pyarrow.compute as pc
 
 from tablezones.llm.batches import worker_state
 
-#: Words kept per worker. Beyond it only the words met first stay, which are mostly the frequent ones.
-CACHED_WORDS = 1_200_000
+#: Words kept per worker, and their cost in bytes (text, ids and table entry). Beyond either only the words met
+#: first stay, a third, which are mostly the frequent ones.
+CACHED_WORDS, CACHED_BYTES = 1_200_000, 160 << 20
+#: Bytes of a word's entry in the table besides its text and ids, and words encoded in one call of the library.
+ENTRY_BYTES, JOINED = 120, 2_000
+#: Words of more characters are encoded anew for each piece of text.
+KEPT_CHARS = 100
+#: Text bytes encoded at once.
+PIECE = 3 << 20
 #: White space that the splitter joins with its neighbours, so that words are not independent.
 UNUSUAL = (
     "[ \\n][ \\n]|[\\t\\x0b\\x0c\\r\\x1c-\\x1f]|[\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200b}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]|[ \n]$"
@@ -45,26 +52,33 @@ class TextEncoder:
         vocabulary = self.library.get_vocab()
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that begin with white space
         self.opens[[i for t, i in vocabulary.items() if t[0] in "\u0120\u010a"]] = True
-        self.words = pa.array([""], pa.large_string())
+        self.code: dict[str, int] = {"": 0}
         self.start = np.zeros(2, np.int64)  # of each known word's ids; the empty word has none
         self.ids = np.zeros(0, np.uint32)
+        self.cost = 0
 
-    def _learn(self, new: pa.Array, cut: bool) -> None:
+    def _forget(self, keep: int) -> None:
+        """Keep the first ``keep`` words only."""
+        self.code = {w: k for w, k in self.code.items() if k < keep}
+        self.start = self.start[: keep + 1].copy()
+        self.ids = self.ids[: self.start[-1]].copy()
+        self.cost = sum(map(len, self.code)) + ENTRY_BYTES * keep + self.ids.nbytes
+
+    def _learn(self, new: list[str]) -> None:
         """Encode unknown words, joined as in a text: a word starts with its newline or takes a space."""
-        if cut and len(self.words) + len(new) > CACHED_WORDS:
-            keep = CACHED_WORDS // 3
-            self.words, self.start = self.words[:keep], self.start[: keep + 1].copy()
-            self.ids = self.ids[: self.start[-1]].copy()
-        listed = [w if w[:1] == "\n" else " " + w for w in new.to_pylist()]
-        joined = ["".join(listed[i : i + 5_000]) for i in range(0, len(listed), 5_000)]
-        ids = np.concatenate([np.asarray(e.ids, np.uint32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
+        parts = []
+        for a in range(0, len(new), JOINED):
+            joined = "".join([w if w[0] == "\n" else " " + w for w in new[a : a + JOINED]])
+            parts.append(np.array(self.library.encode(joined, add_special_tokens=False).ids, np.uint32))
+        ids = np.concatenate(parts)
         starts = np.flatnonzero(self.opens[ids])
-        if len(starts) != len(listed):
+        if len(starts) != len(new):
             raise AssertionError("a word's ids depend on its neighbours")
         base = len(self.ids)
-        self.words = pa.concat_arrays([self.words, new])
+        self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
         self.start = np.concatenate([self.start[:-1], base + starts, [base + len(ids)]])
         self.ids = np.concatenate([self.ids, ids])
+        self.cost += sum(map(len, new)) + ENTRY_BYTES * len(new) + ids.nbytes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts after one another, and each text's offset (one more than texts)."""
@@ -73,7 +87,7 @@ class TextEncoder:
         if not odd.any():
             return self._encode_by_word(texts)
         plain_ids, plain_at = self._encode_by_word(texts.filter(pa.array(~odd)))
-        whole = [np.asarray(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts.filter(pa.array(odd)).to_pylist(), add_special_tokens=False)]
+        whole = [np.asarray(self.library.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.filter(pa.array(odd)).to_pylist()]
         parts, k, w = [], 0, 0
         for x in odd:
             if x:
@@ -91,15 +105,17 @@ class TextEncoder:
         one, none = pa.scalar("\n", texts.type), pa.scalar("", texts.type)
         words = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise(one, texts, none), "\n", " \n"), " ")
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
-        words = pc.list_flatten(words)
-        code = pc.index_in(words, value_set=self.words)
-        if code.null_count:
-            self._learn(pc.unique(words.filter(pc.is_null(code))), cut=True)
-            code = pc.index_in(words, value_set=self.words)
-            if code.null_count:  # the table was cut; what this piece needs is learned again
-                self._learn(pc.unique(words.filter(pc.is_null(code))), cut=False)
-                code = pc.index_in(words, value_set=self.words)
-        code = code.to_numpy(zero_copy_only=False)
+        words = pc.list_flatten(words).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        if len(self.code) > CACHED_WORDS or self.cost > CACHED_BYTES:
+            self._forget(max(1, len(self.code) // 3))
+        code = list(map(self.code.get, distinct))
+        unknown = [w for w, c in zip(distinct, code) if c is None]
+        long = [w for w in unknown if len(w) > KEPT_CHARS]
+        if unknown:
+            self._learn([w for w in unknown if len(w) <= KEPT_CHARS] + long if long else unknown)
+            code = list(map(self.code.__getitem__, distinct))
+        code = np.array(code, np.int64)[words.indices.to_numpy(zero_copy_only=False)]
         begin, size = self.start[code], (self.start[1:] - self.start[:-1])[code]
         # each text begins with an empty word and its added newline, one id
         at_word = np.concatenate([[0], np.cumsum(counts)])
@@ -114,7 +130,10 @@ class TextEncoder:
         steps = np.ones(total, np.int64)
         begin, size = begin[live], size[live]
         steps[to[live]] = begin - np.concatenate([[0], begin[:-1] + size[:-1] - 1])
-        return self.ids[np.cumsum(steps)], to[at_word]
+        ids = self.ids[np.cumsum(steps)]
+        if long:
+            self._forget(len(self.code) - len(long))
+        return ids, to[at_word]
 
 
 def encoder(path: str) -> TextEncoder:

@@ -335,3 +335,27 @@ def test_words_stop_at_text_borders():
     a = word_hashes(np.frombuffer(b"Same same", np.uint8), np.array([0, 5]), np.array([4, 9]))
     assert a[0] == a[1]
     assert [len(s) for s in shingles(np.zeros(0, np.uint64), np.array([0, 0]), 5)] == [0]
+
+
+def test_the_word_table_is_bounded_by_bytes(coder, monkeypatch):
+    """Unspaced words of 200 kB are encoded whole and not kept; many short ones are dropped beyond the bound."""
+    from tablezones.llm import text_ids
+
+    monkeypatch.setattr(text_ids, "CACHED_BYTES", 1 << 20)
+    for k in range(4):
+        texts = [f"{'ab' * 100_000}{k} and {'q' * 50}", " ".join(f"w{k}y{i}" for i in range(5000)), "the same words"]
+        ids, at = coder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [coder.library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert max(map(len, coder.code)) <= text_ids.KEPT_CHARS
+        assert coder.cost <= (1 << 20) + 5100 * (text_ids.ENTRY_BYTES + 40) and len(coder.code) == len(coder.start) - 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(-5, 5), st.integers(-(1 << 63), (1 << 63) - 1)), min_size=1, max_size=60), st.lists(st.integers(-5, 5), max_size=8))
+def test_parts_of_token_files_keep_the_order(rows, bounds):
+    """Parts ascend with (id, place), also where one id is most of the rows."""
+    from tablezones.llm.token_files import part_of
+
+    rows.sort()
+    part = part_of(np.array([i for i, _ in rows]), np.array([p for _, p in rows]), np.array(sorted(bounds), np.int64))
+    assert (np.diff(part) >= 0).all() and part.min() >= 0 and part.max() <= len(bounds)

@@ -24,7 +24,7 @@ def test_query_matches_oracle(spark, key):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES)
-    assert numbers == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert numbers == list(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 def test_held_out_quality_on_the_given_labels(spark):
