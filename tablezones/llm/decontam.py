@@ -4,6 +4,8 @@ The test items form an inverted index with BM25 impacts. Every training text is
 cut into overlapping passages, and each passage is a query that retrieves all
 items whose score reaches ``THRESHOLD`` of the score that the item gives
 itself. Impacts are divided by that own score, so one threshold holds for all.
+A passage is long enough for every item of the index; what it retrieves is then
+judged in windows of the item's own size.
 
 Items of similar length form blocks, and each term keeps its largest impact in
 each block. As in block-max WAND, a block is skipped when the bounds of the
@@ -12,23 +14,29 @@ a batch at once. In the blocks that are left, terms are added in descending
 bound, and items are left as soon as the remaining bounds cannot lift them.
 Pruning uses upper bounds only, so nothing above the threshold is missed.
 
-A retrieved pair is then verified in word order: the passage must hold
-``OVERLAP`` of the item's question five-word shingles and of its answer's words.
+A retrieved pair is then scored and verified in windows of two strides of the
+item, a stride being its length (``LEAST_STRIDE`` words at least): one window must
+reach the threshold and hold, in word order, ``OVERLAP`` of the item's question
+five-word shingles, and of its answer's words. So a verdict depends on the item
+and the text, and on other items by their document frequencies alone.
 The answer is what follows an "answer:" mark, else the last sentence, else (one
 sentence) the last quarter of the words; the question is the text before it. A
 mark with no words on one side is passed over. An item of fewer than ``WORDS``
 words that no mark splits must stand in the passage as it is, all words in
 order; one of a single word, which any text may use, must be the whole text.
 
-Passages are two strides long and a stride is at least the longest item, so
-every item that stands in a text lies whole in some passage. The index is
-collected in shards of at most ``SHARD_ITEMS`` items, with document frequencies
-and mean length over all items; a larger test set takes more passes.
+Windows overlap by half, so every item that stands in a text lies whole in one. A
+passage is three strides of the longest item of the index and holds every window
+that begins in the first. The index is collected in shards of at most
+``SHARD_ITEMS`` items, with document frequencies and mean length over all items;
+a larger test set takes more passes.
 
 Words are runs of ASCII letters and digits and of other characters, A-Z as a-z.
 Null and empty texts or items match nothing; equal items are matched each for
-itself, rows of one doc_id count as one document, and rows without doc_id are
-never flagged. An empty table on either side gives an empty result.
+itself, and items without an id are searched and reported under a null one. In
+the list of matches rows of one doc_id count as one document and rows without one
+cannot be named; ``drop_contaminated`` judges every row by itself, whatever its
+id. An empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablezones.llm.batches import pieces
-from tablezones.llm.staging import small_side, staged
+from tablezones.llm.staging import fresh_name, small_side, staged
 from tablezones.llm.words import PUNCTUATED, shingles, word_hashes, word_spans
 
 THRESHOLD, OVERLAP, WORDS = 0.5, 0.75, 5
@@ -100,11 +108,14 @@ class Index:
     sizes: list[int]  # of each question's shingles
     answers: list[np.ndarray]
     single: list[bool]  # items of one word
-    stride: int
+    stride: int  # of passages
+    strides: list[int]  # of each item's windows
+    own: list[tuple[np.ndarray, np.ndarray]]  # terms and impacts of each item
+    named: list[bool]  # whether it has an id
 
 
 def build_index(items: list[tuple[int, str]], df: dict[int, int], total: int, mean: float) -> Index:
-    parsed = sorted(((i, t, words_of(t)) for i, t in items), key=lambda x: (len(x[2]), x[0]))
+    parsed = sorted(((i, t, words_of(t)) for i, t in items), key=lambda x: (len(x[2]), x[0] is None, x[0] or 0, x[1]))
     parsed = [x for x in parsed if len(x[2])]
     rows = []
     for k, (_, _, w) in enumerate(parsed):
@@ -122,9 +133,10 @@ def build_index(items: list[tuple[int, str]], df: dict[int, int], total: int, me
     np.maximum.at(bound, (np.searchsorted(terms, term), block[item]), impact.astype(np.float32) * np.float32(1.000001))
     wanted = [_wanted(t, w) for _, t, w in parsed]
     return Index(
-        np.array([i for i, _, _ in parsed], np.int64), terms, np.append(first, len(order)), item[order], impact[order], block, bound,
+        np.array([i or 0 for i, _, _ in parsed], np.int64), terms, np.append(first, len(order)), item[order], impact[order], block, bound,
         [q for q, _, _ in wanted], [n for _, n, _ in wanted], [a for _, _, a in wanted], [len(w) == 1 for _, _, w in parsed],
-        max([LEAST_STRIDE, *(len(w) for _, _, w in parsed)]),
+        max([LEAST_STRIDE, *(len(w) for _, _, w in parsed)]), [max(LEAST_STRIDE, len(w)) for _, _, w in parsed],
+        [(r[0], r[2]) for r in rows], [i is not None for i, _, _ in parsed],
     )
 
 
@@ -168,7 +180,7 @@ def _matches(index: Index):
 
 
 def _search(index: Index, words: np.ndarray, word_at: np.ndarray, docs: list, found: dict) -> None:
-    """Passages are pairs of neighbouring strides of one text; bounds are summed by stride."""
+    """Passages are three neighbouring strides of one text; bounds are summed by stride."""
     place = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)
     known = np.flatnonzero(index.terms[place] == words)
     n = np.diff(word_at)
@@ -187,24 +199,38 @@ def _search(index: Index, words: np.ndarray, word_at: np.ndarray, docs: list, fo
         end = heads[a + 2_000] if a + 2_000 < len(heads) else len(of)
         bound[of[cut]] = np.add.reduceat(index.bound[term[cut[0] : end]], cut - cut[0], axis=0)
     passage = bound.copy()
-    inner = np.ones(len(bound), bool)
-    inner[stride_at[1:] - 1] = False  # the last stride of a text has no neighbour
-    inner = np.flatnonzero(inner)
-    passage[inner] += bound[inner + 1]
+    last = np.repeat(stride_at[1:], strides)  # of each stride's text
+    for k in (1, 2):
+        inner = np.flatnonzero(np.arange(len(bound)) + k < last)
+        passage[inner] += bound[inner + k]
     first_of = np.searchsorted(of, np.arange(len(bound) + 1))
     for k, block in zip(*np.nonzero(passage >= THRESHOLD)):
         owner = int(np.searchsorted(stride_at, k, "right") - 1)
-        last = min(k + 2, stride_at[owner + 1])
-        for item, score in _score_block(index, np.unique(term[first_of[k] : first_of[last]]), block):
-            begin = word_at[owner] + (k - stride_at[owner]) * index.stride
-            here = words[begin : min(begin + 2 * index.stride, word_at[owner + 1])]
-            if index.single[item] and n[owner] > 1:
+        end = min(k + 3, stride_at[owner + 1])
+        for item, _ in _score_block(index, np.unique(term[first_of[k] : first_of[end]]), block):
+            if docs[owner] is None or index.single[item] and n[owner] > 1:
                 continue
-            q = np.isin(index.questions[item], shingles(here, np.array([0, len(here)]), index.sizes[item])[0]).mean()
-            a = np.isin(index.answers[item], here).mean()
-            key = (docs[owner], int(index.ids[item]))
-            if docs[owner] is not None and q >= OVERLAP and a >= OVERLAP and (score, q, a) > found.get(key, (0, 0, 0)):
-                found[key] = (float(score), float(q), float(a))
+            text = words[word_at[owner] : word_at[owner + 1]]
+            best = _best_window(index, item, text, int(k - stride_at[owner]) * index.stride)
+            key = (docs[owner], int(index.ids[item]) if index.named[item] else None)
+            if best > found.get(key, (0, 0, 0)):
+                found[key] = best
+
+
+def _best_window(index: Index, item: int, text: np.ndarray, begin: int) -> tuple[float, float, float]:
+    """Score and overlaps of the best of the item's windows that begin in the stride from ``begin`` on; zeros if none will do."""
+    step, (terms, impacts) = index.strides[item], index.own[item]
+    best = (0.0, 0.0, 0.0)
+    for a in range(-(-begin // step) * step, min(begin + index.stride, len(text)), step):
+        here = text[a : a + 2 * step]
+        score = float(impacts[np.isin(terms, here)].sum())
+        if score + 1e-9 < THRESHOLD:
+            continue
+        q = float(np.isin(index.questions[item], shingles(here, np.array([0, len(here)]), index.sizes[item])[0]).mean())
+        w = float(np.isin(index.answers[item], here).mean())
+        if q >= OVERLAP and w >= OVERLAP:
+            best = max(best, (score, q, w))
+    return best
 
 
 def _terms_of(batches):
@@ -222,7 +248,7 @@ def _terms_of(batches):
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The verified pairs doc_id, item_id with their best passage's score and overlaps."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = staged(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).dropna(), "items")
+    items = staged(benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL"), "items")
     total = items.count()
     shards = max(1, -(-total // SHARD_ITEMS))
     shard = F.pmod(F.xxhash64("item_id"), F.lit(shards))
@@ -240,6 +266,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``documents`` without those that hold a test item."""
-    flagged = staged(contaminated(documents, benchmark).select("doc_id").distinct(), "contaminated")
-    return documents.join(small_side(flagged), "doc_id", "left_anti").select(*documents.columns)
+    """``documents`` without the rows that hold a test item, whatever their doc_id."""
+    key = fresh_name(documents, "row_key")
+    keyed = staged(documents.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    matches = contaminated(keyed.select(F.col(key).alias("doc_id"), "text"), benchmark)
+    flagged = staged(matches.select(F.col("doc_id").alias(key)).distinct(), "contaminated")
+    return keyed.join(small_side(flagged), key, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -325,7 +325,7 @@ def test_decontamination(spark, monkeypatch):
         found[shard] = {(r.doc_id, r.item_id) for r in decontam.contaminated(docs(spark, table), bench).collect()}
     assert found[4000] == found[3] == {*planted.items(), (102, 4)}
     left = decontam.drop_contaminated(docs(spark, table), bench)
-    assert Counter(r.doc_id for r in left.collect()) == Counter([i for i, _ in table if i not in planted and i != 102])
+    assert Counter(r.doc_id for r in left.collect()) == Counter([i for i, _ in table if i is not None and i not in planted and i != 102])  # the row without an id holds an item
     assert decontam.contaminated(docs(spark, []), bench).collect() == []
     assert decontam.contaminated(docs(spark, table), bench.limit(0)).collect() == []
 
@@ -337,3 +337,86 @@ def test_decontamination_by_items_without_a_question_or_an_answer(spark):
              (5, "Alone."), (6, "tea that is green"), (7, "a cup of green tea then"), (8, "by anyone in print ever seen, or never"), (9, "which of the birds sings")]
     found = decontam.contaminated(docs(spark, table), spark.createDataFrame(items, "item_id long, text string"))
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1), (2, 1), (4, 2), (5, 3), (7, 5)}
+
+
+def test_near_copies_are_judged_by_row(spark):
+    """Different texts of one doc_id stay, copies without an id go, and the order of rows doesn't matter."""
+    a, b, c = prose(40), " ".join(f"q{k}" for k in range(40)), " ".join(f"z{k}" for k in range(40))
+    table = [(1, a), (1, b), (2, f"{a} more"), (None, b), (None, c), (None, f"{c} end"), (3, b), (3, b), (5, ""), (5, None), (None, None)]
+    want = sorted([(1, a), (1, b), (None, min(c, f"{c} end", key=lambda t: hashlib.sha256(t.encode()).hexdigest())), (5, ""), (5, None), (None, None)], key=str)
+    for some in (table, table[::-1]):
+        df = docs(spark, some).withColumn("row_key", F.lit("x"))
+        got = jaccard_join.keep_one_of_each(df)
+        assert got.columns == df.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == want
+
+
+def test_frequent_cells_hold_all_frequent_tokens():
+    """Whatever the pieces and tasks, tokens in SHARE of all documents are found, and rare ones are not."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    common = [" ".join(f"c{k}{j}" for j in range(5)) for k in range(3)]
+    texts = [" ".join([common[k % 3]] * (k % 4 == 0) + [f"u{k}x{j}" for j in range(30)]) for k in range(3000)]
+    texts = [texts[k] for k in rng.permutation(3000)]
+    for size, piece in ((3000, 1 << 20), (500, 4000), (1000, 300)):
+        kept, jaccard_join.PIECE = jaccard_join.PIECE, piece
+        sums = Counter()
+        for a in range(0, 3000, size):
+            batch = pa.RecordBatch.from_pydict({"doc_id": list(range(a, a + size)), "text": texts[a : a + size]})
+            for out in jaccard_join._profile(5)(iter([batch])):
+                for cell, times in zip(out.column("cell").to_pylist(), out.column("times").to_pylist()):
+                    sums[cell] += times or 0
+        jaccard_join.PIECE = kept
+        sums.pop(None)
+        frequent = jaccard_join.frequent_cells(np.array([c for c, n in sums.items() if n >= max(16, jaccard_join.SHARE * 3000 * 3 / 4)]))
+        data = np.frombuffer("\n".join([*common, texts[0]]).encode(), np.uint8)
+        at = np.concatenate([[0], np.cumsum([len(t) + 1 for t in [*common, texts[0]]])])
+        at[-1] -= 1
+        sets = jaccard_join.text_sets(None, data, at)
+        assert all(frequent(s).all() for s in sets[:3]) and frequent(sets[3]).sum() <= 6
+
+
+def _matches_plainly(table, items):
+    """Every text against every item, in the item's own windows, without an index or blocks."""
+    hashed = [(i, t, decontam.words_of(t)) for i, t in items if t and len(decontam.words_of(t))]
+    total, mean = sum(t is not None for _, t in items), np.mean([len(w) for _, _, w in hashed] + [0] * (sum(t is not None for _, t in items) - len(hashed)))
+    df = Counter(x for _, _, w in hashed for x in set(w.tolist()))
+    out = {}
+    for doc, text in table:
+        words = decontam.words_of(text or "")
+        for item, t, w in hashed:
+            impact = {x: np.log1p((total - df[x] + 0.5) / (df[x] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(w) / mean)) for x, n in Counter(w.tolist()).items()}
+            own, step = sum(impact.values()), max(32, len(w))
+            wanted, size, answer = decontam._wanted(t, w)
+            if len(w) == 1 and len(words) > 1:
+                continue
+            for a in range(0, len(words), step):
+                here = words[a : a + 2 * step].tolist()
+                score = sum(v for x, v in impact.items() if x in set(here)) / own
+                grams = set(decontam.shingles(np.array(here, np.uint64), np.array([0, len(here)]), size)[0].tolist())
+                q, r = np.mean([x in grams for x in wanted.tolist()]), np.mean([x in set(here) for x in answer.tolist()])
+                if score >= decontam.THRESHOLD - 1e-9 and q >= 0.75 and r >= 0.75:
+                    out[doc, item] = max(out.get((doc, item), (0, 0, 0)), (score, q, r))
+    return out
+
+
+def test_decontamination_equals_brute_force(spark, monkeypatch):
+    """End to end; a long unrelated item or smaller shards change no verdict; items without an id count."""
+    rng = np.random.default_rng(11)
+    vocabulary = [f"v{i}" for i in range(120)]
+    text = lambda n: " ".join(rng.choice(vocabulary, n))
+    items = [(i if i != 7 else None, f"{text(int(rng.integers(3, 40)))}? {text(4)}.") for i in range(14)] + [(30, None), (31, "")]
+    table = [(100, "")]
+    for k in range(60):
+        question, answer = items[k % 14][1].split("?")
+        gap = [0, 3, 30, 300][k % 4]
+        table.append((k, f"{text(int(rng.integers(0, 200)))} {question} {text(gap)} {answer} {text(int(rng.integers(0, 60)))}"))
+    long = (40, " ".join(f"far{k}" for k in range(400)))
+    verdicts = []
+    for some, shard in ((items, 4000), (items, 3), ([*items, long], 4000), ([*items, long], 2)):
+        monkeypatch.setattr(decontam, "SHARD_ITEMS", shard)
+        got = {(r.doc_id, r.item_id): (r.score, r.question_overlap, r.answer_overlap) for r in decontam.contaminated(docs(spark, table), spark.createDataFrame(some, "item_id long, text string")).collect()}
+        want = _matches_plainly(table, some)
+        assert got.keys() == want.keys() and all(np.allclose(got[x], want[x]) for x in got)
+        verdicts.append({(x, *v[1:]) for x, v in got.items()})
+    assert verdicts[0] and all(v == verdicts[0] for v in verdicts) and any(x[1] is None for x in got)
