@@ -71,6 +71,8 @@ ORACLES: dict[str, str] = {
     "src_parquet_scan": "SELECT * FROM customer",
     "src_json_lines": "SELECT * FROM events",
     "src_json_multiline": _FLAT_SQL,
+    "src_json_ranges": _FLAT_SQL,
+    "src_missing_path": "SELECT * FROM supplier",
     "snk_parquet_overwrite": "SELECT * FROM orders",
     "snk_jdbc_overwrite": f"{_E} SELECT {_FLAT}, {_ATTRS} FROM e",
     "gate_nonempty": "SELECT n_nationkey, n_name, n_regionkey FROM nation",

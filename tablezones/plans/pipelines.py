@@ -17,14 +17,17 @@ from pyspark.sql.types import StructType
 from tablezones.errors import CorruptInputError, EmptyInputError
 from tablezones.functions.fields import column
 from tablezones.plans.countries import COUNTRIES, CountryRules, transform_countries
+from tablezones.sinks.guards import path_exists
 from tablezones.sinks.jdbc import prepare_for_jdbc, write_jdbc
 from tablezones.sinks.parquet import write_parquet
 from tablezones.sinks.report import WriteReport
-from tablezones.sources.json import CORRUPT_COLUMN, complete_schema, quarantined, read_json_documents
+from tablezones.sources.json import CORRUPT_COLUMN, complete_schema, file_key, quarantined, read_json_documents
+from tablezones.sources.json_ranges import RECORD_COLUMNS, broken_records, read_json_ranges
 from tablezones.sources.parquet import read_parquet
 
-#: Corrupt documents: "fail" keeps the foundation and raises; "quarantine" goes on without them.
-ON_CORRUPT = ("fail", "quarantine")
+#: Corrupt documents: "fail" keeps the foundation and raises; "quarantine" goes on without them; "salvage" reads
+#: documents by ranges and goes on without their broken records alone.
+ON_CORRUPT = ("fail", "quarantine", "salvage")
 
 
 def structured(
@@ -47,9 +50,17 @@ def structured(
     return read_json_documents(spark, raw_path, schema=complete_schema(schema, inferred.schema))
 
 
-def quarantine(raw: DataFrame, path: str) -> None:
-    """Add the malformed documents of ``raw`` to ``path``: file name, whole text and what could be parsed."""
-    quarantined(raw).write.mode("append").parquet(path)
+def quarantine(bad: DataFrame, path: str) -> None:
+    """Add malformed documents or records (file, modified, offset, text, parsed) to ``path``, but for those of files that it has already.
+
+    A file counts with its modification time, so a rerun of a failing job adds nothing and a corrected file that is
+    broken again does."""
+    spark = bad.sparkSession
+    if path_exists(spark, path):
+        known = read_parquet(spark, path)
+        if "modified" in known.columns:
+            bad = bad.join(known.select("file", "modified").distinct(), ["file", "modified"], "left_anti").select(*bad.columns)
+    bad.write.mode("append").parquet(path)
 
 
 def structure(
@@ -68,8 +79,10 @@ def structure(
     written to ``quarantine_path`` (default: ``<foundation>_quarantine``); then
     the job fails and keeps the previous foundation, or with
     ``on_corrupt="quarantine"`` publishes the other documents. A malformed
-    array document is quarantined as a whole file. Empty input raises and
-    leaves the previous foundation in place.
+    array document is quarantined as a whole file, or with
+    ``on_corrupt="salvage"`` only its broken records are, with their byte
+    offsets; that reader splits large documents into ranges and needs a schema.
+    Empty input raises and leaves the previous foundation in place.
 
     A multi-line JSON file is parsed by one task, so a raw zone of a few huge
     files gives a few huge foundation files; ``num_files`` rebalances the
@@ -77,18 +90,21 @@ def structure(
     makes deterministic for retries). Leave it unset for many-file zones."""
     if on_corrupt not in ON_CORRUPT:
         raise ValueError(f"on_corrupt must be one of {ON_CORRUPT}")
-    raw = structured(spark, raw_path, schema, landed_schema)
+    by_range = on_corrupt == "salvage"
+    if by_range and landed_schema is None and schema is None:
+        raise ValueError("salvage needs a schema")
+    raw = read_json_ranges(spark, raw_path, landed_schema or schema) if by_range else structured(spark, raw_path, schema, landed_schema)
     aside = quarantine_path or f"{foundation_path.rstrip('/')}_quarantine"
     if raw.columns == [CORRUPT_COLUMN]:  # inference found no well-formed record at all
         whole = spark.read.option("wholetext", True).text(raw_path)
-        whole.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"), F.lit("{}").alias("parsed")).write.mode("append").parquet(aside)
+        quarantine(whole.select(*file_key(), F.lit(0).cast("long").alias("offset"), F.col("value").alias("text"), F.lit("{}").alias("parsed")), aside)
         raise CorruptInputError(f"all documents under {raw_path} are malformed; see {aside}")
     seen = raw
     if CORRUPT_COLUMN in raw.columns:
         # Counted where the rows are read, in the pass that writes the good ones.
         counted = Observation()
         seen = raw.observe(counted, F.count_if(column(CORRUPT_COLUMN).isNotNull()).alias("corrupt_rows"))
-        seen = seen.where(column(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+        seen = seen.where(column(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN, *(RECORD_COLUMNS if by_range else ()))
     if num_files:
         seen = seen.repartition(num_files)
 
@@ -97,7 +113,7 @@ def structure(
 
     def accept(metrics: dict) -> None:
         if n := corrupt_rows():
-            quarantine(raw, aside)
+            quarantine(broken_records(raw) if by_range else quarantined(raw), aside)
             if on_corrupt == "fail":
                 raise CorruptInputError(f"{n} malformed documents under {raw_path}: see {aside}; previous foundation kept")
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablezones import testbed
+from tablezones.errors import MissingInputError
 from tablezones.functions import array_item, column, field_or_null, has_key, join_array, join_strings, json_text
 from tablezones.operators import (
     cast_columns,
@@ -36,6 +37,7 @@ from tablezones.fixed_values import TRANSLATION_CODES, TRANSLATION_PREFIX
 from tablezones.session import scratch_path
 from tablezones.sinks import land_json_documents, land_json_lines, prepare_for_jdbc, write_parquet
 from tablezones.sources import CORRUPT_COLUMN, read_json_documents, read_json_lines, read_parquet
+from tablezones.sources.json_ranges import RECORD_COLUMNS, read_json_ranges
 from tablezones.streaming import run_incremental_transform
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +73,25 @@ def src_json_multiline(spark, sf_dir):
     return flatten_complex(read_json_documents(spark, zones.raw))
 
 
+def src_json_ranges(spark, sf_dir):
+    zones, landed = _landed_feed(spark, sf_dir, "src_json_ranges")
+    return flatten_complex(read_json_ranges(spark, zones.raw, landed).drop(CORRUPT_COLUMN, *RECORD_COLUMNS))
+
+
+def src_missing_path(spark, sf_dir):
+    supplier = _table(spark, sf_dir, "supplier")
+    path = scratch_path(spark, "src_missing_path")
+    write_parquet(supplier, path)
+    refused = 0
+    for read in (read_parquet, read_json_documents, read_json_lines):
+        try:
+            write_parquet(read(spark, f"{path}_missing"), path)
+        except MissingInputError:
+            refused += 1
+    assert refused == 3  # every reader stops before anything is replaced
+    return read_parquet(spark, path, schema=supplier.schema)
+
+
 # --- sinks -----------------------------------------------------------------
 
 def snk_parquet_overwrite(spark, sf_dir):
@@ -267,6 +288,8 @@ QUERIES: dict[str, Query] = {
     "src_parquet_scan": src_parquet_scan,
     "src_json_lines": src_json_lines,
     "src_json_multiline": src_json_multiline,
+    "src_json_ranges": src_json_ranges,
+    "src_missing_path": src_missing_path,
     "snk_parquet_overwrite": snk_parquet_overwrite,
     "snk_jdbc_overwrite": snk_jdbc_overwrite,
     "gate_nonempty": gate_nonempty,

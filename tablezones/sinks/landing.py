@@ -7,7 +7,8 @@ own. Records are JSON-encoded by ``to_json`` in the JVM; a small per-partition
 Arrow step only joins them, holding one document at a time; nothing is grouped
 or shuffled, however large or skewed a partition is.
 
-Both writers replace the target by write-then-swap (see ``guards``).
+Both writers replace the target by write-then-swap (see ``guards``). A landing
+without rows keeps the zone that is there.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablezones.functions.fields import column
-from tablezones.sinks.guards import refuse_self_overwrite, replace_folder
+from tablezones.sinks.guards import path_exists, refuse_self_overwrite, replace_folder
 from tablezones.sinks.parquet import observed
 from tablezones.sinks.report import WriteReport
 from tablezones.sources.json import NTZ_FORMAT
@@ -60,10 +61,17 @@ def json_records(df: DataFrame) -> DataFrame:
 def _landed(df: DataFrame, path: str, mode: str, inputs: Sequence[str], write, obs) -> WriteReport:
     if mode == "overwrite":
         refuse_self_overwrite(df.sparkSession, path, inputs)
-        replace_folder(df.sparkSession, path, lambda folder: write("errorifexists", folder) or True)
+        first = not path_exists(df.sparkSession, path)
+
+        def landed(folder: str) -> bool:
+            write("errorifexists", folder)
+            return first or int(obs.get["rows"]) > 0
+
+        written = replace_folder(df.sparkSession, path, landed)
     else:
         write(mode, path)
-    return WriteReport(path, True, dict(obs.get), df.schema)
+        written = True
+    return WriteReport(path, written, dict(obs.get), df.schema)
 
 
 def land_json_documents(

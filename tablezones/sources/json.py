@@ -18,7 +18,7 @@ array document none of the records counts as read, whatever precedes the fault.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
@@ -81,11 +81,16 @@ def complete_schema(declared: StructType | str, inferred: StructType) -> StructT
     return StructType([f for f in _merged(declared, inferred).fields if f.name != CORRUPT_COLUMN])
 
 
+def file_key() -> list[Column]:
+    """Which file a row is from, and which state of it: a changed file is another one."""
+    return [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("modified")]
+
+
 def quarantined(raw: DataFrame) -> DataFrame:
-    """The malformed documents of a JSON frame: file name, text, and the fields parsed before the fault."""
+    """The malformed documents of a JSON frame: file name and modification time, byte offset, text, and the fields parsed before the fault."""
     fields = F.struct(*[column(c) for c in raw.columns if c != CORRUPT_COLUMN])
     bad = raw.where(column(CORRUPT_COLUMN).isNotNull())
-    return bad.select(F.col("_metadata.file_path").alias("file"), column(CORRUPT_COLUMN).alias("text"), F.to_json(fields).alias("parsed"))
+    return bad.select(*file_key(), F.lit(0).cast("long").alias("offset"), column(CORRUPT_COLUMN).alias("text"), F.to_json(fields).alias("parsed"))
 
 
 def read_json_documents(
