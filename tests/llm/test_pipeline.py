@@ -84,4 +84,4 @@ def test_entry_works_without_the_subpackage(tmp_path):
     )
     repo = os.path.dirname(os.path.abspath(entry.__file__))
     done = subprocess.run([sys.executable, "-c", script], env=dict(os.environ, PYTHONPATH=repo), capture_output=True, text=True, timeout=120)
-    assert done.returncode == 0 and done.stdout.split() == ["33", "33", "False"], done.stderr[-2000:]
+    assert done.returncode == 0 and done.stdout.split() == ["35", "35", "False"], done.stderr[-2000:]
