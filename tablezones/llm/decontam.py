@@ -15,8 +15,8 @@ bound, and items are left as soon as the remaining bounds cannot lift them.
 Pruning uses upper bounds only, so nothing above the threshold is missed.
 
 A retrieved pair is then scored and verified in windows of two strides of the
-item, a stride being its length (``LEAST_STRIDE`` words at least): one window must
-reach the threshold and hold, in word order, ``OVERLAP`` of the item's question
+item, a stride being its length rounded up to ``LEAST_STRIDE`` words times a power
+of two: one window must reach the threshold and hold, in word order, ``OVERLAP`` of the item's question
 five-word shingles, and of its answer's words. So a verdict depends on the item
 and the text, and on other items by their document frequencies alone.
 The answer is what follows an "answer:" mark, else the last sentence, else (one
@@ -26,8 +26,8 @@ words that no mark splits must stand in the passage as it is, all words in
 order; one of a single word, which any text may use, must be the whole text.
 
 Windows overlap by half, so every item that stands in a text lies whole in one. A
-passage is three strides of the longest item of the index and holds every window
-that begins in the first. The index is collected in shards of at most
+passage is two strides of the longest item of the index and, as strides divide one
+another, holds every window that begins in the first. The index is collected in shards of at most
 ``SHARD_ITEMS`` items, with document frequencies and mean length over all items;
 a larger test set takes more passes.
 
@@ -114,6 +114,13 @@ class Index:
     named: list[bool]  # whether it has an id
 
 
+def stride_of(words: int) -> int:
+    stride = LEAST_STRIDE
+    while stride < words:
+        stride *= 2
+    return stride
+
+
 def build_index(items: list[tuple[int, str]], df: dict[int, int], total: int, mean: float) -> Index:
     parsed = sorted(((i, t, words_of(t)) for i, t in items), key=lambda x: (len(x[2]), x[0] is None, x[0] or 0, x[1]))
     parsed = [x for x in parsed if len(x[2])]
@@ -135,7 +142,7 @@ def build_index(items: list[tuple[int, str]], df: dict[int, int], total: int, me
     return Index(
         np.array([i or 0 for i, _, _ in parsed], np.int64), terms, np.append(first, len(order)), item[order], impact[order], block, bound,
         [q for q, _, _ in wanted], [n for _, n, _ in wanted], [a for _, _, a in wanted], [len(w) == 1 for _, _, w in parsed],
-        max([LEAST_STRIDE, *(len(w) for _, _, w in parsed)]), [max(LEAST_STRIDE, len(w)) for _, _, w in parsed],
+        max([LEAST_STRIDE, *(stride_of(len(w)) for _, _, w in parsed)]), [stride_of(len(w)) for _, _, w in parsed],
         [(r[0], r[2]) for r in rows], [i is not None for i, _, _ in parsed],
     )
 
@@ -180,7 +187,7 @@ def _matches(index: Index):
 
 
 def _search(index: Index, words: np.ndarray, word_at: np.ndarray, docs: list, found: dict) -> None:
-    """Passages are three neighbouring strides of one text; bounds are summed by stride."""
+    """Passages are pairs of neighbouring strides of one text; bounds are summed by stride."""
     place = np.minimum(np.searchsorted(index.terms, words), len(index.terms) - 1)
     known = np.flatnonzero(index.terms[place] == words)
     n = np.diff(word_at)
@@ -200,13 +207,12 @@ def _search(index: Index, words: np.ndarray, word_at: np.ndarray, docs: list, fo
         bound[of[cut]] = np.add.reduceat(index.bound[term[cut[0] : end]], cut - cut[0], axis=0)
     passage = bound.copy()
     last = np.repeat(stride_at[1:], strides)  # of each stride's text
-    for k in (1, 2):
-        inner = np.flatnonzero(np.arange(len(bound)) + k < last)
-        passage[inner] += bound[inner + k]
+    inner = np.flatnonzero(np.arange(len(bound)) + 1 < last)
+    passage[inner] += bound[inner + 1]
     first_of = np.searchsorted(of, np.arange(len(bound) + 1))
     for k, block in zip(*np.nonzero(passage >= THRESHOLD)):
         owner = int(np.searchsorted(stride_at, k, "right") - 1)
-        end = min(k + 3, stride_at[owner + 1])
+        end = min(k + 2, stride_at[owner + 1])
         for item, _ in _score_block(index, np.unique(term[first_of[k] : first_of[end]]), block):
             if docs[owner] is None or index.single[item] and n[owner] > 1:
                 continue

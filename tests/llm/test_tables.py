@@ -386,7 +386,7 @@ def _matches_plainly(table, items):
         words = decontam.words_of(text or "")
         for item, t, w in hashed:
             impact = {x: np.log1p((total - df[x] + 0.5) / (df[x] + 0.5)) * n * 2.2 / (n + 1.2 * (0.25 + 0.75 * len(w) / mean)) for x, n in Counter(w.tolist()).items()}
-            own, step = sum(impact.values()), max(32, len(w))
+            own, step = sum(impact.values()), 32 * 2 ** max(0, int(np.ceil(np.log2(len(w) / 32))))
             wanted, size, answer = decontam._wanted(t, w)
             if len(w) == 1 and len(words) > 1:
                 continue
