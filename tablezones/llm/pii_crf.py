@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cache
 
 import numpy as np
@@ -44,6 +44,8 @@ TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|[^\sA-Za-z0-9]|[^\W]")
 #: Bytes on either side of a signal that belong to its chain, up to the next space.
 REACH = 40
 EXAMPLES, EPOCHS, STEP, RIDGE = 300, 80, 0.1, 1e-3
+#: Contexts whose scores a task keeps (some 400 bytes each).
+KEPT_CONTEXTS = 50_000
 #: Words that stand before or within personal data.
 CUES = frozenset("at dot mail email contact phone tel call fax mobile ip host server address card visa payment version license order year page".split())
 
@@ -53,25 +55,36 @@ def luhn(digits: str) -> bool:
     return (sum(map(int, digits[-1::-2])) + sum(double)) % 10 == 0
 
 
-def _email_runs(text: str):
-    """Maximal runs of an address's characters around each at sign; a match never leaves one."""
-    allowed = re.compile(r"[A-Za-z0-9._%+@-]*")
-    back = re.compile(r"[A-Za-z0-9._%+@-]")
-    end, at = 0, text.find("@")
+# The same matches by scans whose time is linear in the text, whatever the runs in it.
+_LOCAL = re.compile(r"[A-Za-z0-9._%+-]*+")
+_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+")
+_CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
+
+
+def _emails(text: str):
+    """An address starts where its local characters do, but not before the last at sign or the last address's end.
+
+    Its domain does not depend on that start, so each at sign is tried once."""
+    free, at = 0, text.find("@")
     while at >= 0:
-        a = at
-        while a > end and back.match(text[a - 1]):
-            a -= 1
-        end = allowed.match(text, at).end()
-        yield a, end
-        at = text.find("@", end)
+        local = _LOCAL.match(text[free:at][::-1]).end()
+        free = at + 1
+        if local and (domain := _DOMAIN.match(text, free)):
+            free = domain.end()
+            yield at - local, free
+        at = text.find("@", free)
+
+
+def _octets(value: str) -> bool:
+    return all(len(p) <= 3 and int(p) <= 255 for p in (x.lstrip("0") or "0" for x in value.split(".")))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of all base spans, sorted."""
-    found = [(m.start(), 0, m.end()) for a, b in _email_runs(text) for m in EMAIL.finditer(text, a, b)]
-    found += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m.group().split(".") if len(x) < 999) and max(map(len, m.group().split("."))) < 999]
-    for m in CARD.finditer(text):
+    found = [(a, 0, b) for a, b in _emails(text)]
+    found += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if _octets(m.group())]
+    for m in _CARD.finditer(text):
         digits = re.sub("[^0-9]", "", m.group())
         if 14 <= len(digits) <= 19 and luhn(digits):
             found.append((m.start(), 2, m.end()))
@@ -133,20 +146,21 @@ def _shape(token: str) -> str:
     return token
 
 
-def _features(tokens: list[re.Match]) -> list[list[str]]:
-    """Word-shape features of each token of a chain."""
+def _contexts(tokens: list[re.Match]):
+    """What each token's features depend on: the shapes of five tokens, two gaps and four cues."""
     words = [t.group() for t in tokens]
     shape = ["^", "^", *[_shape(w) if len(w) < 40 else "long" for w in words], "$", "$"]
-    gap = [False, False, False, *[b.start() > a.end() for a, b in zip(tokens, tokens[1:])], False, False, False]
+    gap = [False, *[b.start() > a.end() for a, b in zip(tokens, tokens[1:])], False]
     cue = ["", "", *[w.lower() if w.lower() in CUES else "" for w in words], "", ""]
-    out = []
-    for i in range(2, len(words) + 2):
-        here = f"{shape[i]}{'_' if gap[i] else ''}"
-        out.append(
-            ["bias", f"0{here}", f"-1{shape[i - 1]}", f"+1{shape[i + 1]}", f"-2{shape[i - 2]}{shape[i - 1]}", f"+2{shape[i + 1]}{shape[i + 2]}", f"-{shape[i - 1]}|{here}", f"+{here}|{shape[i + 1]}{gap[i + 1]}",
-             f"={shape[i - 1]}|{here}|{shape[i + 1]}", f"++{here}|{shape[i + 1]}|{shape[i + 2]}", f"--{shape[i - 2]}|{shape[i - 1]}|{here}", f"c{cue[i]}", f"c-{cue[i - 1]}", f"c-2{cue[i - 2]}", f"c+{cue[i + 1]}"]
-        )
-    return out
+    return zip(shape, shape[1:], shape[2:], shape[3:], shape[4:], gap, gap[1:], cue, cue[1:], cue[2:], cue[3:])
+
+
+def _features(context: tuple) -> list[str]:
+    """Word-shape features of a token."""
+    before2, before, own, after, after2, gap, gap_after, cue_before2, cue_before, cue, cue_after = context
+    here = f"{own}{'_' if gap else ''}"
+    return ["bias", f"0{here}", f"-1{before}", f"+1{after}", f"-2{before2}{before}", f"+2{after}{after2}", f"-{before}|{here}", f"+{here}|{after}{gap_after}",
+            f"={before}|{here}|{after}", f"++{here}|{after}|{after2}", f"--{before2}|{before}|{here}", f"c{cue}", f"c-{cue_before}", f"c-2{cue_before2}", f"c+{cue_after}"]
 
 
 @dataclass
@@ -157,15 +171,23 @@ class Crf:
     emit: np.ndarray
     move: np.ndarray
     begin: np.ndarray
+    known: dict[tuple, np.ndarray] = field(default_factory=dict)
+
+    def scores(self, chains: list[list[re.Match]]) -> np.ndarray:
+        """Emission scores, chains x longest chain x tags; the padding scores zero.
 
-    def scores(self, chains: list[list[list[str]]]) -> np.ndarray:
-        """Emission scores, chains x longest chain x tags; the padding scores zero."""
+        A context is scored once and kept, up to a fixed number of contexts."""
         longest = max(map(len, chains))
         out = np.zeros((len(chains), longest, len(TAGS)))
-        get = self.names.get
+        get, known = self.names.get, self.known
         for i, chain in enumerate(chains):
-            for j, names in enumerate(chain):
-                out[i, j] = self.emit[[k for k in map(get, names) if k is not None]].sum(0)
+            for j, context in enumerate(_contexts(chain)):
+                row = known.get(context)
+                if row is None:
+                    if len(known) >= KEPT_CONTEXTS:
+                        known.clear()
+                    row = known[context] = self.emit[[k for k in map(get, _features(context)) if k is not None]].sum(0)
+                out[i, j] = row
         return out
 
     def viterbi(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -205,7 +227,7 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
 def train(table: list[tuple[str, list[tuple[int, int, int]]]]) -> Crf:
     """Maximum likelihood by forward-backward over the whole table, with Adam steps."""
     split = [list(TOKEN.finditer(text)) for text, _ in table]
-    feats = [_features(t) for t in split]
+    feats = [[_features(c) for c in _contexts(t)] for t in split]
     gold = [_tags_of(t, spans) for t, (_, spans) in zip(split, table)]
     names: dict[str, int] = {}
     for chain in feats:
@@ -299,7 +321,7 @@ def added_spans(model: Crf, texts: list[str], marks: list[list[int]]) -> list[li
         while to < len(chains) and (to + 1 - at) * len(chains[to][1]) <= 20_000:
             to += 1
         batch = chains[at:to]
-        tags = model.viterbi(model.scores([_features(t) for _, t in batch]), np.array([len(t) for _, t in batch]))
+        tags = model.viterbi(model.scores([t for _, t in batch]), np.array([len(t) for _, t in batch]))
         for (i, tokens), row in zip(batch, tags.tolist()):
             j = 0
             while j < len(tokens):

@@ -253,6 +253,34 @@ def test_base_spans_equal_the_plain_patterns(text):
     assert pii_crf.base_spans(text) == sorted(want)
 
 
+@pytest.mark.parametrize("run", ["7", "a", ".", "7.", "a@", "b.", "+1", "1-", "1 ", "(at"])
+def test_base_spans_take_linear_time_on_long_runs(run):
+    import time
+
+    n = 1_000_000 // len(run)
+    for text in (run * n, run * n + "@", "x@" + run * n, "a@b.c " + run * n + " 10.0.0.1"):
+        began = time.process_time()
+        spans = pii_crf.base_spans(text)
+        assert time.process_time() - began < 4  # the plain patterns take hours on some of these
+    assert spans[0] == (0, 0, 5) and spans[-1] == (len(text) - 8, 1, len(text))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.one_of(*[st.text(alphabet=list(a), max_size=60) for a in ("ab1@.-%", "12.@a", " +1234()-.@", "0129.", "1 -", "a@.b")]))
+def test_base_spans_equal_the_plain_patterns_on_dense_texts(text):
+    test_base_spans_equal_the_plain_patterns.hypothesis.inner_test(text)
+
+
+def test_a_context_is_scored_alike_whether_kept_or_not(monkeypatch):
+    model = pii_crf.train(pii_crf.labelled_table(40))
+    chains = [list(pii_crf.TOKEN.finditer(t)) for t in ("call 555-1234 now", "mail a (at) b (dot) com", "call 555-1234 now")]
+    first = model.scores(chains)
+    monkeypatch.setattr(pii_crf, "KEPT_CONTEXTS", 2)
+    model.known.clear()
+    again = model.scores(chains)
+    assert len(model.known) <= 2 and (first == again).all() and (first[0] == first[2]).all()
+
+
 def test_the_field_learns_forms_that_the_patterns_miss():
     model = pii_crf.train(pii_crf.labelled_table())
     marks = lambda t: sorted({m.start() for m in re.finditer("[0-9@]", t)} | {m.start() for m in pii_crf._SPELLED.finditer(t)})
