@@ -16,7 +16,8 @@ partial step in each task; a hot host spreads over its lines.
 Null texts stay null, empty ones empty; a null host is a host of its own.
 Repeated rows are pages of their own. A host of fewer than ``min_pages`` pages
 with a line keeps it. A page that loses all lines keeps an empty text. Other
-columns, of any name, stay as they are. An empty table gives an empty table.
+columns, of any name, stay as they are; with ``counts``, ones named n_lines or
+n_dropped are replaced. An empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -62,6 +63,7 @@ def drop_boilerplate(
     clean = F.when(F.col(drops).isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     out = [F.when(F.col(text).isNull(), F.lit(None)).otherwise(clean).alias(text) if c == text else F.col(c) for c in pages.columns]
     if counts:
+        out = [c for c, name in zip(out, pages.columns) if name.lower() not in ("n_lines", "n_dropped")]
         n = F.coalesce(F.size(lines), F.lit(0)).cast("long")
         left = F.when(F.col(drops).isNull(), n).otherwise(F.size(kept)).cast("long")
         out += [F.when(F.col(text).isNull(), 0).otherwise(n).cast("long").alias("n_lines"), F.when(F.col(text).isNull(), 0).otherwise(n - left).cast("long").alias("n_dropped")]

@@ -85,15 +85,26 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op9_quote_links": r"""
         WITH RECURSIVE l AS (
-            SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM conversations
+            SELECT r, conv_id, turn, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+            FROM (SELECT *, row_number() OVER () AS r FROM conversations)
             WHERE text IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL
-        ), lines AS (
-            SELECT DISTINCT conv_id, turn, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]*)*'), '[^>]', '', 'g')) AS level,
+        ), parsed AS (
+            SELECT r, conv_id, turn, i, length(regexp_replace(regexp_extract(line, '^[ \t]*(?:>[ \t]*)*'), '[^>]', '', 'g')) AS level,
                    lower(trim(regexp_replace(regexp_replace(line, '^[ \t]*(?:>[ \t]*)*', ''), '[ \t]+', ' ', 'g'), ' ')) AS plain FROM l
+        ), turned AS (
+            SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY r ORDER BY i) THEN 0 ELSE 1 END AS fresh FROM parsed WHERE plain <> ''
+        ), numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS block FROM turned),
+        passages AS (
+            SELECT conv_id, turn, level, string_split(string_agg(plain, ' ' ORDER BY i), ' ') AS w FROM numbered GROUP BY r, block, conv_id, turn, level
+        ), lines AS (
+            SELECT conv_id, turn, level, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                   ELSE list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' ')) END) AS plain FROM passages
+            UNION
+            SELECT conv_id, turn, level, plain FROM parsed WHERE level = 0 AND plain <> '' AND len(string_split(plain, ' ')) < 5
         ), found AS (
             SELECT q.conv_id, q.turn, q.level, q.plain, max(o.turn) AS origin FROM lines q
             JOIN lines o ON o.conv_id = q.conv_id AND o.plain = q.plain AND o.turn < q.turn AND o.level = 0
-            WHERE q.level > 0 AND q.plain <> '' GROUP BY ALL
+            WHERE q.level > 0 GROUP BY ALL
         ), votes AS (SELECT conv_id, turn, level, origin, count(*) AS hits FROM found GROUP BY ALL),
         best AS (
             SELECT conv_id, turn, origin FROM votes
@@ -126,25 +137,26 @@ ORACLES: dict[str, str] = {
                CASE WHEN n >= {warc.REVISIT_BYTES} AND page_id <> top THEN top END AS refers_to
         FROM m""",
     "op3_line_dedup": f"""
-        WITH lines AS (
-            SELECT doc_id, source, l.i AS i, l.line AS line
-            FROM (SELECT doc_id, source, unnest(list_zip(string_split(text, chr(10)), range(1, len(string_split(text, chr(10))) + 1))) AS z FROM documents) t,
+        WITH pages AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM documents), lines AS (
+            SELECT r, source, l.i AS i, l.line AS line
+            FROM (SELECT r, source, unnest(list_zip(string_split(text, chr(10)), range(1, len(string_split(text, chr(10))) + 1))) AS z FROM pages) t,
                  LATERAL (SELECT z[1] AS line, z[2] AS i) l
         ), total AS (SELECT source, count(*) AS total FROM documents GROUP BY source),
         common AS (
-            SELECT source, trim(line, ' ') AS line, count(DISTINCT doc_id) AS n FROM lines
+            SELECT source, trim(line, ' ') AS line, count(DISTINCT r) AS n FROM lines
             WHERE trim(line, ' ') <> '' GROUP BY 1, 2
         ), bad AS (
-            SELECT c.source, c.line FROM common c JOIN total t ON c.source = t.source
+            SELECT c.source, c.line FROM common c JOIN total t ON c.source IS NOT DISTINCT FROM t.source
             WHERE c.n >= {line_dedup.MIN_PAGES} AND c.n > t.total * CAST({line_dedup.RATIO} AS DOUBLE)
         ), judged AS (
-            SELECT a.doc_id, a.i, a.line, b.line IS NOT NULL AS dropped FROM lines a
-            LEFT JOIN bad b ON a.source = b.source AND trim(a.line, ' ') = b.line
+            SELECT a.r, a.i, a.line, b.line IS NOT NULL AS dropped FROM lines a
+            LEFT JOIN bad b ON a.source IS NOT DISTINCT FROM b.source AND trim(a.line, ' ') = b.line
         ), done AS (
-            SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped) AS clean,
+            SELECT r, string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped) AS clean,
                    count(*) AS n_lines, CAST(count(*) FILTER (WHERE dropped) AS BIGINT) AS n_dropped
-            FROM judged GROUP BY doc_id
+            FROM judged GROUP BY r
         )
-        SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(clean, '') END AS text, n_lines, n_dropped
-        FROM documents d JOIN done USING (doc_id)""",
+        SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(clean, '') END AS text,
+               coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped
+        FROM pages d LEFT JOIN done USING (r)""",
 }

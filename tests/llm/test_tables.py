@@ -84,6 +84,7 @@ def test_line_dedup(spark):
     site = [(i, f"menu\nown line {i}\n menu \n\nshared {i % 4}", "a") for i in range(20)]
     site += [(100, "menu\nonly", "b"), (101, None, "a"), (102, "", "a"), (103, "menu", None), (104, "menu", None), (105, "menu", None), (106, "menu", "a"), (106, "menu", "a")]
     df = spark.createDataFrame(site, "doc_id long, text string, source string").withColumns({"host": F.lit("h"), "boilerplate_drops": F.lit(1), "line": F.lit(2)})
+    again = line_dedup.drop_boilerplate(df.withColumns({"N_Lines": F.lit("old"), "n_dropped": F.lit("old")}), ratio=0.3, counts=True)
     got = line_dedup.drop_boilerplate(df, ratio=0.3, counts=True)
     assert got.columns == [*df.columns, "n_lines", "n_dropped"]
     totals = Counter(s for _, _, s in site)
@@ -96,9 +97,26 @@ def test_line_dedup(spark):
         kept = [x for x in lines if (s, x.strip(" ")) not in bad]
         want.append((i, None if t is None else "\n".join(kept), s, len(lines), len(lines) - len(kept)))
     assert rows(got.select("doc_id", "text", "source", "n_lines", "n_dropped")) == sorted(want, key=str)
+    assert again.columns == got.columns and rows(again) == rows(got)
     assert line_dedup.drop_boilerplate(df.limit(0)).collect() == []
 
 
+def test_line_dedup_equals_its_sql_on_repeated_ids_and_null_sources(spark, tmp_path):
+    import duckdb
+
+    from tablezones.llm.queries import ORACLES, op3_line_dedup
+
+    site = [(1, "menu\none", None), (1, "menu\none", None), (1, " menu\ntwo\n", None), (1, "menu", None), (2, "three", None), (None, "menu\nfour", "a"), (None, "x\nmenu", "a"), (3, "menu", "a"), (4, None, "a"), (5, "", "b")]
+    spark.createDataFrame(site, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = op3_line_dedup(spark, str(tmp_path))
+    cursor = con.execute(ORACLES["op3_line_dedup"])
+    order = [[d[0] for d in cursor.description].index(n) for n in got.columns]
+    assert rows(got) == sorted((tuple(r[i] for i in order) for r in cursor.fetchall()), key=str)
+    assert sum(r.n_dropped for r in got.collect()) == 7
+
+
 def test_personal_data(spark):
     text = "Ünder ann@b.org, 10.1.2.3 and 4111 1111 1111 1111 or (569) 555-4877; +1 (652) 555-5229."
     got = {r.doc_id: r for r in pii_crf.find_personal_data(docs(spark, [(10, text), *AWKWARD])).collect()}
@@ -227,6 +245,11 @@ CHAT = [
     (3, 0, "user", "Hello there"), (3, 1, "user", "Hello there"), (3, 2, "user", " > Hello there"),
     (3, 2, "user", "a repeated turn"),
     (None, 0, "user", "no id"), (4, None, None, "> no turn"),
+    (5, 0, "user", "The first line of a passage\nthat goes on here.\n\nAnd on."),
+    (5, 1, "assistant", "Something else that was said in between"),
+    (5, 2, "user", "> The first line\n> of a passage that\n>\n> goes on  here. And on.\nwrapped anew"),
+    (5, 3, "user", "> passage that goes on here.\n>> something else that\n>> was said\na part, and a deeper quote"),
+    (5, 4, "user", "> And\n> on.\n> wrapped anew\nshort ones"),
 ]
 
 
@@ -244,6 +267,9 @@ def test_quotation_links(spark, tmp_path):
     assert [by[1, t][3] for t in range(7)] == [None, 0, 0, 2, 3, 4, 5]
     assert [by[1, t][4] for t in range(5)] == [0, 1, 1, 2, 3] and by[1, 2][6] == "replying to the first"
     assert by[2, 0][3] is None and by[2, 5][3] is None and by[3, 2][3] == 1 and by[1, 3][5] == 2
+    assert [by[5, t][3] for t in range(5)] == [None, 0, 0, 0, 3]
+    clashing = quotes.reply_ordered(df.withColumns({"Depth": F.lit("x"), "reply_to": F.lit("x"), "before": F.lit("x"), "chat": F.lit("x"), "n_quoted": F.lit("x")}))
+    assert rows(clashing.select(names)) == got and [c.lower() for c in clashing.columns].count("depth") == 1 and "before" in clashing.columns
     con = duckdb.connect()
     path = str(tmp_path / "chat")
     df.drop("level", "passage").write.parquet(path)
@@ -254,6 +280,14 @@ def test_quotation_links(spark, tmp_path):
     assert quotes.reply_ordered(df.limit(0)).collect() == []
 
 
+def test_quoting_a_very_long_message(spark):
+    words = [f"w{i}" for i in range(200_000)]
+    long = "\n".join(" ".join(words[i : i + 11]) for i in range(0, len(words), 11))
+    again = "\n".join("> " + " ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+    df = spark.createDataFrame([(1, 0, "user", long), (1, 1, "user", "no"), (1, 2, "user", again)], "conv_id long, turn long, role string, text string")
+    assert {r.turn: r.reply_to for r in quotes.reply_ordered(df).collect()} == {0: None, 1: 0, 2: 0}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (500, 500), (139, 200), (None, 3)]
     got = {r.node: r.component for r in cc.components(spark.createDataFrame(edges, "a long, b long")).collect()}
