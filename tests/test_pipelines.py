@@ -535,3 +535,70 @@ def test_incremental_stream_counts_across_micro_batches(spark, tmp_path, zones):
     assert result["rows"] == 3 and result["corrupt_rows"] == 0
     out = read_parquet(spark, trusted)
     assert out.count() == 3 and out.select("country_id").distinct().count() == 3
+
+
+def test_incremental_stream_misses_no_file_that_lands_or_is_archived_meanwhile(spark, tmp_path, zones, monkeypatch):
+    """A bad and a good file land after the raw zone was read, then the raw files are archived one by one."""
+    from tablezones.streaming import incremental
+
+    schema = read_json_documents(spark, zones.raw).schema
+    trusted, archive = str(tmp_path / "stream_race"), str(tmp_path / "archive")
+    record = lambda name: json.dumps([dict(FIXTURE, name={"common": name, "official": "o"})])
+    run = lambda: run_incremental_transform(spark, zones.raw, trusted, schema, str(tmp_path / "ck"), max_files_per_trigger=1, archive_dir=archive)
+    follow = incremental.start_quarantine
+
+    def landing(*args, **kw):
+        _write(zones.raw, "late_bad.json", BROKEN)
+        _write(zones.raw, "late_good.json", record("late"))
+        query = follow(*args, **kw)
+        query.awaitTermination()
+        _write(zones.raw, "later_bad.json", BROKEN)
+        return query
+
+    monkeypatch.setattr(incremental, "start_quarantine", landing)
+    totals = [run()]
+    monkeypatch.setattr(incremental, "start_quarantine", follow)
+    for i in range(2):
+        _write(zones.raw, f"next{i}.json", record(f"next{i}"))
+        totals.append(run())
+    assert sum(t["rows"] for t in totals) == 4 and sum(t["corrupt_rows"] for t in totals) == 2
+    aside = read_parquet(spark, trusted + "_quarantine")
+    assert sorted(os.path.basename(r.file) for r in aside.collect()) == ["late_bad.json", "later_bad.json"]
+    assert aside.columns == ["file", "modified", "offset", "text", "parsed"]
+    archived = {f for _, _, fs in os.walk(archive) for f in fs}
+    assert {"raw.json", "late_bad.json", "late_good.json", "later_bad.json"} <= archived
+
+
+def test_incremental_stream_completes_a_run_that_stopped_half_way(spark, tmp_path, zones, monkeypatch):
+    from tablezones.streaming import incremental
+
+    schema = read_json_documents(spark, zones.raw).schema
+    _write(zones.raw, "broken.json", BROKEN)
+    trusted = str(tmp_path / "stream_stopped")
+    run = lambda: run_incremental_transform(spark, zones.raw, trusted, schema, str(tmp_path / "ck"))
+
+    def fails(*args, **kw):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "start_incremental_transform", fails)
+        with pytest.raises(RuntimeError, match="stopped"):
+            run()
+    result = run()
+    assert result["rows"] == 1 and result["corrupt_rows"] == 0  # quarantined by the run that stopped
+    assert read_parquet(spark, trusted + "_quarantine").count() == 1 and run()["rows"] == 0
+
+
+def test_incremental_stream_on_an_empty_zone_and_on_an_old_checkpoint(spark, tmp_path):
+    z = Zones.under(str(tmp_path))
+    os.makedirs(z.raw)
+    schema = "name struct<common:string,official:string>, _document string"
+    from pyspark.sql.types import StructType
+
+    run = lambda: run_incremental_transform(spark, z.raw, z.trusted, StructType.fromDDL(schema), str(tmp_path / "ck"))
+    assert run() == {"rows": 0, "corrupt_rows": 0} or run()["rows"] == 0
+    _write(z.raw, "a.json", json.dumps([{"name": {"common": "c", "official": "o"}, "_document": "a field of that name"}]))
+    assert run()["rows"] == 1
+    os.makedirs(tmp_path / "ck" / "transform")
+    with pytest.raises(ValueError, match="fresh checkpoint"):
+        run()
