@@ -29,6 +29,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         text = np.frombuffer(data, np.uint8)[own[0] : own[-1]] if data is not None else np.zeros(0, np.uint8)
         yield rows.set_column(i, column, texts), text, own - own[0]
         at = to
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks; what earlier batches took goes back
 
 
 def worker_state() -> dict:

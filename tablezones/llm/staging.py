@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +21,35 @@ from tablezones.session import scratch_path
 BROADCAST_ROWS = 1_000_000
 
 
+#: Bytes after which a batch goes to the Python steps of a staged table, on both sides of the pipe; rows are never cut.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs run inside hand batches of ``most`` bytes to Python; a smaller setting of the session stays.
+
+    Spark reads the setting when a job starts, so it goes back to what it was."""
+    before = spark.conf.get(_BATCH_SETTING)
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmg]?)i?b?", before.strip().lower()).groups()
+    own = int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit]
+    if 0 < own <= most:
+        yield
+        return
+    spark.conf.set(_BATCH_SETTING, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet in a fresh shared folder and read back."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

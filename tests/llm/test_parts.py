@@ -387,3 +387,31 @@ def test_parts_of_token_files_keep_the_order(rows, bounds):
     rows.sort()
     part = part_of(np.array([i for i, _ in rows]), np.array([p for _, p in rows]), np.array(sorted(bounds), np.int64))
     assert (np.diff(part) >= 0).all() and part.min() >= 0 and part.max() <= len(bounds)
+
+
+def test_staged_tables_hand_small_batches_to_python(spark):
+    from tablezones.llm import staging
+
+    def widest(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([len(batch)])], ["width", "n"])
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    wide = spark.range(40).repartition(1).selectExpr("id", "repeat('x', 1000000) AS text")
+    got = staging.staged(wide.mapInArrow(widest, "width long, n long"), "widths").collect()
+    assert sum(r.n for r in got) == 40 and max(r.width for r in got) <= staging.BATCH_BYTES + (2 << 20)
+    assert spark.conf.get(setting) == before
+    try:
+        spark.conf.set(setting, "2m")
+        with staging.small_batches(spark):
+            assert spark.conf.get(setting) == "2m"  # a smaller one stays
+        spark.conf.set(setting, "1g")
+        with pytest.raises(ZeroDivisionError), staging.small_batches(spark):
+            assert spark.conf.get(setting) == str(staging.BATCH_BYTES)
+            1 / 0
+        assert spark.conf.get(setting) == "1g"
+    finally:
+        spark.conf.set(setting, before)
