@@ -124,9 +124,21 @@ ORACLES: dict[str, str] = {
             for name, nested, value in _PROFILED
         )
     ),
+    "profile_sketches": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_values, count(DISTINCT {c}) AS n_distinct, "
+        "true AS distinct_ok, true AS ranks_ok, true AS top_ok FROM lineitem"
+        for c in ("l_partkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    ),
     "pipe_structure": _FLAT_SQL,
     "pipe_transform": _TRUSTED_SQL,
     "pipe_save": _TRUSTED_SQL,
     "pipe_end_to_end": _TRUSTED_SQL,
     "pipe_transform_stream": _TRUSTED_SQL,
+    "pipe_changes": (
+        "WITH b AS (SELECT o_orderkey AS k, 'O' AS status FROM orders WHERE o_orderstatus <> 'P'), "
+        "a AS (SELECT o_orderkey AS k, o_orderstatus AS status FROM orders WHERE o_orderpriority <> '5-LOW') "
+        "SELECT coalesce(a.k, b.k) AS o_orderkey, CASE WHEN b.k IS NULL THEN 'inserted' WHEN a.k IS NULL THEN 'deleted' "
+        "ELSE 'changed' END AS change, (b.k IS NOT NULL)::BIGINT AS n_old, (a.k IS NOT NULL)::BIGINT AS n_new, 1::INTEGER AS version "
+        "FROM b FULL JOIN a ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.status <> b.status"
+    ),
 }

@@ -1,3 +1,4 @@
+from tablezones.plans.changes import apply_changes, changed_rows, record_changes, zone_changes
 from tablezones.plans.countries import (
     COUNTRIES,
     FEED_SCHEMA,
@@ -29,8 +30,11 @@ __all__ = [
     "FEED_SCHEMA",
     "CountryRules",
     "Zones",
+    "apply_changes",
+    "changed_rows",
     "derive_columns",
     "key_only",
+    "record_changes",
     "run_end_to_end",
     "save",
     "serving_frame",
@@ -39,4 +43,5 @@ __all__ = [
     "transform",
     "transform_countries",
     "transformed",
+    "zone_changes",
 ]

@@ -19,20 +19,24 @@ from tablezones.errors import MissingInputError
 from tablezones.functions import array_item, column, field_or_null, has_key, join_array, join_strings, json_text
 from tablezones.operators import (
     cast_columns,
+    describe_sketches,
     extract_variants,
     flatten_complex,
     join_attach_key,
     key_name,
     map_sum,
+    merge_sketches,
     preview,
     profile_columns,
     rename_columns,
     row_count,
     select_present,
+    sketch_columns,
     with_columns,
     with_uuid5_key,
 )
-from tablezones.plans import COUNTRIES, Zones, key_only, run_end_to_end, serving_frame, structure, transform
+from tablezones.operators.sketches import FREQUENT_ERROR, RANK_ERROR, distinct_error
+from tablezones.plans import COUNTRIES, Zones, key_only, record_changes, run_end_to_end, serving_frame, structure, transform
 from tablezones.fixed_values import TRANSLATION_CODES, TRANSLATION_PREFIX
 from tablezones.session import scratch_path
 from tablezones.sinks import land_json_documents, land_json_lines, prepare_for_jdbc, write_parquet
@@ -241,6 +245,42 @@ def profile_columns_q(spark, sf_dir):
     return profile_columns(testbed.entities(spark, sf_dir))
 
 
+def profile_sketches(spark, sf_dir):
+    """Sketches of two parts of lineitem, merged, and whether they are within bounds of the exact figures."""
+    names, quantiles = ["l_partkey", "l_quantity", "l_extendedprice", "l_returnflag"], (0.25, 0.5, 0.75)
+    lineitem = _table(spark, sf_dir, "lineitem").select(*names, "l_linestatus")
+    shipped = F.col("l_linestatus").eqNullSafe("F")
+    parts = [sketch_columns(lineitem.where(side), names) for side in (shipped, ~shipped)]
+    drawn = {r["column_name"]: r for r in describe_sketches(merge_sketches(*parts), quantiles).collect()}  # a row a column
+    # Quantiles and counts hold with high probability; three times their bounds hold always, in effect.
+    aggs = [F.count(F.lit(1)).alias("n_rows")]
+    for name in names:
+        d, c = drawn[name], F.col(name)
+        n, ok = F.count(c), F.lit(True)
+        aggs += [n.alias(f"n_{name}"), F.countDistinct(c).alias(f"distinct_{name}")]
+        for q, value in zip(quantiles, d["quantiles"] or []):
+            ok = ok & (F.count_if(c < value) <= (q + 3 * RANK_ERROR) * n) & (F.count_if(c <= value) >= (q - 3 * RANK_ERROR) * n)
+        aggs.append(ok.alias(f"ranks_{name}"))
+        ok = F.lit(True)
+        for item, times in d["top"]:
+            ok = ok & (F.abs(F.count_if(c.cast("string") == item) - times) <= 3 * FREQUENT_ERROR * n)
+        aggs.append(ok.alias(f"top_{name}"))
+    exact = lineitem.agg(*aggs)
+    rows = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.col("n_rows"),
+            (F.lit(drawn[name]["n_rows"]) - drawn[name]["n_nulls"]).alias("n_values"),
+            F.col(f"distinct_{name}").alias("n_distinct"),
+            (F.abs(F.col(f"distinct_{name}") - drawn[name]["n_distinct"]) <= 4 * distinct_error() * F.col(f"distinct_{name}")).alias("distinct_ok"),
+            F.col(f"ranks_{name}").alias("ranks_ok"),
+            F.col(f"top_{name}").alias("top_ok"),
+        )
+        for name in names
+    ]
+    return exact.select(F.inline(F.array(*rows)))
+
+
 # --- pipelines -------------------------------------------------------------
 
 def pipe_structure(spark, sf_dir):
@@ -284,6 +324,21 @@ def pipe_transform_stream(spark, sf_dir):
     return read_parquet(spark, zones.trusted)
 
 
+def pipe_changes(spark, sf_dir):
+    """Two versions of the orders zone and the recorded history of what changed between them."""
+    orders = _table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "pipe_changes")
+    # Before: no pending orders yet, and all others open. After: without those of low priority.
+    before = orders.where("o_orderstatus <> 'P'").withColumn("o_orderstatus", F.lit("O"))
+    after = orders.where("o_orderpriority <> '5-LOW'")
+    versions = []
+    for number, version in enumerate((before, after)):
+        report = write_parquet(version, f"{root}/orders-{number}")
+        versions.append(read_parquet(spark, report.target, schema=report.schema))
+    recorded = record_changes(*versions, ["o_orderkey"], f"{root}/history", version=1)
+    return read_parquet(spark, f"{root}/history", schema=f"{recorded.schema.toDDL()}, version int")
+
+
 QUERIES: dict[str, Query] = {
     "src_parquet_scan": src_parquet_scan,
     "src_json_lines": src_json_lines,
@@ -315,9 +370,11 @@ QUERIES: dict[str, Query] = {
     "agg_map_sum": agg_map_sum,
     "lim_preview": lim_preview,
     "profile_columns": profile_columns_q,
+    "profile_sketches": profile_sketches,
     "pipe_structure": pipe_structure,
     "pipe_transform": pipe_transform,
     "pipe_save": pipe_save,
     "pipe_end_to_end": pipe_end_to_end,
     "pipe_transform_stream": pipe_transform_stream,
+    "pipe_changes": pipe_changes,
 }
