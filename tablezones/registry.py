@@ -270,7 +270,7 @@ def profile_sketches(spark, sf_dir):
         F.struct(
             F.lit(name).alias("column_name"),
             F.col("n_rows"),
-            (F.lit(drawn[name]["n_rows"]) - drawn[name]["n_nulls"]).alias("n_values"),
+            F.lit(drawn[name]["n_rows"] - drawn[name]["n_nulls"]).cast("long").alias("n_values"),
             F.col(f"distinct_{name}").alias("n_distinct"),
             (F.abs(F.col(f"distinct_{name}") - drawn[name]["n_distinct"]) <= 4 * distinct_error() * F.col(f"distinct_{name}")).alias("distinct_ok"),
             F.col(f"ranks_{name}").alias("ranks_ok"),
