@@ -17,13 +17,19 @@ first ``n - ceil(t n) + 1`` tokens of each; prefixes that are longer by a share
   similar sets differ in so few tokens that two shared ones must be neighbours
   in both extended prefixes. One popular token then makes no candidate.
 
+Two documents that meet at one token mostly meet at many. Every row of a run
+names the next rarer token that its document kept; where that is the same token
+on both sides, the pair has met there, on no weaker terms, and is not made again.
+A run whose rows all name one token makes no pair of its own and is left out.
+
 Nothing is dropped. Candidates are tried in rounds. The first ones compare each
 document with a few centres of its runs, which joins most groups of copies; the
 last takes all remaining pairs of a run whose documents are not in one
 component yet. A pair is left if the bitmaps of its sets (each token flips one
-of ``BITS`` bits) differ in more bits than similar sets can differ in tokens.
-All others are verified on whole texts. The components are exact: a pair that
-is never compared is too far apart or already connected.
+of ``FINE`` bits) differ in more bits than similar sets can differ in tokens;
+the same bitmaps folded to ``BITS`` bits are compared first. All others are
+verified on whole texts. The components are exact: a pair that is never compared
+is too far apart or already connected.
 
 Frequent tokens are found by counts over all documents. Each task counts all
 its tokens in ``SKETCH`` tables of ``CELLS`` cells (a token has one cell in each)
@@ -41,6 +47,7 @@ row's work. An empty table gives an empty result. Only doc_id and text are read.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -67,7 +74,8 @@ RUN_ROWS = 1 << 20
 ROUNDS, RUN_CENTRES, CENTRES = 2, 5, 12
 #: Text bytes of the pairs that are verified at once; one pair of longer texts is a slice of its own.
 VERIFIED_BYTES = 1 << 20
-BITS = 512
+#: Bits of a set's bitmap, and of what the rows of the runs carry of it: long sets need many to be told apart.
+FINE, BITS = 2048, 512
 PROFILE = "doc_id long, n int, sig binary, bits array<long>, cell int, times long"
 POSTING = "token long, doc long, n int, combined boolean"
 RUN = POSTING + ", df int"
@@ -96,7 +104,7 @@ def _profile(words: int):
                     counts[table, cells] += times.astype(np.uint32)
                 n_docs += len(sets)
                 sigs = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
-                bits = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([bitmap(s) for s in sets])), BITS // 64).cast(pa.list_(pa.int64()))
+                bits = pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate([bitmap(s) for s in sets])), FINE // 64).cast(pa.list_(pa.int64()))
                 k = len(sets)
                 yield _profile_rows(rows.column("doc_id"), pa.array(list(map(len, sets)), pa.int32()), pa.array(sigs, pa.binary()), bits, pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64()))
         flat = counts.ravel()
@@ -131,8 +139,8 @@ def frequent_cells(cells: np.ndarray):
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """The parity of a set's tokens in each of ``BITS`` places, as 64-bit integers."""
-    odd = np.bincount((mix(s) >> np.uint64(32)).astype(np.int64) % BITS, minlength=BITS) & 1
+    """The parity of a set's tokens in each of ``FINE`` places, as 64-bit integers."""
+    odd = np.bincount((mix(s) >> np.uint64(32)).astype(np.int64) % FINE, minlength=FINE) & 1
     return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
 
 
@@ -229,12 +237,14 @@ def shared_least(n, m, percent: int = PERCENT):
 
 def kept_postings(runs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The runs' rows without each document's most frequent single tokens, as many as no similar pair
-    needs; ``left`` counts a document's tokens from this one on, in order of frequency."""
+    needs; ``left`` counts a document's tokens from this one on, in order of frequency, and ``rarer``
+    is the one after it (null after the last, and where texts of different sizes share a doc_id)."""
     n = F.col("n")
     # The bound falls towards both ends of the sizes that can be similar; 2 is for rounding.
     needs = F.least(shared_least(n, F.ceil(n * percent / 100), percent), shared_least(n, F.floor(n * 100 / percent), percent)) - 2
     by_doc = Window.partitionBy("doc", "combined").orderBy(F.desc("df"), F.desc("token"))
-    ranked = runs.withColumn("left", F.row_number().over(by_doc))
+    rarer = F.when(F.lead("n").over(by_doc) == n, F.lead("token").over(by_doc))
+    ranked = runs.withColumn("left", F.row_number().over(by_doc)).withColumn("rarer", rarer)
     return ranked.where(F.col("combined") | (F.col("left") >= needs)).drop("df")
 
 
@@ -294,14 +304,22 @@ def similar_components(documents: DataFrame, words: int = WORDS, percent: int =
     links = staged(equal, "links")
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     joined = stars.distinct()  # of equal sets: each points at the first
-    known = rows.where("doc_id IS NOT NULL AND n > 0").select(F.col("doc_id").alias("doc"), "n", "bits").distinct()
+    known = rows.where("doc_id IS NOT NULL AND n > 0").select(F.col("doc_id").alias("doc"), "n", F.col("bits").alias("fine")).distinct()
 
-    def near(n, m, x, y):
-        """Whether sizes and bitmaps allow the similarity."""
-        apart = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(BITS // 64)), F.lit(0))
+    def allowed(n, m, apart):
+        """Whether sizes and differing bits allow the similarity."""
         return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (apart * (100 + percent) <= (n + m) * (100 - percent))
 
-    open_runs = staged(_open_runs(runs, joined).join(known, ["doc", "n"]), "open-runs")
+    def near(n, m, x, y):
+        return allowed(n, m, sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(BITS // 64)), F.lit(0)))
+
+    def near_finely(n, m, x, y):
+        each = F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        return allowed(n, m, F.aggregate(each, F.lit(0), lambda total, k: total + k))
+
+    open_runs = staged(_open_runs(runs, joined).join(known.select("doc", "n", folded("fine").alias("bits")), ["doc", "n"]), "open-runs")
+    known = staged(known.join(open_runs.select("doc", "n").distinct(), ["doc", "n"], "left_semi"), "bitmaps")
+    sides = [known.select(F.col("doc").alias(c), F.col("n").alias(f"n_{c}"), F.col("fine").alias(f"fine_{c}")) for c in "ab"]
     for turn in range(ROUNDS + 1):
         if open_runs.isEmpty():
             break
@@ -320,12 +338,15 @@ def similar_components(documents: DataFrame, words: int = WORDS, percent: int =
             tried = with_centres.select("doc", F.explode(F.array_distinct(F.array_compact(F.array(*map(try_centre, range(RUN_CENTRES)))))).alias("to"))
             shared = tried.groupBy("doc", "to").agg(F.count("*").alias("shared"))
             rank = F.row_number().over(Window.partitionBy("doc").orderBy(F.desc("shared"), "to"))
-            pairs = shared.withColumn("rank", rank).where(F.col("rank") <= CENTRES).select(F.least("doc", "to").alias("a"), F.greatest("doc", "to").alias("b"))
+            pairs = shared.withColumn("rank", rank).where(F.col("rank") <= CENTRES).select(F.least("doc", "to").alias("a"), F.greatest("doc", "to").alias("b")).distinct()
+            pairs = pairs.join(sides[0], "a").join(sides[1], "b").where(near_finely(F.col("n_a"), F.col("n_b"), F.col("fine_a"), F.col("fine_b"))).select("a", "b")
         else:
-            x, y = (open_runs.select("token", "combined", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "left", "at", "bits")]) for side in "ab")
+            last = open_runs.join(known, ["doc", "n"])
+            x, y = (last.select("token", "combined", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "left", "rarer", "at", "bits", "fine")]) for side in "ab")
             enough = F.col("combined") | (F.least("left_a", "left_b") >= shared_least(F.col("n_a"), F.col("n_b"), percent))
-            apart = (F.col("doc_a") < F.col("doc_b")) & (F.col("at_a") != F.col("at_b"))
-            pairs = x.join(y, ["token", "combined"]).where(apart & near(F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b")) & enough).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
+            apart = (F.col("doc_a") < F.col("doc_b")) & (F.col("at_a") != F.col("at_b")) & F.coalesce(F.col("rarer_a") != F.col("rarer_b"), F.lit(True))
+            alike = near(F.col("n_a"), F.col("n_b"), F.col("bits_a"), F.col("bits_b")) & enough & near_finely(F.col("n_a"), F.col("n_b"), F.col("fine_a"), F.col("fine_b"))
+            pairs = x.join(y, ["token", "combined"]).where(apart & alike).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
         found = verify_pairs(docs, pairs.distinct(), words, percent)
         if not found.isEmpty():
             links = links.unionAll(found)
@@ -335,11 +356,20 @@ def similar_components(documents: DataFrame, words: int = WORDS, percent: int =
     return rows.join(joined, rows["doc_id"] == joined["node"], "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def folded(bits: str):
+    """A column of bitmaps in ``BITS`` places, from one of ``FINE`` places."""
+    k = BITS // 64
+    return F.array(*[reduce(lambda x, y: x.bitwiseXOR(y), [F.col(bits)[j] for j in range(i, FINE // 64, k)]) for i in range(k)])
+
+
 def _open_runs(runs: DataFrame, joined: DataFrame) -> DataFrame:
-    """The runs that have documents of several components, with each document's component ``at``."""
+    """The runs that have documents of several components, with each document's component ``at``.
+
+    Where all rows have the same rarer token, every pair of the run is one of that token's."""
     placed = runs.join(joined, runs["doc"] == joined["node"], "left").select(*runs.columns, F.coalesce("component", "doc").alias("at"))
     placed = staged(placed, "placed")
-    spread = placed.groupBy("token").agg(F.min("at").alias("low"), F.max("at").alias("high")).where("low < high").select("token")
+    ends = [F.min("at").alias("low"), F.max("at").alias("high"), F.min("rarer").alias("first"), F.max("rarer").alias("last"), (F.count("*") - F.count("rarer")).alias("without")]
+    spread = placed.groupBy("token").agg(*ends).where("low < high AND (without > 0 OR first < last)").select("token")
     return placed.join(spread, "token", "left_semi")
 
 

@@ -333,6 +333,38 @@ def test_jaccard_join(spark, monkeypatch, share, least):
         assert jaccard_join.similar_components(docs(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("copies", [12, 30])
+def test_pairs_short_of_the_threshold_are_hardly_compared(spark, monkeypatch, copies):
+    """Texts of a Jaccard similarity of 0.70 share hundreds of tokens, be these frequent or not."""
+    rows, pairs, stage, verify = [], [], jaccard_join.staged, jaccard_join.verify_pairs
+
+    def counted(df, label):
+        out = stage(df, label)
+        if label == "open-runs":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    monkeypatch.setattr(jaccard_join, "verify_pairs", lambda documents, some, *more: pairs.append(some.count()) or verify(documents, some, *more))
+    base = [f"w{i}" for i in range(400)]
+    texts = [(k, " ".join([*base[:200], *[f"own{k}x{j}" for j in range(66)], *base[266:]])) for k in range(copies)]
+    texts += [(100, texts[3][1] + " end"), (101, texts[3][1])]
+    got = jaccard_join.similar_components(docs(spark, texts)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _similar(texts)
+    assert sum(pairs) <= copies and max(rows) <= 12 * copies
+
+
+def test_texts_of_one_doc_id_link_each_for_itself(spark):
+    """Also where its texts share tokens, whatever their sizes and order."""
+    rng = np.random.default_rng(8)
+    vocabulary = [f"w{i}" for i in range(300)]
+    texts = [rng.choice(vocabulary, 80).tolist() for _ in range(4)]
+    texts[3] = texts[0][:40] + texts[1][:40]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[0][1:]), (3, texts[1][:-1]), (1, texts[3]), (4, texts[3][2:]), (4, texts[2]), (5, texts[2][3:]), (5, texts[2][3:]), (6, texts[2][:40])]
+    got = jaccard_join.similar_components(docs(spark, [(i, " ".join(w)) for i, w in rows])).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 6)} and len(got) == len(rows)
+
+
 def test_decontamination(spark, monkeypatch):
     rng = np.random.default_rng(7)
     vocabulary = [f"v{i}" for i in range(300)]
