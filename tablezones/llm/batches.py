@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +31,20 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
         text = np.frombuffer(data, np.uint8)[own[0] : own[-1]] if data is not None else np.zeros(0, np.uint8)
         yield rows.set_column(i, column, texts), text, own - own[0]
         at = to
-    pa.default_memory_pool().release_unused()  # workers outlive their tasks; what earlier batches took goes back
+    give_back()
+
+
+def give_back() -> None:
+    """Hand memory that earlier batches took and freed to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+        if trim:
+            trim(0)
 
 
 def worker_state() -> dict:
     """What a Python worker keeps from task to task (caches only: results never depend on it)."""
-    import sys
     import types
 
     return sys.modules.setdefault("_tablezones_llm_worker", types.ModuleType("_tablezones_llm_worker")).__dict__

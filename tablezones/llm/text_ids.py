@@ -3,7 +3,7 @@
 The tokenizer splits a text into words before it merges bytes, and a word's ids
 do not depend on its neighbours. So every distinct word is encoded once by the
 ``tokenizers`` library and kept in a per-worker table, bounded by its words and
-by its bytes; ids of a text are gathered from it. Texts with unusual white space or with the string of an added
+by its bytes, from which the words met least go; ids of a text are gathered from it. Texts with unusual white space or with the string of an added
 token, which the library gives that token's id, are encoded as a whole.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +20,15 @@ import pyarrow.compute as pc
 
 from tablezones.llm.batches import worker_state
 
-#: Words kept per worker, and their cost in bytes (text, ids and table entry). Beyond either only the words met
-#: first stay, a third, which are mostly the frequent ones.
-CACHED_WORDS, CACHED_BYTES = 1_200_000, 160 << 20
+#: Words kept per worker, and their cost in bytes (text, ids and table entry). Beyond either a third of them stays,
+#: those met in most pieces of text.
+CACHED_WORDS, CACHED_BYTES = 300_000, 48 << 20
 #: Bytes of a word's entry in the table besides its text and ids, and words encoded in one call of the library.
-ENTRY_BYTES, JOINED = 120, 2_000
+ENTRY_BYTES, JOINED = 120, 500
 #: Words of more characters are encoded anew for each piece of text.
 KEPT_CHARS = 100
 #: Text bytes encoded at once.
-PIECE = 3 << 20
+PIECE = 2 << 20
 #: White space that the splitter joins with its neighbours, so that words are not independent.
 UNUSUAL = (
     "[ \\n][ \\n]|[\\t\\x0b\\x0c\\r\\x1c-\\x1f]|[\\x{85}\\x{a0}\\x{1680}\\x{180e}\\x{2000}-\\x{200b}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}\\x{feff}]|[ \n]$"
@@ -55,21 +56,25 @@ class TextEncoder:
         self.code: dict[str, int] = {"": 0}
         self.start = np.zeros(2, np.int64)  # of each known word's ids; the empty word has none
         self.ids = np.zeros(0, np.uint32)
+        self.met = np.zeros(1, np.int64)  # pieces of text with each known word
         self.cost = 0
 
-    def _forget(self, keep: int) -> None:
-        """Keep the first ``keep`` words only."""
-        self.code = {w: k for w, k in self.code.items() if k < keep}
-        self.start = self.start[: keep + 1].copy()
-        self.ids = self.ids[: self.start[-1]].copy()
-        self.cost = sum(map(len, self.code)) + ENTRY_BYTES * keep + self.ids.nbytes
+    def _forget(self, keep: np.ndarray) -> None:
+        """Keep only the words of these codes, in ascending order; the first is the empty word."""
+        words = list(self.code)  # in order of their codes
+        self.code = dict(zip(map(words.__getitem__, keep.tolist()), range(len(keep))))
+        begin, size = self.start[keep], (self.start[1:] - self.start[:-1])[keep]
+        self.start = np.concatenate([[0], np.cumsum(size)])
+        self.ids = self.ids[np.repeat(begin - self.start[:-1], size) + np.arange(self.start[-1])]
+        self.met = self.met[keep] // 2  # so that words that became rare go in time
+        self.cost = sum(map(len, self.code)) + ENTRY_BYTES * len(keep) + self.ids.nbytes
 
     def _learn(self, new: list[str]) -> None:
         """Encode unknown words, joined as in a text: a word starts with its newline or takes a space."""
         parts = []
         for a in range(0, len(new), JOINED):
             joined = "".join([w if w[0] == "\n" else " " + w for w in new[a : a + JOINED]])
-            parts.append(np.array(self.library.encode(joined, add_special_tokens=False).ids, np.uint32))
+            parts.append(np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32))
         ids = np.concatenate(parts)
         starts = np.flatnonzero(self.opens[ids])
         if len(starts) != len(new):
@@ -78,6 +83,7 @@ class TextEncoder:
         self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
         self.start = np.concatenate([self.start[:-1], base + starts, [base + len(ids)]])
         self.ids = np.concatenate([self.ids, ids])
+        self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
         self.cost += sum(map(len, new)) + ENTRY_BYTES * len(new) + ids.nbytes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -106,16 +112,22 @@ class TextEncoder:
         words = pc.split_pattern(pc.replace_substring(pc.binary_join_element_wise(one, texts, none), "\n", " \n"), " ")
         counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
         words = pc.list_flatten(words).dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        all_of_them = pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary)
+        distinct = pc.binary_join(all_of_them, pa.scalar(" ", texts.type))[0].as_py().split(" ")  # no word holds a space
         if len(self.code) > CACHED_WORDS or self.cost > CACHED_BYTES:
-            self._forget(max(1, len(self.code) // 3))
-        code = list(map(self.code.get, distinct))
-        unknown = [w for w, c in zip(distinct, code) if c is None]
-        long = [w for w in unknown if len(w) > KEPT_CHARS]
+            most = np.argsort(-self.met[1:], kind="stable")[: len(self.code) // 3] + 1
+            self._forget(np.concatenate([[0], np.sort(most)]))
+        code = np.fromiter(map(self.code.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(code < 0)
+        unknown = [distinct[i] for i in new]
+        is_long = np.array([len(w) > KEPT_CHARS for w in unknown], bool)
+        n_long = int(is_long.sum())
         if unknown:
-            self._learn([w for w in unknown if len(w) <= KEPT_CHARS] + long if long else unknown)
-            code = list(map(self.code.__getitem__, distinct))
-        code = np.array(code, np.int64)[words.indices.to_numpy(zero_copy_only=False)]
+            last = np.argsort(is_long, kind="stable")  # long words get the last codes
+            code[new[last]] = len(self.code) + np.arange(len(new))
+            self._learn([unknown[i] for i in last] if n_long else unknown)
+        self.met[code] += 1
+        code = code[words.indices.to_numpy(zero_copy_only=False)]
         begin, size = self.start[code], (self.start[1:] - self.start[:-1])[code]
         # each text begins with an empty word and its added newline, one id
         at_word = np.concatenate([[0], np.cumsum(counts)])
@@ -131,8 +143,8 @@ class TextEncoder:
         begin, size = begin[live], size[live]
         steps[to[live]] = begin - np.concatenate([[0], begin[:-1] + size[:-1] - 1])
         ids = self.ids[np.cumsum(steps)]
-        if long:
-            self._forget(len(self.code) - len(long))
+        if n_long:
+            self._forget(np.arange(len(self.code) - n_long))
         return ids, to[at_word]
 
 
@@ -146,4 +158,4 @@ def encoder(path: str) -> TextEncoder:
 
 def crc32(ids: np.ndarray) -> int:
     """Unsigned CRC-32 of ids as little-endian unsigned 32-bit integers."""
-    return zlib.crc32(ids.astype("<u4").tobytes())
+    return zlib.crc32(np.ascontiguousarray(ids, "<u4"))

@@ -378,6 +378,51 @@ def test_the_word_table_is_bounded_by_bytes(coder, monkeypatch):
         assert coder.cost <= (1 << 20) + 5100 * (text_ids.ENTRY_BYTES + 40) and len(coder.code) == len(coder.start) - 1
 
 
+def test_words_met_in_most_pieces_stay_in_the_word_table(monkeypatch):
+    from tablezones.llm import text_ids
+
+    monkeypatch.setattr(text_ids, "CACHED_WORDS", 50)
+    coder = TextEncoder(tokenizer_path())
+    coder.encode(pa.array([" ".join(f"first{i}" for i in range(40))]))
+    for k in range(6):
+        texts = [" ".join(f"w{k}z{i}" for i in range(20)), "so late but common", "\nlate\nñ"]
+        ids, at = coder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [coder.library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(coder.code) == len(coder.start) - 1 == len(coder.met) and list(coder.code.values()) == list(range(len(coder.code)))
+    assert {"\nso", "late", "but", "common"} <= set(coder.code) and "first39" not in coder.code
+
+
+def test_many_rare_words_take_bounded_memory():
+    """Two workers of an executor hold 48 MB of words each at most, besides those of one piece of text."""
+    coder = TextEncoder(tokenizer_path())
+    for k in range(10):
+        coder.encode(pa.array([" ".join(f"{k}a{i}" for i in range(k * 45_000, k * 45_000 + 45_000))]))
+        assert len(coder.code) <= 345_002 and coder.cost <= 60 << 20
+
+
+def test_each_word_of_a_piece_is_looked_up_once():
+    class Counting(dict):
+        n = 0
+
+        def get(self, *key):
+            Counting.n += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Counting.n += 1
+            return super().__getitem__(key)
+
+    coder = TextEncoder(tokenizer_path())
+    coder.code = Counting(coder.code)
+    texts = ["some words and some more words", "other words that are new"]
+    for _ in range(2):
+        Counting.n = 0
+        ids, at = coder.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [coder.library.encode(t, add_special_tokens=False).ids for t in texts]
+        # the first word of each text is "\n" and its own; the empty word stands before it
+        assert Counting.n == len({"", *(w for t in texts for w in ("\n" + t).split(" "))})
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.tuples(st.integers(-5, 5), st.integers(-(1 << 63), (1 << 63) - 1)), min_size=1, max_size=60), st.lists(st.integers(-5, 5), max_size=8))
 def test_parts_of_token_files_keep_the_order(rows, bounds):
