@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tablezones.llm.batches import worker_state
+from tablezones.llm.batches import worker_cache
 
 #: Words kept per worker, and their cost in bytes (text, ids and table entry). Beyond either a third of them stays,
 #: those met in most pieces of text.
@@ -127,7 +127,9 @@ class TextEncoder:
             code[new[last]] = len(self.code) + np.arange(len(new))
             self._learn([unknown[i] for i in last] if n_long else unknown)
         self.met[code] += 1
+        del distinct, unknown, all_of_them  # the arrays below are as large again
         code = code[words.indices.to_numpy(zero_copy_only=False)]
+        del words
         begin, size = self.start[code], (self.start[1:] - self.start[:-1])[code]
         # each text begins with an empty word and its added newline, one id
         at_word = np.concatenate([[0], np.cumsum(counts)])
@@ -135,22 +137,24 @@ class TextEncoder:
         begin[second] += 1
         size[second] -= 1
         to = np.concatenate([[0], np.cumsum(size)])
+        at_text = to[at_word]
         live = np.flatnonzero(size)
         total = int(to[-1])
         if not total:
-            return np.zeros(0, np.uint32), to[at_word]
-        steps = np.ones(total, np.int64)
+            return np.zeros(0, np.uint32), at_text
+        steps = np.ones(total, np.int32 if len(self.ids) < 1 << 31 else np.int64)  # from one place in the table to the next
         begin, size = begin[live], size[live]
         steps[to[live]] = begin - np.concatenate([[0], begin[:-1] + size[:-1] - 1])
-        ids = self.ids[np.cumsum(steps)]
+        del code, begin, size, to, live
+        ids = self.ids[np.cumsum(steps, dtype=steps.dtype, out=steps)]
         if n_long:
             self._forget(np.arange(len(self.code) - n_long))
-        return ids, to[at_word]
+        return ids, at_text
 
 
 def encoder(path: str) -> TextEncoder:
-    """This worker's encoder for ``path``."""
-    state = worker_state().setdefault("encoders", {})
+    """This worker's encoder for ``path``; a task asks for it before its first piece of text."""
+    state = worker_cache("encoders")
     if path not in state:
         state[path] = TextEncoder(path)
     return state[path]

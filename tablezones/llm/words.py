@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tablezones.llm.batches import worker_state
+from tablezones.llm.batches import PIECE_BYTES, worker_state
 
 _RADIX = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BYTE = np.random.default_rng(17).integers(0, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -31,7 +31,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the radix and of its inverse modulo 2**64."""
     state = worker_state()
     if "powers" not in state or len(state["powers"][0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, PIECE_BYTES + 1)
         inverse = np.uint64(pow(int(_RADIX), -1, 1 << 64))
         both = []
         for base in (_RADIX, inverse):

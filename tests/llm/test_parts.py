@@ -460,3 +460,37 @@ def test_staged_tables_hand_small_batches_to_python(spark):
         assert spark.conf.get(setting) == "1g"
     finally:
         spark.conf.set(setting, before)
+
+
+def test_byte_arithmetic_on_a_batch_takes_bounded_memory():
+    import tracemalloc
+
+    from tablezones.llm.batches import worker_state
+
+    text = "Some words of a text, told again and again. " * 40
+    batch = pa.RecordBatch.from_pydict({"text": [text] * 2_400, "quality": pa.array([1] * 2_400, pa.int32())})  # 4 MB
+    assert batch.nbytes > 4 << 20
+    worker_state().pop("powers", None)
+    tracemalloc.start()
+    try:
+        assert sum(map(len, quality_gam._features_of([batch]))) == 2_400
+        assert tracemalloc.get_traced_memory()[1] < 60 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_an_encoder_stays_only_while_tasks_ask_for_it(monkeypatch):
+    from tablezones.llm import batches
+    from tablezones.llm.text_ids import encoder
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a text", None]})
+    monkeypatch.setattr(batches, "_task", lambda: 1)
+    first = encoder(tokenizer_path())
+    assert len(list(pieces(batch, "text"))) == 1 and encoder(tokenizer_path()) is first
+    monkeypatch.setattr(batches, "_task", lambda: 2)
+    assert encoder(tokenizer_path()) is first  # the next task of the same operator
+    list(pieces(batch, "text"))
+    assert encoder(tokenizer_path()) is first
+    monkeypatch.setattr(batches, "_task", lambda: 3)
+    list(pieces(batch, "text"))  # a task of another operator
+    assert encoder(tokenizer_path()) is not first
