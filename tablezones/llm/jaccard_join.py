@@ -278,9 +278,9 @@ def verify_pairs(documents: DataFrame, pairs: DataFrame, words: int = WORDS, per
     pairs = staged(pairs.select("a", "b"), "candidates")
     ids = staged(pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct(), "candidate-ids")
     texts = staged(documents.join(small_side(ids), "doc_id", "left_semi"), "candidate-texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).join(small_side(pairs), "a")
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return staged(pairs.join(left, "a").join(right, "b").mapInArrow(_verified(words, percent), "a long, b long"), "similar")
+    return staged(left.join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(words, percent), "a long, b long"), "similar")
 
 
 def similar_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -303,7 +303,7 @@ def similar_components(documents: DataFrame, words: int = WORDS, percent: int =
 
     links = staged(equal, "links")
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    joined = stars.distinct()  # of equal sets: each points at the first
+    joined = staged(stars.distinct(), "components")  # of equal sets: each points at the first
     known = rows.where("doc_id IS NOT NULL AND n > 0").select(F.col("doc_id").alias("doc"), "n", F.col("bits").alias("fine")).distinct()
 
     def allowed(n, m, apart):
@@ -366,7 +366,7 @@ def _open_runs(runs: DataFrame, joined: DataFrame) -> DataFrame:
     """The runs that have documents of several components, with each document's component ``at``.
 
     Where all rows have the same rarer token, every pair of the run is one of that token's."""
-    placed = runs.join(joined, runs["doc"] == joined["node"], "left").select(*runs.columns, F.coalesce("component", "doc").alias("at"))
+    placed = runs.join(small_side(joined), runs["doc"] == joined["node"], "left").select(*runs.columns, F.coalesce("component", "doc").alias("at"))
     placed = staged(placed, "placed")
     ends = [F.min("at").alias("low"), F.max("at").alias("high"), F.min("rarer").alias("first"), F.max("rarer").alias("last"), (F.count("*") - F.count("rarer")).alias("without")]
     spread = placed.groupBy("token").agg(*ends).where("low < high AND (without > 0 OR first < last)").select("token")
@@ -382,6 +382,10 @@ def keep_one_of_each(documents: DataFrame) -> DataFrame:
     keyed = staged(documents.withColumn(key, F.monotonically_increasing_id()), "keyed")
     found = staged(similar_components(keyed.select(F.col(key).alias("doc_id"), "text")).select(F.col("doc_id").alias(key), "component_id"), "similar-components")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text"), F.xxhash64(*rest).alias("row"), F.col(key).alias("key"))
-    ranked = keyed.select(rank.alias("rank"), key).join(found, key)
+    # the component is its smallest key, so groups of several rows are those with another key
+    others = found.where(F.col(key) != F.col("component_id"))
+    members = staged(others.select(key, "component_id").unionAll(others.select(F.col("component_id").alias(key), "component_id").distinct()), "members")
+    ranked = keyed.select(rank.alias("rank"), key).join(small_side(members), key)
     first = staged(ranked.groupBy("component_id").agg(F.min("rank").alias("rank")).select(F.col("rank.key").alias(key)), "kept")
-    return keyed.join(first, key, "left_semi").select(*[F.col(f"`{c}`") for c in documents.columns])
+    gone = staged(members.join(first, key, "left_anti").select(key), "gone")
+    return keyed.join(small_side(gone), key, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])

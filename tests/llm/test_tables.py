@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablezones.llm import components as cc
-from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, pii_crf, quality_gam, quotes, token_files, warc
+from tablezones.llm import decontam, itq_dedup, jaccard_join, line_dedup, packing, pii_crf, quality_gam, quotes, staging, token_files, warc
 from tablezones.llm.text_ids import TextEncoder, tokenizer_path
 
 RNG = np.random.default_rng(8)
@@ -416,6 +416,34 @@ def test_near_copies_are_judged_by_row(spark):
         assert got.columns == df.columns and sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == want
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_few_rows_are_taken_to_the_texts(spark, monkeypatch, capsys, most):
+    """Whatever the session broadcasts; where they are many, texts are dealt out and the rows are the same."""
+    plans, stage = [], jaccard_join.staged
+
+    def explained(df, label):
+        capsys.readouterr()
+        df.explain()
+        plans.append((label, capsys.readouterr().out.count("Exchange hashpartitioning")))
+        return stage(df, label)
+
+    a, b = prose(60), " ".join(f"q{k}" for k in range(60))
+    table = [(k, f"{t} end{k}" if k % 2 else t) for k, t in enumerate([a, a, b, a, b, b, f"{b} more", "alone"])]
+    monkeypatch.setattr(jaccard_join, "staged", explained)
+    monkeypatch.setattr(staging, "BROADCAST_ROWS", most)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = jaccard_join.keep_one_of_each(docs(spark, table))
+        explained(got, "result")
+        assert rows(got.select("doc_id", "text")) == [(0, a), (2, b), (7, "alone end7")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = {label: {n for name, n in plans if name == label} for label in ("candidate-texts", "similar", "placed", "result")}
+    few, many = {"candidate-texts": {0}, "similar": {2}, "placed": {0}, "result": {0}}, {"candidate-texts": {2}, "similar": {4}, "placed": {2}, "result": {2}}
+    assert dealt == (many if most == 0 else few)
+
+
 def test_frequent_cells_hold_all_frequent_tokens():
     """Whatever the pieces and tasks, tokens in SHARE of all documents are found, and rare ones are not."""
     import pyarrow as pa
